@@ -47,27 +47,79 @@ def stddev_by(records: DataFrame, key: str, measure: str, name: str) -> DataFram
     return records.groupBy(key).agg(F.stddev_samp(measure).alias(name))
 
 
+def _folded(records: DataFrame, key: str, measure: str) -> DataFrame:
+    """Rows as (key, value x, count n); one row per distinct value of a key."""
+    known = records.filter(F.col(measure).isNotNull())
+    return known.groupBy(key, F.col(measure).alias("x")).agg(F.count("*").alias("n"))
+
+
+def _middle_ranks(total: Column) -> tuple[Column, Column]:
+    """Ranks, from 1, of the two values a median averages; equal for an odd total."""
+    return F.floor((total + 1) / 2), F.floor(total / 2) + 1
+
+
 def median_by(records: DataFrame, key: str, measure: str, name: str) -> DataFrame:
     """Exact median per key, the mean of the two middle values for an even count.
 
     Not mergeable, so it first folds rows into (key, value, count). What is
     ordered per key is the distinct values (milliseconds: a few thousand),
-    not the rows: a key with a third of all rows stays small.
+    not the rows: a key with a third of all rows stays small. For measures
+    with many distinct values use ``median_by_ranges``.
     """
-    folded = records.filter(F.col(measure).isNotNull()).groupBy(key, measure).agg(F.count("*").alias("n"))
-    ordered = Window.partitionBy(key).orderBy(measure).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = folded.select(
+    ordered = Window.partitionBy(key).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = _folded(records, key, measure).select(
         key,
-        F.col(measure).alias("x"),
+        "x",
         F.sum("n").over(ordered).alias("dernier"),
         F.sum("n").over(Window.partitionBy(key)).alias("total"),
     )
-    low = F.floor((F.col("total") + 1) / 2)
-    high = F.floor(F.col("total") / 2) + 1
+    low, high = _middle_ranks(F.col("total"))
     first_reaching = lambda rank: F.min(F.when(F.col("dernier") >= rank, F.col("x")))
     return ranked.groupBy(key).agg(((first_reaching(low) + first_reaching(high)) / 2).alias(name))
 
 
+def median_by_ranges(
+    records: DataFrame, key: str, measure: str, name: str, ranges: int = 256
+) -> DataFrame:
+    """``median_by`` for measures with any number of distinct values.
+
+    Cuts the measure into ranges of about equal weight, finds per key which
+    range holds each middle rank, and orders only that range's values. No task
+    ever holds a whole key, and the result is exact wherever the cuts fall.
+    Runs one job to find the cuts: a coarse sketch, ``ranges`` numbers long.
+    Being constants of the query they stay the same if a task runs again.
+    """
+    positions = [i / ranges for i in range(1, ranges)]
+    found = records.agg(F.percentile_approx(measure, positions, 4 * ranges)).first()[0]
+    cuts = F.array(*[F.lit(c) for c in sorted(set(found or []))])
+    plage = F.size(F.filter(cuts, lambda c: c <= F.col("x")))
+    cut = _folded(records, key, measure).withColumn("plage", plage)
+
+    weights = cut.groupBy(key, "plage").agg(F.sum("n").alias("poids"))
+    before = Window.partitionBy(key).orderBy("plage").rowsBetween(Window.unboundedPreceding, 0)
+    placed = weights.select(
+        key,
+        "plage",
+        (F.sum("poids").over(before) - F.col("poids")).alias("avant"),
+        "poids",
+        F.sum("poids").over(Window.partitionBy(key)).alias("total"),
+    )
+    low, high = _middle_ranks(F.col("total"))
+    holds = lambda rank: (F.col("avant") < rank) & (rank <= F.col("avant") + F.col("poids"))
+    wanted = placed.filter(holds(low) | holds(high)).select(
+        key,
+        "plage",
+        F.when(holds(low), low - F.col("avant")).alias("bas"),
+        F.when(holds(high), high - F.col("avant")).alias("haut"),
+    )
+    inside = Window.partitionBy(key, "plage").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cut.join(wanted, [key, "plage"]).withColumn("dernier", F.sum("n").over(inside))
+    reached = lambda rank: F.min(F.when(F.col("dernier") >= F.col(rank), F.col("x")))
+    per_range = ranked.groupBy(key, "plage").agg(reached("bas").alias("b"), reached("haut").alias("h"))
+    # Each of the two middle values comes from exactly one range.
+    return per_range.groupBy(key).agg(((F.max("b") + F.max("h")) / 2).alias(name))
+
+
 def approx_median_by(records: DataFrame, key: str, measure: str, name: str, accuracy: int = 10000) -> DataFrame:
     """One-pass median with a mergeable sketch, for measures with unbounded distinct values."""
     return records.groupBy(key).agg(F.percentile_approx(measure, 0.5, accuracy).alias(name))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from netload import schemas
 from netload.functions import text
 
 
@@ -37,9 +38,13 @@ def non_blank_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(text.not_blank(F.col("value")))
 
 
-def parsed(lines: DataFrame) -> DataFrame:
-    """Text lines to telemetry columns."""
-    return lines.select(text.parse_record(F.col("value")).alias("r")).select("r.*")
+def parsed(lines: DataFrame, ddl: str = schemas.TELEMETRY) -> DataFrame:
+    """Text lines to columns; name only the fields you need.
+
+    ``inline`` keeps the parse in one place: through a plain projection, a
+    later filter on a field would be pushed below it and parse the line again.
+    """
+    return lines.select(F.inline(F.array(text.parse_record(F.col("value"), ddl))))
 
 
 def long_lines(lines: DataFrame, characters: int = 100) -> DataFrame:

@@ -269,6 +269,9 @@ QUERIES: dict[str, Query] = {
     "median_latency_by_cell": _telemetry(
         lambda t: aggregates.median_by(t, "cell_id", "latence_ms", "latence_mediane")
     ),
+    "median_bytes_by_cell": _telemetry(
+        lambda t: aggregates.median_by_ranges(t, "cell_id", "octets", "octets_median")
+    ),
     "approx_median_latency_by_cell": _telemetry(
         lambda t: aggregates.approx_median_by(t, "cell_id", "latence_ms", "latence_mediane")
     ),

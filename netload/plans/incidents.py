@@ -29,8 +29,8 @@ def top_error_cells(telemetry: DataFrame, k: int = 5) -> DataFrame:
 
 def chained_count(lines: DataFrame) -> DataFrame:
     """Non-INFO lines, parsed, slower than 50 ms, outside the reserved cell: how many."""
-    parsed = filters.parsed(filters.lines_not_of_level(lines, "INFO"))
-    slow = filters.key_value(filters.above(parsed, "latence_ms", 50), "cell_id", "latence_ms")
+    others = filters.lines_not_of_level(lines, "INFO")
+    slow = filters.above(filters.parsed(others, "cell_id STRING, latence_ms BIGINT"), "latence_ms", 50)
     return filters.other_than(slow, "cell_id", "CELL_0000").agg(F.count("*").alias("retenus"))
 
 

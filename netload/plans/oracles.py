@@ -247,6 +247,9 @@ ORACLES: dict[str, str] = {
     "median_latency_by_cell": _sql(
         "SELECT cell_id, quantile_cont(latence_ms, 0.5) AS latence_mediane FROM telemetrie GROUP BY cell_id"
     ),
+    "median_bytes_by_cell": _sql(
+        "SELECT cell_id, quantile_cont(octets, 0.5) AS octets_median FROM telemetrie GROUP BY cell_id"
+    ),
     "error_slow_projection": ERROR_SLOW,
     "warn_big_projection": WARN_BIG,
     "warn_big_udf": WARN_BIG,

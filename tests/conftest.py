@@ -8,15 +8,18 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
+    builder = (
         SparkSession.builder.master("local[4]")
         .appName("netload-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
-        .getOrCreate()
     )
+    # TEST_CONF="key=value;key=value" runs the suite under other session settings.
+    for pair in filter(None, os.environ.get("TEST_CONF", "").split(";")):
+        builder = builder.config(*pair.split("=", 1))
+    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
