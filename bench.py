@@ -78,7 +78,7 @@ def finish(frame: DataFrame) -> None:
 
 
 def pairs(bench: Bench, spark: SparkSession, folder: str) -> None:
-    """The reference sheet's before/after measurements, on one NDJSON file and its Parquet table."""
+    """Before/after measurements on one NDJSON file and the Parquet table made from it."""
     source, target = f"{folder}/ndjson", f"{folder}/parquet"
     writers.write_lines(tables.lines(tables.telemetry(spark, SF_DIR)), source)
     bench.run("convert_ndjson_to_parquet", lambda: writers.ndjson_to_parquet(spark, source, target), 1)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netload.functions import rates
+from netload.operators import projections
 
 
 def count_by(records: DataFrame, *keys: str, name: str = "evenements") -> DataFrame:
@@ -79,7 +80,7 @@ def median_by(records: DataFrame, key: str, measure: str, name: str) -> DataFram
 
 
 def median_by_ranges(
-    records: DataFrame, key: str, measure: str, name: str, ranges: int = 256
+    records: DataFrame, key: str, measure: str, name: str, ranges: int = 64
 ) -> DataFrame:
     """``median_by`` for measures with any number of distinct values.
 
@@ -91,9 +92,8 @@ def median_by_ranges(
     """
     positions = [i / ranges for i in range(1, ranges)]
     found = records.agg(F.percentile_approx(measure, positions, 4 * ranges)).first()[0]
-    cuts = F.array(*[F.lit(c) for c in sorted(set(found or []))])
-    plage = F.size(F.filter(cuts, lambda c: c <= F.col("x")))
-    cut = _folded(records, key, measure).withColumn("plage", plage)
+    plage = projections.range_index(F.col("x"), sorted(set(found or [])))
+    cut = projections.computed_once(_folded(records, key, measure), plage=plage)
 
     weights = cut.groupBy(key, "plage").agg(F.sum("n").alias("poids"))
     before = Window.partitionBy(key).orderBy("plage").rowsBetween(Window.unboundedPreceding, 0)
@@ -107,13 +107,14 @@ def median_by_ranges(
     low, high = _middle_ranks(F.col("total"))
     holds = lambda rank: (F.col("avant") < rank) & (rank <= F.col("avant") + F.col("poids"))
     wanted = placed.filter(holds(low) | holds(high)).select(
-        key,
-        "plage",
+        F.col(key).alias("_cle"),
+        F.col("plage").alias("_plage"),
         F.when(holds(low), low - F.col("avant")).alias("bas"),
         F.when(holds(high), high - F.col("avant")).alias("haut"),
     )
     inside = Window.partitionBy(key, "plage").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cut.join(wanted, [key, "plage"]).withColumn("dernier", F.sum("n").over(inside))
+    same = F.col(key).eqNullSafe(F.col("_cle")) & (F.col("plage") == F.col("_plage"))
+    ranked = cut.join(wanted, same).withColumn("dernier", F.sum("n").over(inside))
     reached = lambda rank: F.min(F.when(F.col("dernier") >= F.col(rank), F.col("x")))
     per_range = ranked.groupBy(key, "plage").agg(reached("bas").alias("b"), reached("haut").alias("h"))
     # Each of the two middle values comes from exactly one range.

@@ -9,6 +9,7 @@ from pyspark.sql.types import BooleanType
 
 from netload import schemas
 from netload.functions import text
+from netload.operators import projections
 
 
 def of_level(records: DataFrame, level: str) -> DataFrame:
@@ -39,12 +40,9 @@ def non_blank_lines(lines: DataFrame) -> DataFrame:
 
 
 def parsed(lines: DataFrame, ddl: str = schemas.TELEMETRY) -> DataFrame:
-    """Text lines to columns; name only the fields you need.
-
-    ``inline`` keeps the parse in one place: through a plain projection, a
-    later filter on a field would be pushed below it and parse the line again.
-    """
-    return lines.select(F.inline(F.array(text.parse_record(F.col("value"), ddl))))
+    """Text lines to columns, parsed once per line; name only the fields you need."""
+    record = text.parse_record(F.col("value"), ddl)
+    return projections.computed_once(lines.select("value"), r=record).select("r.*")
 
 
 def long_lines(lines: DataFrame, characters: int = 100) -> DataFrame:

@@ -97,7 +97,7 @@ def join_salted(
     # A NULL key matches nothing, but in a left join its rows still need spreading.
     spread = F.col("_chaude") | F.col(key).isNull()
     salted_fact = fact.join(hot, key, "left").withColumn(
-        "_sel", F.when(spread, slice_of).otherwise(F.lit(0))
+        "_sel", F.coalesce(F.when(spread, slice_of), F.lit(0))
     )
     copies = F.when(F.col("_chaude"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_dimension = dimension.join(hot, key, "left").withColumn("_sel", F.explode(copies))

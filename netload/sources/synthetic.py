@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netload.functions import draws, moments, text
+from netload.operators import projections
 from netload.sources.tables import EVENTS
 
 
@@ -121,11 +122,15 @@ def telemetry_for(ids: DataFrame, dimension: DataFrame, source: DrawSource = _ha
     position = F.col("secteur_rang") + 1
     dense = F.col("secteur_rang") == 0
 
-    placed = ids.select(
-        "id",
-        draws.pick_weighted(draw("sector"), [s.poids for s in SECTORS]).alias("secteur_rang"),
-        draws.pick_weighted(draw("hour"), HOUR_WEIGHTS).alias("heure"),
-    ).withColumn(
+    drawn = projections.computed_once(
+        ids.select("id"), u_sector=draw("sector"), u_hour=draw("hour"), u_level=draw("level")
+    )
+    picked = projections.computed_once(
+        drawn,
+        secteur_rang=draws.pick_weighted(F.col("u_sector"), [s.poids for s in SECTORS]),
+        heure=draws.pick_weighted(F.col("u_hour"), HOUR_WEIGHTS),
+    )
+    placed = picked.withColumn(
         "numero",
         F.when(dense & (draw("hot") < HOT_CELL_SHARE), F.lit(first[0])).otherwise(
             F.element_at(starts, position) + draws.index_below(draw("cell"), F.element_at(sizes, position))
@@ -134,7 +139,7 @@ def telemetry_for(ids: DataFrame, dimension: DataFrame, source: DrawSource = _ha
     hour_weight = F.element_at(F.array(*[F.lit(w) for w in HOUR_WEIGHTS]), F.col("heure") + 1)
     p_error = F.when(dense, P_ERROR[0]).otherwise(P_ERROR[1])
     p_warn = F.when(dense, P_WARN[0]).otherwise(P_WARN[1])
-    u = draw("level")
+    u = F.col("u_level")
     leveled = placed.select(
         "id",
         text.cell_name(F.col("numero")).alias("cell_id"),
@@ -151,14 +156,21 @@ def telemetry_for(ids: DataFrame, dimension: DataFrame, source: DrawSource = _ha
     connections = (
         F.col("capacite_max") * F.col("_pression") * (factor * 0.85 + 0.20) * (draw("conn") * 0.5 + 0.75)
     )
-    return enriched.select(
-        moments.iso_from_parts(
+    # One operator per costly column: all in one projection would compile to a
+    # method too long for the JIT and run interpreted.
+    stamped = projections.computed_once(
+        enriched,
+        ts=moments.iso_from_parts(
             DAY, F.col("heure"), draws.index_below(draw("minute"), 60),
             draws.index_below(draw("second"), 60), draws.index_below(draw("millis"), 1000),
-        ).alias("ts"),
+        ),
+    )
+    named = projections.computed_once(stamped, event=_by_level(F.col("niveau"), draw("event")))
+    return named.select(
+        "ts",
         "cell_id",
         "niveau",
-        _by_level(F.col("niveau"), draw("event")).alias("event"),
+        "event",
         F.greatest(F.lit(0), _nearest(connections)).cast("bigint").alias("connexions_actives"),
         F.greatest(F.lit(3), _nearest(latency)).cast("bigint").alias("latence_ms"),
         (F.floor(draw("size1") * draw("size2") * draw("size3") * 6_000_000) + 400)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from netload import schemas
 from netload.functions import moments, text
+from netload.operators import projections
 
 # Event names of each severity level.
 EVENTS = {
@@ -40,10 +41,9 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     # turns a filter on the level into one on event_type, and the scan applies it.
     error, signup = F.col("event_type").eqNullSafe("error"), F.col("event_type").eqNullSafe("signup")
     number = F.when(k < HOT_SHARE_PERCENT, F.lit(1)).otherwise(F.col("user_id") + 1)
-    # ``explode`` parses the JSON once per row; a plain column would be substituted,
-    # parse and all, into every expression that uses it.
-    parsed = F.explode(F.array(F.get_json_object("props", "$.k").cast("bigint"))).alias("k")
-    events = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value", parsed)
+    events = projections.computed_once(
+        table(spark, sf_dir, "events"), k=F.get_json_object("props", "$.k").cast("bigint")
+    )
     return events.select(
         "ts",
         text.cell_name(number).alias("cell_id"),

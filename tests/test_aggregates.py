@@ -60,6 +60,7 @@ def test_median_matches_brute_force(spark):
     rng = random.Random(7)
     data = {f"c{i}": [rng.randrange(50) for _ in range(rng.randrange(1, 60))] for i in range(40)}
     data["chaude"] = [rng.randrange(500) for _ in range(3001)]
+    data[None] = [4, 9]
     rows = latencies(spark, [(c, x) for c, xs in data.items() for x in xs] + [("c0", None), ("vide", None)])
     expected = {c: float(statistics.median(xs)) for c, xs in data.items()}
     assert dict(values(aggregates.median_by(rows, "cell_id", "latence_ms", "m"))) == expected
@@ -68,6 +69,12 @@ def test_median_matches_brute_force(spark):
         assert dict(values(by_ranges)) == expected
 
 
+def test_medians_of_nothing(spark):
+    rows = latencies(spark, [("c", None)])
+    assert aggregates.median_by(rows, "cell_id", "latence_ms", "m").isEmpty()
+    assert aggregates.median_by_ranges(rows, "cell_id", "latence_ms", "m").isEmpty()
+
+
 def test_median_by_ranges_of_unique_values_never_orders_a_whole_key(spark, setting):
     setting(spark__sql__autoBroadcastJoinThreshold="-1")
     rows = spark.range(10_001).select(F.lit("c").alias("k"), (F.col("id") * 3).alias("x"))
