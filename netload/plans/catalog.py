@@ -213,10 +213,9 @@ def synthetic_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synthetic_saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Synthetic events (hashed draws), one per event id, through the flagship query."""
-    dimension = synthetic.cells(spark)
-    rows = readers.timed(synthetic.telemetry_for(_event_ids(spark, sf_dir), dimension))
-    return load.saturated(load.load_table(rows, dimension))
+    """The flagship query over those rows and the synthetic cells."""
+    rows = readers.timed(synthetic_mapping(spark, sf_dir))
+    return load.saturated(load.load_table(rows, synthetic.cells(spark, arithmetic_draws)))
 
 
 def synthetic_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,7 +140,8 @@ def _pick(u: str, weights: list) -> str:
     return f"CASE {' '.join(branches)} ELSE {len(weights) - 1} END"
 
 
-def _synthetic() -> str:
+def _synthetic(select: str) -> str:
+    """Synthetic events (``evenements``) and cells (``dimension``) from the arithmetic draws."""
     sectors, number, firsts = [], 1, []
     for index, s in enumerate(synthetic.SECTORS):
         firsts.append(number)
@@ -156,12 +157,13 @@ def _synthetic() -> str:
     return f"""
 WITH secteurs(ordre, nom, nb, capacite, techno, premier) AS (VALUES {", ".join(sectors)}),
 antennes AS (
-  SELECT ordre, premier + i AS numero, capacite,
+  SELECT ordre, nom, premier + i AS numero, capacite,
+         CASE WHEN i % 4 <> 3 THEN techno WHEN techno = '5G' THEN '4G' ELSE '5G' END AS techno,
          (CASE WHEN ordre = 0 THEN 1.28 WHEN techno = '5G' THEN 1.06 ELSE 0.86 END)::DOUBLE AS densite
   FROM secteurs, generate_series(0, 20) AS g(i) WHERE i < nb
 ),
 dimension AS (
-  SELECT numero, {pressure} AS pression,
+  SELECT numero, printf('CELL_%04d', numero) AS cell_id, nom AS secteur, techno, {pressure} AS pression,
          FLOOR(capacite * (0.8::DOUBLE + {_draw('capacity', 'numero')} * 0.4::DOUBLE) + 0.5::DOUBLE)::BIGINT
            AS capacite_max
   FROM antennes
@@ -183,22 +185,36 @@ situes AS (
                                              ELSE 0.012::DOUBLE + 0.055::DOUBLE END) THEN 'WARN'
               ELSE 'INFO' END AS niveau
   FROM places
+),
+evenements AS (
+  SELECT '{synthetic.DAY}T' || printf('%02d', heure) || ':'
+           || printf('%02d', FLOOR({_draw('minute', 'id')} * 60)::INTEGER) || ':'
+           || printf('%02d', FLOOR({_draw('second', 'id')} * 60)::INTEGER) || '.'
+           || printf('%03d', FLOOR({_draw('millis', 'id')} * 1000)::INTEGER) || 'Z' AS ts,
+         cell_id, niveau, heure,
+         CASE niveau WHEN 'ERROR' THEN {names['ERROR']} WHEN 'WARN' THEN {names['WARN']}
+                     ELSE {names['INFO']} END AS event,
+         GREATEST(0, FLOOR(capacite_max * pression * (facteur * 0.85::DOUBLE + 0.20::DOUBLE)
+           * ({_draw('conn', 'id')} * 0.5::DOUBLE + 0.75::DOUBLE) + 0.5::DOUBLE)::BIGINT) AS connexions_actives,
+         GREATEST(3, FLOOR((CASE WHEN rang = 0 THEN 70 ELSE 25 END)::DOUBLE
+           * (facteur * 1.2::DOUBLE + 0.4::DOUBLE)
+           * ({_draw('lat1', 'id')} * {_draw('lat2', 'id')} * 3 + 0.5::DOUBLE) + 0.5::DOUBLE)::BIGINT)
+           AS latence_ms,
+         FLOOR({_draw('size1', 'id')} * {_draw('size2', 'id')} * {_draw('size3', 'id')} * 6000000)::BIGINT + 400
+           AS octets
+  FROM situes JOIN dimension USING (numero)
 )
-SELECT '{synthetic.DAY}T' || printf('%02d', heure) || ':'
-         || printf('%02d', FLOOR({_draw('minute', 'id')} * 60)::INTEGER) || ':'
-         || printf('%02d', FLOOR({_draw('second', 'id')} * 60)::INTEGER) || '.'
-         || printf('%03d', FLOOR({_draw('millis', 'id')} * 1000)::INTEGER) || 'Z' AS ts,
-       printf('CELL_%04d', numero) AS cell_id, niveau,
-       CASE niveau WHEN 'ERROR' THEN {names['ERROR']} WHEN 'WARN' THEN {names['WARN']}
-                   ELSE {names['INFO']} END AS event,
-       GREATEST(0, FLOOR(capacite_max * pression * (facteur * 0.85::DOUBLE + 0.20::DOUBLE)
-         * ({_draw('conn', 'id')} * 0.5::DOUBLE + 0.75::DOUBLE) + 0.5::DOUBLE)::BIGINT) AS connexions_actives,
-       GREATEST(3, FLOOR((CASE WHEN rang = 0 THEN 70 ELSE 25 END)::DOUBLE
-         * (facteur * 1.2::DOUBLE + 0.4::DOUBLE)
-         * ({_draw('lat1', 'id')} * {_draw('lat2', 'id')} * 3 + 0.5::DOUBLE) + 0.5::DOUBLE)::BIGINT) AS latence_ms,
-       FLOOR({_draw('size1', 'id')} * {_draw('size2', 'id')} * {_draw('size3', 'id')} * 6000000)::BIGINT + 400
-         AS octets
-FROM situes JOIN dimension USING (numero)
+{select}
+"""
+
+
+SYNTHETIC_SATURATION = f"""
+SELECT cell_id, secteur, techno, heure, connexions_moy, capacite_max, taux_charge FROM (
+  SELECT *, {rounded("100 * connexions_moy / capacite_max", 2)} AS taux_charge FROM (
+    SELECT cell_id, CAST(heure AS INTEGER) AS heure, {rounded("AVG(connexions_actives)", 1)} AS connexions_moy
+    FROM evenements GROUP BY cell_id, heure
+  ) JOIN dimension USING (cell_id)
+) WHERE taux_charge > 70
 """
 
 
@@ -247,6 +263,10 @@ ORACLES: dict[str, str] = {
     "median_latency_by_cell": _sql(
         "SELECT cell_id, quantile_cont(latence_ms, 0.5) AS latence_mediane FROM telemetrie GROUP BY cell_id"
     ),
+    # Holds while no cell has more rows than the sketch's accuracy.
+    "approx_median_latency_by_cell": _sql(
+        "SELECT cell_id, quantile_disc(latence_ms, 0.5) AS latence_mediane FROM telemetrie GROUP BY cell_id"
+    ),
     "median_bytes_by_cell": _sql(
         "SELECT cell_id, quantile_cont(octets, 0.5) AS octets_median FROM telemetrie GROUP BY cell_id"
     ),
@@ -348,6 +368,9 @@ ORACLES: dict[str, str] = {
     "parquet_roundtrip": ERROR_SLOW,
     "json_roundtrip": SATURATION,
     "cells_published": _sql("SELECT * FROM cellules"),
-    "synthetic_mapping": _synthetic(),
+    "synthetic_mapping": _synthetic(
+        "SELECT ts, cell_id, niveau, event, connexions_actives, latence_ms, octets FROM evenements"
+    ),
+    "synthetic_saturation": _synthetic(SYNTHETIC_SATURATION),
     "streaming_saturation": SATURATION,
 }
