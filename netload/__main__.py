@@ -7,7 +7,6 @@ import argparse
 from pyspark.sql import SparkSession
 
 from netload import jobs
-from netload.scratch import fresh_path
 from netload.sources import synthetic
 
 
@@ -29,7 +28,7 @@ def main() -> None:
     elif args.stage == "saturate":
         jobs.saturate(spark, args.folder)
     elif args.stage == "follow":
-        jobs.follow(spark, args.folder, fresh_path(spark, "checkpoint")).awaitTermination()
+        jobs.follow(spark, args.folder).awaitTermination()
     else:
         for name, view in jobs.views(spark, args.folder, args.heure).items():
             print(name)

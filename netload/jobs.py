@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from netload.operators import diagnostics
 from netload.plans import load, serving
@@ -15,6 +16,8 @@ from netload.streaming import refresh
 
 # Names inside the data folder.
 EVENTS, CELLS, TABLE, RESULT = "telemetrie.ndjson", "cellules.json", "parquet/telemetrie", "out/saturation"
+# Where the stream keeps its progress, so that a restart continues.
+STATE = "state/saturation"
 
 
 class MissingInput(FileNotFoundError):
@@ -53,11 +56,11 @@ def saturate(spark: SparkSession, folder: str) -> None:
     writers.deliver(load.saturated(load.load_table(events, cells)), f"{folder}/{RESULT}")
 
 
-def follow(spark: SparkSession, folder: str, checkpoint: str, once: bool = False):
+def follow(spark: SparkSession, folder: str, once: bool = False) -> StreamingQuery:
     """Like ``saturate``, but keeps the delivery current while NDJSON files arrive."""
     stream = refresh.telemetry_stream(spark, _expect(f"{folder}/{EVENTS}", "produce", spark))
     cells = readers.read_cells(spark, _expect(f"{folder}/{CELLS}", "produce", spark))
-    return refresh.refresh_saturation(stream, cells, f"{folder}/{RESULT}", checkpoint, once)
+    return refresh.refresh_saturation(stream, cells, f"{folder}/{RESULT}", f"{folder}/{STATE}", once)
 
 
 def views(spark: SparkSession, folder: str, hour: str | None = None) -> dict[str, DataFrame]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from netload import schemas
+from netload.operators import caching
 from netload.plans import load
 from netload.sources import readers, writers
 
@@ -35,7 +36,9 @@ def refresh_saturation(
     totals = load.connection_partials(stream.filter(F.col("heure").isNotNull()))
 
     def replace_result(parts: DataFrame, _batch: int) -> None:
-        writers.deliver(load.saturated(load.rate_partials(parts, cells)), target)
+        # Kept because the sort samples its input first: the state is then updated once.
+        with caching.kept(parts, fill=False) as current:
+            writers.deliver(load.saturated(load.rate_partials(current, cells)), target)
 
     writer = (
         totals.writeStream.outputMode("complete")

@@ -32,5 +32,5 @@ def test_stages_chain_through_files(spark, tmp_path):
     assert {r.heure for r in views["saturation"].collect()} == {18}
     assert views["situations"].count() == min(30, len(delivered))
 
-    jobs.follow(spark, folder, f"{folder}/state", once=True).awaitTermination()
+    jobs.follow(spark, folder, once=True).awaitTermination()
     assert values(readers.read_result(spark, f"{folder}/{jobs.RESULT}")) == delivered
