@@ -71,11 +71,16 @@ def even_double_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.appended(sets.appended(tagged[0], tagged[1]), tagged[2])
 
 
+def hour_intervals(telemetry: DataFrame) -> DataFrame:
+    """The hours with their volume as weight and the interval each one owns."""
+    weights = aggregates.count_by(telemetry, "heure", name="poids")
+    return draws.cumulative_intervals(weights, "heure", "poids")
+
+
 def weighted_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draws an hour for every event, weighted by the hourly volumes, and counts the draws."""
-    weights = aggregates.count_by(tables.telemetry(spark, sf_dir), "heure", name="poids")
-    intervals = draws.cumulative_intervals(weights, "heure", "poids")
-    total = weights.agg(F.sum("poids")).scalar()
+    intervals = hour_intervals(tables.telemetry(spark, sf_dir))
+    total = intervals.agg(F.max("haut")).scalar()
     ids = tables.table(spark, sf_dir, "events").select(
         F.pmod(F.col("event_id") * PICK_FACTOR, total).alias("x")
     )
@@ -331,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "partition_sizes": _telemetry(diagnostics.partition_sizes),
     "layout_report": _telemetry(lambda t: diagnostics.layout_report(t, LAYOUT_CANDIDATES)),
     "layout_estimate": _telemetry(lambda t: diagnostics.layout_estimate(t, LAYOUT_CANDIDATES)),
+    "hour_intervals": _telemetry(hour_intervals),
     "weighted_draw": weighted_draw,
     # Sources and sinks
     "text_scan": text_scan,

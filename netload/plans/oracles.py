@@ -347,6 +347,12 @@ ORACLES: dict[str, str] = {
     ),
     "hot_cells": _sql("SELECT cell_id FROM volumes WHERE volume > 0.01 * (SELECT COUNT(*) FROM events)"),
     "layout_report": _sql(" UNION ALL ".join(_layout(c) for c in ("niveau", "heure", "cell_id", "ts"))),
+    "hour_intervals": _sql(
+        ", poids AS (SELECT heure, COUNT(*) AS poids FROM telemetrie GROUP BY heure) "
+        "SELECT a.heure, a.poids, CAST(SUM(b.poids) AS BIGINT) AS haut, "
+        "CAST(SUM(b.poids) AS BIGINT) - a.poids AS bas "
+        "FROM poids a JOIN poids b ON b.heure <= a.heure GROUP BY a.heure, a.poids"
+    ),
     "weighted_draw": _sql(
         f"""
         , poids AS (SELECT heure, COUNT(*) AS poids FROM telemetrie GROUP BY heure),

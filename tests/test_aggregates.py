@@ -1,10 +1,12 @@
 import random
 import statistics
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import plan, values
-from netload.operators import aggregates, caching, diagnostics
+from netload.operators import aggregates, caching, diagnostics, filters
 from netload.plans import incidents
 from netload.sources import tables
 
@@ -131,6 +133,33 @@ def test_kept_table_is_read_from_cache_then_released(spark, sf_dir):
     assert "InMemoryTableScan" not in plan(aggregates.count_by(rows, "cell_id"))
 
 
+def test_parsed_lines_are_read_once_and_used_twice(spark, sf_dir):
+    lines = filters.lines_of_level(tables.lines(tables.telemetry(spark, sf_dir)), "ERROR")
+    parsed = filters.parsed(lines, "cell_id STRING, event STRING")
+    with caching.kept(parsed) as errors:
+        by_cell = aggregates.count_by(errors, "cell_id")
+        assert "InMemoryTableScan" in plan(by_cell) and "from_json" not in plan(by_cell).split("InMemoryRelation")[0]
+        total = errors.count()
+        assert sum(r.evenements for r in by_cell.collect()) == total
+    assert total == filters.of_level(tables.telemetry(spark, sf_dir), "ERROR").count()
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 3), st.integers(-50, 10**9)), min_size=1, max_size=40))
+def test_partials_merge_in_any_grouping(spark, drawn):
+    rows = spark.createDataFrame(drawn, "cell_id STRING, lot INT, latence_ms BIGINT")
+    whole = aggregates.partials(rows, ["cell_id"], "latence_ms")
+    by_lot = aggregates.partials(rows, ["cell_id", "lot"], "latence_ms")
+    in_two_steps = aggregates.merged(
+        aggregates.merged(by_lot.withColumn("paire", F.col("lot") % 2), "cell_id", "paire"), "cell_id"
+    )
+    assert values(aggregates.merged(by_lot, "cell_id")) == values(in_two_steps) == values(whole)
+    means = dict(values(aggregates.finished(whole, "m")))
+    for cell, mean in means.items():
+        xs = [x for c, _, x in drawn if c == cell]
+        assert mean == sum(xs) / len(xs)
+
+
 def test_kept_table_is_released_after_an_error(spark):
     rows = spark.range(3)
     try:

@@ -166,6 +166,14 @@ def test_blank_lines_in_a_result_are_skipped(spark, tmp_path):
     assert [r.taux_charge for r in readers.read_result(spark, str(path)).collect()] == [95.0, 90.0]
 
 
+def test_empty_delivery_is_a_result(spark, tmp_path):
+    path = str(tmp_path / "saturation")
+    writers.deliver(spark.createDataFrame([], schemas.SATURATION), path)
+    rows = readers.read_result(spark, path)
+    assert rows.columns == schemas.names(schemas.SATURATION) and rows.isEmpty()
+    assert diagnostics.freshness(spark, path, rows).first().alertes == 0
+
+
 def test_freshness(spark, sf_dir, tmp_path):
     path = tmp_path / "saturation"
     rows = saturated(spark, sf_dir)
