@@ -66,11 +66,17 @@ def join_merge(fact: DataFrame, dimension: DataFrame, key: str, how: str = "inne
     return fact.join(dimension.hint("merge"), key, how)
 
 
-def hot_keys(fact: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys holding more than ``share`` of the rows; fewer than ``1/share`` by construction."""
+def hot_keys(fact: DataFrame, key: str, slices: int) -> DataFrame:
+    """Keys with more than one ``slices``-th of the rows, and how many such slices
+    (``tranches``) each fills.
+
+    By construction there are fewer than ``slices`` keys, and fewer than twice
+    ``slices`` tranches in all.
+    """
     total = fact.agg(F.count("*")).scalar()
     counts = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("volume"))
-    return counts.filter(F.col("volume") > total * share).select(key)
+    filled = F.ceil(F.col("volume") * slices / total).cast("int").alias("tranches")
+    return counts.filter(F.col("volume") * slices > total).select(key, filled)
 
 
 def join_salted(
@@ -78,28 +84,31 @@ def join_salted(
     dimension: DataFrame,
     key: str,
     how: str = "inner",
-    salts: int = 16,
-    share: float = 0.01,
+    slices: int | None = None,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Shuffle join that cuts each hot key into ``salts`` slices.
-
-    For dimensions too large to broadcast. Only hot keys are salted, so only
-    their dimension rows are copied; the list of hot keys has fewer than
-    ``1/share`` entries, which is what makes broadcasting it safe. The salt is
-    a hash of the row's own columns, so a task run again after a failure sends
-    every row to the same place.
+    """Shuffle join that cuts each hot key into as many parts as it fills partitions.
+
+    For dimensions too large to broadcast. ``slices`` is the number of shuffle
+    partitions to fill evenly, by default the session's. A key with a third of
+    the rows spreads over a third of them; its dimension row is copied that
+    often, other rows are not copied. The list of hot keys is shorter than
+    ``slices``, which is what makes broadcasting it safe. The part is a hash of
+    the row's own columns (``spread_by``: those that differ between rows of a
+    key), so a task run again after a failure sends every row to the same place.
     """
     if how not in ("inner", "left"):
         raise ValueError("a salted join copies dimension rows, so only inner and left keep their meaning")
-    hot = F.broadcast(hot_keys(fact, key, share).withColumn("_chaude", F.lit(True)))
-    slice_of = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(salts)).cast("int")
+    if slices is None:
+        slices = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(fact, key, slices))
     # A NULL key matches nothing, but in a left join its rows still need spreading.
-    spread = F.col("_chaude") | F.col(key).isNull()
-    salted_fact = fact.join(hot, key, "left").withColumn(
-        "_sel", F.coalesce(F.when(spread, slice_of), F.lit(0))
+    parts = F.when(F.col(key).isNull(), F.lit(slices)).otherwise(F.coalesce(F.col("tranches"), F.lit(1)))
+    part = F.when(parts > 1, F.pmod(F.xxhash64(*(spread_by or fact.columns)), parts))
+    salted_fact = fact.join(hot, key, "left").withColumn("_part", F.coalesce(part, F.lit(0)).cast("int"))
+    last = F.coalesce(F.col("tranches"), F.lit(1)) - 1
+    salted_dimension = dimension.join(hot, key, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), last))
     )
-    copies = F.when(F.col("_chaude"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_dimension = dimension.join(hot, key, "left").withColumn("_sel", F.explode(copies))
-    joined = salted_fact.drop("_chaude").join(salted_dimension.drop("_chaude"), [key, "_sel"], how)
-    return joined.drop("_sel")
+    joined = salted_fact.drop("tranches").join(salted_dimension.drop("tranches"), [key, "_part"], how)
+    return joined.drop("_part")

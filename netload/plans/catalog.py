@@ -327,7 +327,7 @@ QUERIES: dict[str, Query] = {
         lambda t: diagnostics.skew_profile(diagnostics.volume_by_key(t, "cell_id"))
     ),
     "skewed_cells": _telemetry(skewed_cells),
-    "hot_cells": _telemetry(lambda t: joins.hot_keys(t, "cell_id", 0.01)),
+    "hot_cells": _telemetry(lambda t: joins.hot_keys(t, "cell_id", 100)),
     "hash_partition_profile": _telemetry(lambda t: diagnostics.partition_profile(t, "cell_id", PARTITIONS)),
     "aqe_skew_flags": _telemetry(
         lambda t: diagnostics.skew_flags(diagnostics.hash_partition_volumes(t, "cell_id", PARTITIONS))

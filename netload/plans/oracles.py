@@ -345,7 +345,11 @@ ORACLES: dict[str, str] = {
         SKEW_PROFILE + "SELECT cell_id, volume, mediane, volume > 5 * mediane AND volume > 100 AS desequilibree "
         "FROM volumes, profil"
     ),
-    "hot_cells": _sql("SELECT cell_id FROM volumes WHERE volume > 0.01 * (SELECT COUNT(*) FROM events)"),
+    "hot_cells": _sql(
+        ", taille AS (SELECT COUNT(*) AS n FROM events) "
+        "SELECT cell_id, CAST(CEIL(volume * 100 / n::DOUBLE) AS INTEGER) AS tranches "
+        "FROM volumes, taille WHERE volume * 100 > n"
+    ),
     "layout_report": _sql(" UNION ALL ".join(_layout(c) for c in ("niveau", "heure", "cell_id", "ts"))),
     "hour_intervals": _sql(
         ", poids AS (SELECT heure, COUNT(*) AS poids FROM telemetrie GROUP BY heure) "

@@ -31,8 +31,9 @@ def test_every_strategy_gives_the_same_rows(skewed, setting, how):
         joins.join_broadcast(fact, dimension, "cle", how, max_bytes=10**6),
         joins.join_merge(fact, dimension, "cle", how),
         joins.join_salted(fact, dimension, "cle", how),
-        joins.join_salted(fact, dimension, "cle", how, salts=3, share=0.3, spread_by=["x"]),
-        joins.join_salted(fact, dimension, "cle", how, salts=1, share=0.9),
+        joins.join_salted(fact, dimension, "cle", how, slices=3, spread_by=["x"]),
+        joins.join_salted(fact, dimension, "cle", how, slices=1),
+        joins.join_salted(fact, dimension, "cle", how, slices=500),
     ):
         assert values(joined, "cle", "x", "secteur") == expected
 
@@ -57,7 +58,8 @@ def test_salted_join_cuts_the_hot_key(skewed, setting):
         return sizes.agg(F.max("count")).first()[0]
 
     assert largest(joins.join_merge(fact, dimension, "cle")) == 400
-    assert largest(joins.join_salted(fact, dimension, "cle", salts=16)) < 100
+    # A third of the rows over a third of the 64 partitions.
+    assert largest(joins.join_salted(fact, dimension, "cle")) < 100
 
 
 def test_salted_join_refuses_other_join_types(skewed):
@@ -65,10 +67,14 @@ def test_salted_join_refuses_other_join_types(skewed):
         joins.join_salted(*skewed, "cle", "full")
 
 
-def test_hot_keys_are_fewer_than_the_share_allows(skewed):
+def test_hot_keys_and_their_parts(skewed):
     fact, _ = skewed
-    assert values(joins.hot_keys(fact, "cle", 0.3)) == [("chaude",)]
-    assert joins.hot_keys(fact, "cle", 0.005).count() < 200
+    # 400 of 1,200 rows: more than a quarter, a third of 30 slices.
+    assert values(joins.hot_keys(fact, "cle", 4)) == [("chaude", 2)]
+    assert values(joins.hot_keys(fact, "cle", 30)) == [("chaude", 10)]
+    for slices in (3, 50, 200, 1000):
+        hot = joins.hot_keys(fact, "cle", slices).collect()
+        assert len(hot) < slices and sum(r.tranches for r in hot) < 2 * slices
 
 
 def test_duplicate_dimension_rows_multiply_as_in_a_plain_join(spark, skewed):
