@@ -67,14 +67,14 @@ def join_merge(fact: DataFrame, dimension: DataFrame, key: str, how: str = "inne
 
 
 def hot_keys(fact: DataFrame, key: str, slices: int) -> DataFrame:
-    """Keys with more than one ``slices``-th of the rows, and how many such slices
-    (``tranches``) each fills.
+    """Keys with more than one ``slices``-th of the rows that have a key, and how many
+    such slices (``tranches``) each fills.
 
     By construction there are fewer than ``slices`` keys, and fewer than twice
     ``slices`` tranches in all.
     """
-    total = fact.agg(F.count("*")).scalar()
     counts = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("volume"))
+    total = counts.agg(F.sum("volume")).scalar()
     filled = F.ceil(F.col("volume") * slices / total).cast("int").alias("tranches")
     return counts.filter(F.col("volume") * slices > total).select(key, filled)
 

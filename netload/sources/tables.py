@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from netload import schemas
 from netload.functions import moments, text
-from netload.operators import projections
 
 # Event names of each severity level.
 EVENTS = {
@@ -36,17 +35,15 @@ def _event_name(level: str, index: Column) -> Column:
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as telemetry: ts, cell_id, niveau, event, three measures, heure."""
-    k, cents = F.col("k"), F.round(F.col("value") * 100).cast("bigint")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    cents = F.round(F.col("value") * 100).cast("bigint")
     # Null-safe tests in nested, not chained, branches: in this form the optimizer
     # turns a filter on the level into one on event_type, and the scan applies it.
     error, signup = F.col("event_type").eqNullSafe("error"), F.col("event_type").eqNullSafe("signup")
-    number = F.when(k < HOT_SHARE_PERCENT, F.lit(1)).otherwise(F.col("user_id") + 1)
-    events = projections.computed_once(
-        table(spark, sf_dir, "events"), k=F.get_json_object("props", "$.k").cast("bigint")
-    )
-    return events.select(
+    usual = text.cell_name(F.col("user_id") + 1)
+    return table(spark, sf_dir, "events").select(
         "ts",
-        text.cell_name(number).alias("cell_id"),
+        F.when(k < HOT_SHARE_PERCENT, text.cell_name(F.lit(1))).otherwise(usual).alias("cell_id"),
         F.when(error, "ERROR").otherwise(F.when(signup, "WARN").otherwise("INFO")).alias("niveau"),
         F.when(error, _event_name("ERROR", k))
         .otherwise(F.when(signup, _event_name("WARN", k)).otherwise(_event_name("INFO", k)))
