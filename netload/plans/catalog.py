@@ -96,8 +96,7 @@ def skewed_cells(telemetry: DataFrame) -> DataFrame:
 
 def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line whose latency ends in 0 is cut short; counts what parses and what is kept raw."""
-    rows = tables.telemetry(spark, sf_dir)
-    whole = tables.lines(rows)
+    whole = tables.lines(tables.telemetry(spark, sf_dir))
     cut = F.expr("substring(value, 1, length(value) - 5)")
     latency = text.json_field(F.col("value"), "latence_ms").cast("bigint")
     damaged = whole.select(F.when(latency % 10 == 0, cut).otherwise(F.col("value")).alias("value"))

@@ -24,7 +24,11 @@ def read_ndjson_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
-    """Declared schema, one pass. Bad lines stay, raw, in ``_corrupt_record``."""
+    """Declared schema, one pass. Bad lines stay, raw, in ``_corrupt_record``.
+
+    Spark refuses a query on raw JSON that uses that column alone; select a
+    data column with it.
+    """
     return (
         spark.read.schema(schemas.with_rejects(schemas.TELEMETRY))
         .option("mode", "PERMISSIVE")

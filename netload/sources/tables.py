@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from netload import schemas
 from netload.functions import moments, text
+from netload.operators import projections
 
 # Event names of each severity level.
 EVENTS = {
@@ -84,4 +85,4 @@ def lines(telemetry_rows: DataFrame) -> DataFrame:
         moments.iso_text(F.col("ts")).alias("ts") if name == "ts" else F.col(name)
         for name in schemas.names(schemas.TELEMETRY)
     ]
-    return telemetry_rows.select(text.to_line(*record).alias("value"))
+    return projections.computed_once(telemetry_rows, value=text.to_line(*record)).select("value")
