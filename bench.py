@@ -9,20 +9,19 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import sys
 import tempfile
 import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netload.operators import aggregates, caching, filters, joins
+from netload.operators import aggregates, caching, diagnostics, filters, joins
 from netload.plans import catalog, incidents, load
 from netload.sources import readers, tables, writers
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 
 HEADLINE = [
     "saturation", "charge", "charge_join_first", "error_by_event", "error_by_event_from_text",
@@ -77,8 +76,9 @@ def finish(frame: DataFrame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
-def pairs(bench: Bench, spark: SparkSession, folder: str) -> None:
-    """Before/after measurements on one NDJSON file and the Parquet table made from it."""
+def measure_pairs(bench: Bench, spark: SparkSession, folder: str) -> dict:
+    """Times the before/after pairs on one NDJSON file and the Parquet table made from it;
+    returns the size of both."""
     source, target = f"{folder}/ndjson", f"{folder}/parquet"
     writers.write_lines(tables.lines(tables.telemetry(spark, SF_DIR)), source)
     bench.run("convert_ndjson_to_parquet", lambda: writers.ndjson_to_parquet(spark, source, target), 1)
@@ -95,6 +95,9 @@ def pairs(bench: Bench, spark: SparkSession, folder: str) -> None:
     bench.frame("filtered_parquet", lambda: slow_errors(events))
     bench.frame("table_saturation", lambda: load.saturated(load.load_table(events, cells)))
     bench.frame("table_mean", lambda: aggregates.mean_by(events, "cell_id", "latence_ms", "m"))
+    # What the mean would ship without map-side combine, and without projection either.
+    bench.frame("ship_values", lambda: filters.key_value(events, "cell_id", "latence_ms").repartition("cell_id"))
+    bench.frame("ship_records", lambda: events.repartition("cell_id"))
     for name, join in (("merge", joins.join_merge), ("broadcast", joins.join_broadcast)):
         bench.frame(f"table_join_{name}", lambda join=join: incidents.latency_by_sector(events, cells, join))
     bench.frame("table_join_salted", lambda: incidents.latency_by_sector_salted(events, cells))
@@ -111,6 +114,28 @@ def pairs(bench: Bench, spark: SparkSession, folder: str) -> None:
     bench.run("battery_uncached", lambda: three(table))
     with caching.kept(table) as cached:
         bench.run("battery_cached", lambda: three(cached))
+    return diagnostics.size_ratio(spark, source, target).first().asDict()
+
+
+def before_after(seconds: dict, stages: dict, sizes: dict) -> dict:
+    """The pairs as [before, after, ratio]."""
+    shuffled = {name: figures["shuffle_bytes"] for name, figures in stages.items()}
+    skewed = stages["skewed_join_200_aqe_false"]
+    pairs = {
+        "shuffle_bytes_values_to_partials": (shuffled["ship_values"], shuffled["table_mean"]),
+        "shuffle_bytes_records_to_values": (shuffled["ship_records"], shuffled["ship_values"]),
+        "seconds_records_to_partials": (seconds["ship_records"], seconds["table_mean"]),
+        "seconds_inferred_to_declared": (seconds["read_inferred"], seconds["read_declared"]),
+        "bytes_ndjson_to_parquet": (sizes["octets_avant"], sizes["octets_apres"]),
+        "seconds_filtered_json_to_parquet": (seconds["filtered_json"], seconds["filtered_parquet"]),
+        "seconds_join_merge_to_broadcast": (seconds["table_join_merge"], seconds["table_join_broadcast"]),
+        "seconds_join_merge_to_preaggregated": (seconds["table_join_merge"], seconds["table_join_preagg"]),
+        "shuffle_bytes_merge_to_preaggregated": (shuffled["table_join_merge"], shuffled["table_join_preagg"]),
+        "records_skewed_join_max_to_median_task": (skewed["max_read"], skewed["median_read"]),
+        "tasks_without_to_with_aqe": (skewed["tasks"], stages["skewed_join_200_aqe_true"]["tasks"]),
+        "seconds_battery_uncached_to_cached": (seconds["battery_uncached"], seconds["battery_cached"]),
+    }
+    return {name: [a, b, round(a / b, 2) if b else None] for name, (a, b) in pairs.items()}
 
 
 def stage_figures(logs: str) -> dict:
@@ -151,19 +176,20 @@ def main() -> None:
     for name in HEADLINE:
         bench.frame(name, lambda name=name: catalog.QUERIES[name](spark, SF_DIR))
     headline = round(sum(bench.seconds.values()), 3)
-    pairs(bench, spark, folder)
+    sizes = measure_pairs(bench, spark, folder)
     spark.stop()
+    stages = stage_figures(logs)
     result = {
         "metric": f"total of {len(HEADLINE)} headline queries",
         "value": headline,
         "unit": "sec",
         "queries": bench.seconds,
         "sf": Path(SF_DIR).name.removeprefix("sf"),
-        "stages": stage_figures(logs),
+        "pairs": before_after(bench.seconds, stages, sizes),
+        "stages": stages,
     }
     print(json.dumps(result))
 
 
 if __name__ == "__main__":
-    sys.path.insert(0, str(Path(__file__).resolve().parent))
     main()

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netload.functions import rates
-from netload.operators import projections
+from netload.operators import joins, projections
 
 
 def count_by(records: DataFrame, *keys: str, name: str = "evenements") -> DataFrame:
@@ -84,18 +84,24 @@ def median_by_ranges(
 ) -> DataFrame:
     """``median_by`` for measures with any number of distinct values.
 
-    Cuts the measure into ranges of about equal weight, finds per key which
-    range holds each middle rank, and orders only that range's values. No task
-    ever holds a whole key, and the result is exact wherever the cuts fall.
-    Runs one job to find the cuts: a coarse sketch, ``ranges`` numbers long.
-    Being constants of the query they stay the same if a task runs again.
+    Cuts the measure into ranges of about equal weight, counts rows per key and
+    range, and orders only the values of the range that holds a middle rank. No
+    task ever holds a whole key, and the result is exact wherever the cuts fall.
+
+    The ranges to look into, at most two per key, are broadcast if they are
+    measured small: the second pass then drops all other rows before anything
+    moves. For too many keys it folds rows by value first.
+
+    Runs two jobs: a coarse sketch for the cuts, which as constants of the query
+    stay the same if a task runs again, and the size check.
     """
     positions = [i / ranges for i in range(1, ranges)]
     found = records.agg(F.percentile_approx(measure, positions, 4 * ranges)).first()[0]
     plage = projections.range_index(F.col("x"), sorted(set(found or [])))
-    cut = projections.computed_once(_folded(records, key, measure), plage=plage)
+    known = records.filter(F.col(measure).isNotNull()).select(key, F.col(measure).alias("x"))
+    ranged = projections.computed_once(known, plage=plage)
 
-    weights = cut.groupBy(key, "plage").agg(F.sum("n").alias("poids"))
+    weights = ranged.groupBy(key, "plage").agg(F.count("*").alias("poids"))
     before = Window.partitionBy(key).orderBy("plage").rowsBetween(Window.unboundedPreceding, 0)
     placed = weights.select(
         key,
@@ -112,9 +118,15 @@ def median_by_ranges(
         F.when(holds(low), low - F.col("avant")).alias("bas"),
         F.when(holds(high), high - F.col("avant")).alias("haut"),
     )
-    inside = Window.partitionBy(key, "plage").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    if joins.fits_broadcast(wanted):
+        rows, wanted = ranged.withColumn("n", F.lit(1)), F.broadcast(wanted)
+    else:
+        rows = projections.computed_once(_folded(records, key, measure), plage=plage)
+
     same = F.col(key).eqNullSafe(F.col("_cle")) & (F.col("plage") == F.col("_plage"))
-    ranked = cut.join(wanted, same).withColumn("dernier", F.sum("n").over(inside))
+    values = rows.join(wanted, same).groupBy(key, "plage", "x", "bas", "haut").agg(F.sum("n").alias("n"))
+    inside = Window.partitionBy(key, "plage").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.withColumn("dernier", F.sum("n").over(inside))
     reached = lambda rank: F.min(F.when(F.col("dernier") >= F.col(rank), F.col("x")))
     per_range = ranked.groupBy(key, "plage").agg(reached("bas").alias("b"), reached("haut").alias("h"))
     # Each of the two middle values comes from exactly one range.

@@ -37,16 +37,19 @@ def measured_bytes(rows: DataFrame) -> int:
     return rows.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
 
 
+def fits_broadcast(rows: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether the measured size is within the limit, by default the session's. Runs a job."""
+    limit = broadcast_limit(rows.sparkSession) if max_bytes is None else max_bytes
+    return limit >= 0 and measured_bytes(rows) <= limit
+
+
 def bounded_broadcast(dimension: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """The dimension with a broadcast hint if its measured size allows, else as it is.
 
     Beyond the limit Spark shuffles both sides and adaptive execution splits
     skewed partitions. Runs one sizing job over the dimension.
     """
-    limit = broadcast_limit(dimension.sparkSession) if max_bytes is None else max_bytes
-    if limit < 0 or measured_bytes(dimension) > limit:
-        return dimension
-    return F.broadcast(dimension)
+    return F.broadcast(dimension) if fits_broadcast(dimension, max_bytes) else dimension
 
 
 def join_auto(fact: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:

@@ -28,13 +28,17 @@ def sector_alerts(saturated: DataFrame) -> DataFrame:
 
 def kpi(saturated: DataFrame) -> DataFrame:
     """One row of headline figures, with defaults when nothing is saturated."""
-    worst = F.min(F.struct((-F.col("taux_charge")).alias("oppose"), "cell_id", "heure"))
+    worst = ranking.top(saturated, 1, "taux_charge", "cell_id", "heure").select("cell_id").scalar()
     return saturated.agg(
         F.count("*").alias("alertes"),
         F.countDistinct("secteur").alias("secteurs"),
         F.coalesce(F.max("taux_charge"), F.lit(0.0)).alias("pire_taux"),
-        F.coalesce(worst["cell_id"], F.lit(rates.NO_CELL)).alias("cellule_critique"),
-    ).withColumn("bande", rates.band(F.col("pire_taux")))
+    ).withColumns(
+        {
+            "cellule_critique": F.coalesce(worst, F.lit(rates.NO_CELL)),
+            "bande": rates.band(F.col("pire_taux")),
+        }
+    )
 
 
 def top_situations(saturated: DataFrame, k: int = TOP_SIZE) -> DataFrame:

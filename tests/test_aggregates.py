@@ -1,6 +1,7 @@
 import random
 import statistics
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -58,7 +59,9 @@ def test_whole_record_and_projected_counts_agree(spark, sf_dir):
     assert "ReadSchema: struct<user_id:bigint,props:string>" in plan(aggregates.count_by(rows, "cell_id"))
 
 
-def test_median_matches_brute_force(spark):
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_median_matches_brute_force(spark, setting, broadcast):
+    setting(spark__sql__autoBroadcastJoinThreshold=broadcast)
     rng = random.Random(7)
     data = {f"c{i}": [rng.randrange(50) for _ in range(rng.randrange(1, 60))] for i in range(40)}
     data["chaude"] = [rng.randrange(500) for _ in range(3001)]
