@@ -36,7 +36,7 @@ def _event_name(level: str, index: Column) -> Column:
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as telemetry: ts, cell_id, niveau, event, three measures, heure."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
     cents = F.round(F.col("value") * 100).cast("bigint")
     # Null-safe tests in nested, not chained, branches: in this form the optimizer
     # turns a filter on the level into one on event_type, and the scan applies it.
