@@ -23,7 +23,7 @@ def write_telemetry(records: DataFrame, path: str, compact: bool = False) -> Non
     Without ``compact`` rows do not move: each task writes at most one file per
     level. With it, a rebalance evens out file sizes: unlike a plain
     repartition by level, it splits the level that holds nine rows in ten over
-    many tasks.
+    many tasks. The splitting is adaptive execution's, so leave that on.
     """
     rows = records.hint("rebalance", "niveau") if compact else records
     rows.write.mode("overwrite").partitionBy("niveau").parquet(path)
