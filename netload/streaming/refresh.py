@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from netload import schemas
@@ -33,7 +32,7 @@ def refresh_saturation(
     replaces the result, so a batch replayed after a failure changes nothing.
     ``checkpoint`` must lie in storage all executors share.
     """
-    totals = load.connection_partials(stream.filter(F.col("heure").isNotNull()))
+    totals = load.connection_partials(stream)
 
     def replace_result(parts: DataFrame, _batch: int) -> None:
         # Kept because the sort samples its input first: the state is then updated once.

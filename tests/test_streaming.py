@@ -34,13 +34,16 @@ def test_restart_continues_from_the_checkpoint(spark, sf_dir, tmp_path):
     assert values(readers.read_result(spark, target)) == values(load.saturated(load.load_table(events, cells)))
 
 
-def test_unreadable_lines_do_not_stop_the_stream(spark, sf_dir, tmp_path):
+def test_bad_lines_count_as_in_batch(spark, sf_dir, tmp_path):
     cells = tables.cells(spark, sf_dir)
     source = tmp_path / "in"
     source.mkdir()
     (source / "a.json").write_text(
         'garbage\n{"ts":"2026-10-24T08:00:00.000Z","cell_id":"CELL_0001","connexions_actives":5000}\n'
+        '{"ts":"x","cell_id":"CELL_0001","connexions_actives":6000}\n'
     )
     run(spark, str(source), cells, str(tmp_path / "out"), str(tmp_path / "state"))
-    rows = readers.read_result(spark, str(tmp_path / "out")).collect()
-    assert [(r.cell_id, r.heure) for r in rows] == [("CELL_0001", 8)]
+    rows = values(readers.read_result(spark, str(tmp_path / "out")))
+    batch = readers.timed(readers.read_ndjson(spark, str(source)))
+    assert rows == values(load.saturated(load.load_table(batch, cells)))
+    assert {(r[0], r[3]) for r in rows} == {("CELL_0001", 8), ("CELL_0001", None)}
