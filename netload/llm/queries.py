@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from netload.llm.ngram_join import op4_ngram_jaccard_join
+from netload.llm.packing import op10_harmonic_packing
 from netload.llm.quality_rules import op3_quality_rules
+from netload.llm.sharding import op8_sharding
 from netload.llm.substring_dedup import op6_substring_dedup
 
-_ALL = [op3_quality_rules, op4_ngram_jaccard_join, op6_substring_dedup]
+_ALL = [op3_quality_rules, op4_ngram_jaccard_join, op6_substring_dedup, op8_sharding, op10_harmonic_packing]
 
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}

@@ -7,6 +7,9 @@ bounded size; only new ones reach the tokenizers library.
 
 from __future__ import annotations
 
+import os
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -14,9 +17,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from netload.llm.wordhash import slices
+
 #: Entries that a process remembers of each kind before it starts afresh.
-REMEMBERED = 400_000
-SLICE_BYTES = 4 << 20
+REMEMBERED = 700_000
+#: Bytes of text encoded at a time, unless one text is longer.
+SLICE_BYTES = 8 << 20
 
 #: The patterns of the two vocabularies' pre-tokenizers.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -25,10 +31,28 @@ _WIDE_SPACE = r"\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{
 _IRREGULAR = rf" ([ \t\n\v\f\r{_WIDE_SPACE}]|\z)"
 
 
+def _shown_bytes() -> dict[int, str]:
+    """The character by which byte-level vocabularies show each byte: itself if visible, else the next from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    out, following = {}, 256
+    for b in range(256):
+        out[b] = chr(b if b in visible else following)
+        following += b not in visible
+    return out
+
+
+_BYTES = _shown_bytes()
+
+
+def _shown(piece: str) -> str:
+    return piece.encode().decode("latin-1").translate(_BYTES)
+
+
 class Ids:
     """Ids of texts by one tokenizer file, loaded once per process."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -40,29 +64,42 @@ class Ids:
         self._chunks: dict[str, int] = {}
         self._blob, self._starts = bytearray(), [0]
 
-    def _encode(self, lists: list[list[str]]) -> None:
-        """Adds one entry for each list of pieces."""
+    def _library(self, piece: str) -> bytes:
+        """Ids of one piece by all steps of the tokenizer."""
+        return np.array(self._tokenizer.encode(piece, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _model(self, piece: str) -> bytes:
+        """Ids of one piece that the steps before the merges leave whole."""
+        shown = piece if piece.isascii() and " " not in piece and piece.isprintable() else _shown(piece)
+        return array("I", [t.id for t in self._tokenizer.model.tokenize(shown)]).tobytes()
+
+    def _encode(self, chunks: list[str]) -> None:
+        """Adds one entry for each chunk."""
         if len(self._pieces) > REMEMBERED:
             self._pieces = {}
-        known = self._pieces
-        new = list({p for pieces in lists for p in pieces if p not in known})
-        for piece, found in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[piece] = np.array(found.ids, np.uint32).tobytes()
-        for pieces in lists:
-            for p in pieces:
-                self._blob += known[p]
-            self._starts.append(len(self._blob) // 4)
-
-    def _split(self, chunk: str) -> list[str]:
+        known, blob, starts = self._pieces, self._blob, self._starts
+        for chunk in chunks:
+            pieces = self._split(chunk)
+            if pieces is None:
+                blob += self._library(chunk)
+            else:
+                for p in pieces:
+                    found = known.get(p)
+                    if found is None:
+                        found = known[p] = self._model(p)
+                    blob += found
+            starts.append(len(blob) // 4)
+
+    def _split(self, chunk: str) -> list[str] | None:
+        """Pieces as the merges get them; None if that needs the library's own steps."""
         raise NotImplementedError
 
     def _codes(self, chunks: list[str]) -> np.ndarray:
         known = self._chunks
         new = [c for c in chunks if c not in known]
         base = len(self._starts) - 1
-        self._encode([self._split(c) for c in new])
-        for i, c in enumerate(new):
-            known[c] = base + i
+        self._encode(new)
+        known.update(zip(new, range(base, base + len(new))))
         return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
 
     def _parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -91,12 +128,12 @@ class Ids:
 class WordIds(Ids):
     """For vocabularies that drop white space and lower the case: parts are the words."""
 
-    _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-    _PLAIN = regex.compile(r"[\x21-\x7e]+")
+    _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
+    #: Other alphabets may compose or change length under the normalizer.
+    _PLAIN = regex.compile(r"[\x21-\x7e\xc0-\xff]*")
 
-    def _split(self, chunk: str) -> list[str]:
-        # Other alphabets may compose or change length under the normalizer: one piece.
-        return self._PIECES.findall(chunk) if self._PLAIN.fullmatch(chunk) else [chunk]
+    def _split(self, chunk: str) -> list[str] | None:
+        return self._PIECES.findall(chunk.lower()) if self._PLAIN.fullmatch(chunk) else None
 
     def _parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
@@ -127,7 +164,7 @@ class ByteIds(Ids):
         own = np.flatnonzero(odd)
         if len(own):  # each such text is one part of its own, not remembered
             base = len(self._starts) - 1
-            self._encode([self._split(texts[int(i)].as_py()) for i in own])
+            self._encode([texts[int(i)].as_py() for i in own])
             codes[(np.cumsum(parts) - parts)[own]] = base + np.arange(len(own))
         return codes, parts
 
@@ -135,3 +172,7 @@ class ByteIds(Ids):
 @lru_cache(maxsize=4)
 def ids_by(kind: type[Ids], path: str) -> Ids:
     return kind(path)
+
+
+def slices_of(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    return slices(batch, column, SLICE_BYTES)
