@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from netload.llm.ngram_join import op4_ngram_jaccard_join
 from netload.llm.packing import op10_harmonic_packing
+from netload.llm.pivot_search import OP1_SQL, op1_pivot_top_k
 from netload.llm.planes import op9_bit_plane_output
 from netload.llm.quality_rules import op3_quality_rules
 from netload.llm.sharding import op8_sharding
 from netload.llm.substring_dedup import op6_substring_dedup
 
-_ALL = [op3_quality_rules, op4_ngram_jaccard_join, op6_substring_dedup, op8_sharding,
+_ALL = [op1_pivot_top_k, op3_quality_rules, op4_ngram_jaccard_join, op6_substring_dedup, op8_sharding,
         op9_bit_plane_output, op10_harmonic_packing]
 
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_pivot_top_k": OP1_SQL}
