@@ -46,6 +46,11 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return _powers(room, inverse)[:n] if room == SLICE_BYTES else _powers.__wrapped__(room, inverse)[:n]
 
 
+def byte_codes(data: np.ndarray) -> np.ndarray:
+    """What ``range_hashes`` takes for bytes."""
+    return _BYTE_CODE[data]
+
+
 def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Rabin-Karp hashes of the ranges ``codes[start:end]``, from prefix sums modulo 2**64."""
     n = len(codes)
@@ -68,7 +73,7 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        return range_hashes(_BYTE_CODE[self.data], self.starts, self.ends)
+        return range_hashes(byte_codes(self.data), self.starts, self.ends)
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
