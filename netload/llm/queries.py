@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from netload.llm.byte_bpe import op7_byte_level_bpe
 from netload.llm.lattice_lm import op2_lattice_score
 from netload.llm.license_scan import op5_license_scan
 from netload.llm.ngram_join import op4_ngram_jaccard_join
@@ -12,8 +13,10 @@ from netload.llm.quality_rules import op3_quality_rules
 from netload.llm.sharding import op8_sharding
 from netload.llm.substring_dedup import op6_substring_dedup
 
-_ALL = [op1_pivot_top_k, op2_lattice_score, op3_quality_rules, op4_ngram_jaccard_join, op5_license_scan, op6_substring_dedup, op8_sharding,
-        op9_bit_plane_output, op10_harmonic_packing]
+_ALL = [
+    op1_pivot_top_k, op2_lattice_score, op3_quality_rules, op4_ngram_jaccard_join, op5_license_scan,
+    op6_substring_dedup, op7_byte_level_bpe, op8_sharding, op9_bit_plane_output, op10_harmonic_packing,
+]
 
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {"op1_pivot_top_k": OP1_SQL}

@@ -64,30 +64,32 @@ class Ids:
         self._chunks: dict[str, int] = {}
         self._blob, self._starts = bytearray(), [0]
 
-    def _library(self, piece: str) -> bytes:
-        """Ids of one piece by all steps of the tokenizer."""
-        return np.array(self._tokenizer.encode(piece, add_special_tokens=False).ids, np.uint32).tobytes()
-
-    def _model(self, piece: str) -> bytes:
-        """Ids of one piece that the steps before the merges leave whole."""
-        shown = piece if piece.isascii() and " " not in piece and piece.isprintable() else _shown(piece)
-        return array("I", [t.id for t in self._tokenizer.model.tokenize(shown)]).tobytes()
+    def _library(self, text: str) -> bytes:
+        """Ids of a text by all steps of the tokenizer."""
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that the steps before the merges leave whole."""
+        model, out = self._tokenizer.model, []
+        for piece in pieces:
+            shown = piece if piece.isascii() and " " not in piece and piece.isprintable() else _shown(piece)
+            out.append(array("I", [t.id for t in model.tokenize(shown)]).tobytes())
+        return out
 
     def _encode(self, chunks: list[str]) -> None:
         """Adds one entry for each chunk."""
         if len(self._pieces) > REMEMBERED:
             self._pieces = {}
         known, blob, starts = self._pieces, self._blob, self._starts
-        for chunk in chunks:
-            pieces = self._split(chunk)
+        lists = [self._split(chunk) for chunk in chunks]
+        new = list({p for pieces in lists if pieces for p in pieces if p not in known})
+        known.update(zip(new, self._merged(new)))
+        for chunk, pieces in zip(chunks, lists):
             if pieces is None:
                 blob += self._library(chunk)
             else:
                 for p in pieces:
-                    found = known.get(p)
-                    if found is None:
-                        found = known[p] = self._model(p)
-                    blob += found
+                    blob += known[p]
             starts.append(len(blob) // 4)
 
     def _split(self, chunk: str) -> list[str] | None:
