@@ -27,8 +27,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words under windows of 50 words that repeat."""
-    return cut_documents(docs, size=50)
+    """Texts without the words under windows of 35 words that repeat."""
+    return cut_documents(docs, size=35)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
