@@ -30,7 +30,7 @@ HEADLINE = [
     "median_latency_by_cell", "stddev_latency_by_cell", "latency_by_sector_auto",
     "latency_by_sector_broadcast", "latency_by_sector_merge", "latency_by_sector_salted",
     "latency_by_sector_preagg", "large_dim_join", "sector_alerts", "kpi", "top30_with_band",
-    "volume_by_cell", "key_skew_profile", "hash_partition_profile", "layout_report", "weighted_draw",
+    "volume_by_cell", "key_skew_profile", "layout_report", "weighted_draw",
     "synthetic_mapping",
 ]
 

@@ -9,8 +9,12 @@ from netload.functions.text import zero_padded
 
 
 def instant(text: Column) -> Column:
-    """ISO text to TIMESTAMP; text that is no timestamp gives NULL instead of a failed job."""
-    return F.try_to_timestamp(text)
+    """ISO text to TIMESTAMP, in UTC unless it names a zone; other text gives NULL instead of a failed job."""
+    clock, zone = r"\d:\d", r"\d:\d.*(Z|z|[+-]\d|[A-Za-z]{2})"
+    plain = F.trim(text)
+    midnight = F.concat(plain.try_cast("date").cast("string"), F.lit("T00:00:00Z"))
+    named = F.when(plain.endswith("Z") | plain.rlike(zone), plain)
+    return F.try_to_timestamp(named.when(plain.rlike(clock), F.concat(plain, F.lit("Z"))).otherwise(midnight))
 
 
 def utc_hour(ts: Column) -> Column:

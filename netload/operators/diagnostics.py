@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from netload.sources import readers
+
 # A partition is skewed when it exceeds both.
 SKEW_FACTOR = 5.0
 SKEW_BYTES = 256 * 1024 * 1024
@@ -14,17 +16,6 @@ def volume_by_key(records: DataFrame, key: str) -> DataFrame:
     return records.groupBy(key).agg(F.count("*").alias("volume"))
 
 
-def hash_partition_volumes(records: DataFrame, key: str, partitions: int) -> DataFrame:
-    """Rows and text bytes per non-empty shuffle partition of ``key``.
-
-    ``pmod(hash(key), n)`` is the partition Spark's own exchange would pick.
-    """
-    line_bytes = F.octet_length(F.to_json(F.struct(*records.columns)))
-    return records.groupBy(F.pmod(F.hash(key), F.lit(partitions)).alias("partition")).agg(
-        F.count("*").alias("volume"), F.sum(line_bytes.cast("bigint")).alias("octets")
-    )
-
-
 def skew_profile(volumes: DataFrame, volume: str = "volume") -> DataFrame:
     """One row: groups, total, median, p90, max, max/median ratio, heaviest group's share.
 
@@ -57,12 +48,6 @@ def skew_profile(volumes: DataFrame, volume: str = "volume") -> DataFrame:
     )
 
 
-def partition_profile(records: DataFrame, key: str, partitions: int) -> DataFrame:
-    """``skew_profile`` over shuffle partitions, plus how many of them stay empty."""
-    profile = skew_profile(hash_partition_volumes(records, key, partitions))
-    return profile.withColumn("vides", F.lit(partitions) - F.col("groupes"))
-
-
 def is_skewed(size: Column, median: Column, factor: float, threshold: int) -> Column:
     """Adaptive execution's rule: both conditions, both strict."""
     return (size > median * factor) & (size > threshold)
@@ -78,14 +63,6 @@ def skew_flags(
     )
 
 
-def shuffle_estimate(records: DataFrame, key: str) -> DataFrame:
-    """Rows a per-key aggregate ships raw, and combined inside each input partition."""
-    per_task = records.groupBy(F.spark_partition_id().alias("tache"), key).agg(F.count("*").alias("n"))
-    return per_task.agg(F.sum("n").alias("bruts"), F.count("*").alias("combines")).withColumn(
-        "rapport", F.try_divide(F.col("bruts"), F.col("combines"))
-    )
-
-
 def partition_sizes(rows: DataFrame) -> DataFrame:
     """Rows in each partition as it stands."""
     return rows.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("lignes"))
@@ -144,5 +121,5 @@ def size_ratio(spark: SparkSession, larger: str, smaller: str) -> DataFrame:
 
 def freshness(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """Row count of a delivered result and when its newest file was written, one row."""
-    updated = stored_files(spark, path).agg(F.max("modificationTime")).scalar()
+    updated = stored_files(spark, readers.result_path(spark, path)).agg(F.max("modificationTime")).scalar()
     return rows.agg(F.count("*").alias("alertes")).withColumn("derniere_maj", updated)

@@ -3,6 +3,8 @@ them and pushes them into the scan."""
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -64,11 +66,14 @@ def level_measure_projection(
 
 def at_hour(rows: DataFrame, hour: str | None) -> DataFrame:
     """Optional hour parameter as text: absent keeps all rows, ``"08"`` is not hour 8."""
-    return rows if hour is None else rows.filter(F.col("heure").cast("string") == F.lit(hour))
+    if hour is None:
+        return rows
+    canonical = hour.isascii() and hour.isdigit() and str(int(hour)) == hour and int(hour) < 24
+    return rows.filter(F.col("heure") == int(hour)) if canonical else rows.filter(F.lit(False))
 
 
-@F.udf(BooleanType())
-def big_payload_udf(octets):
-    """Row-at-a-time twin of ``octets > 1000000``, kept to show what a UDF costs:
+@F.arrow_udf(BooleanType())
+def big_payload_udf(octets: pa.Array) -> pa.Array:
+    """Twin of ``octets > 1000000`` in Python, a batch at a time, kept to show what a UDF costs:
     the optimizer cannot look inside, so nothing but the level reaches the scan."""
-    return octets is not None and octets > 1_000_000
+    return pc.fill_null(pc.greater(octets, 1_000_000), False)

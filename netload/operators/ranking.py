@@ -23,6 +23,10 @@ def head(rows: DataFrame, k: int) -> DataFrame:
 
 
 def page(rows: DataFrame, size: int, score: str, *tie_break: str) -> DataFrame:
-    """The first ``size`` rows together with the uncapped row count, in ``total``."""
-    total = rows.agg(F.count("*")).scalar()
-    return top(rows, size, score, *tie_break).withColumn("total", total)
+    """The first ``size`` rows together with the uncapped row count, in ``total``.
+
+    Without any row the page is one of NULLs with total 0, so the answer has its total.
+    """
+    total = rows.agg(F.count("*").alias("total"))
+    found = top(rows, size, score, *tie_break).withColumn("total", total.scalar())
+    return found.unionByName(total.filter("total = 0"), allowMissingColumns=True)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,6 @@ from netload.streaming import refresh
 Query = Callable[[SparkSession, str], DataFrame]
 
 LAYOUT_CANDIDATES = ["niveau", "heure", "cell_id", "ts"]
-PARTITIONS = 200
 
 # Multiplier and offset per tag of the arithmetic draws below; any SQL engine
 # can repeat them, unlike a hash.
@@ -95,17 +96,19 @@ def skewed_cells(telemetry: DataFrame) -> DataFrame:
 
 
 def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line whose latency ends in 0 is cut short; counts what parses and what is kept raw."""
+    """Every line whose latency ends in 0 is cut short; counts the table's rows and the lines refused beside it."""
     whole = tables.lines(tables.telemetry(spark, sf_dir))
     cut = F.expr("substring(value, 1, length(value) - 5)")
     latency = text.json_field(F.col("value"), "latence_ms").cast("bigint")
-    damaged = whole.select(F.when(latency % 10 == 0, cut).otherwise(F.col("value")).alias("value"))
-    parsed = damaged.select(text.parse_with_rejects(F.col("value")).alias("r")).select("r.*")
-    raw = F.col(schemas.CORRUPT)
-    return parsed.groupBy(raw.isNotNull().alias("rejetee")).agg(
-        F.count("*").alias("lignes"),
-        F.coalesce(F.sum(F.length(raw)), F.lit(0)).alias("caracteres_bruts"),
-        F.count(F.when(raw.isNull(), F.col("octets"))).alias("octets_lus"),
+    source, target = fresh_path(spark, "telemetrie"), fresh_path(spark, "parquet")
+    writers.write_lines(whole.select(F.when(latency % 10 == 0, cut).otherwise(F.col("value")).alias("value")), source)
+    writers.ndjson_to_parquet(spark, source, target)
+    read = readers.read_telemetry(spark, target).filter("octets IS NOT NULL")
+    refused = readers.read_lines(spark, writers.rejects_path(target))
+    read = read.select(F.lit(False).alias("rejetee"), F.lit(0).alias("longueur"), "octets")
+    refused = refused.select(F.lit(True).alias("rejetee"), F.length("value").alias("longueur"), F.lit(None).alias("octets"))
+    return read.union(refused).groupBy("rejetee").agg(
+        F.count("*").alias("lignes"), F.sum("longueur").alias("caracteres_bruts"), F.count("octets").alias("octets_lus")
     )
 
 
@@ -160,12 +163,21 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per level read back, and whether the listing shows files and bytes for it."""
     _, target = _written_table(spark, sf_dir)
-    return diagnostics.footprint(spark, target, "niveau")
+    files = diagnostics.footprint(spark, target, "niveau").select(
+        "niveau", (F.col("fichiers") > 0).alias("a_des_fichiers"), (F.col("octets") > 0).alias("a_des_octets")
+    )
+    return aggregates.count_by(readers.read_telemetry(spark, target), "niveau").join(files, "niveau")
 
 
 def storage_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return diagnostics.size_ratio(spark, *_written_table(spark, sf_dir))
+    """Rows on both sides of the conversion, and whether the table takes less room."""
+    source, target = _written_table(spark, sf_dir)
+    rows = readers.read_telemetry(spark, target).agg(F.count("*").alias("lignes_apres"))
+    lines = readers.read_lines(spark, source).agg(F.count("*")).scalar()
+    smaller = diagnostics.size_ratio(spark, source, target).select(F.col("facteur") > 1).scalar()
+    return rows.withColumns({"lignes_avant": lines, "plus_petit": smaller})
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +185,43 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts delivered, and whether the report dates them to this delivery (whole seconds)."""
+    began = datetime.now(UTC).replace(microsecond=0)
     path = _delivered(spark, sf_dir)
-    return diagnostics.freshness(spark, path, readers.read_result(spark, path))
+    report = diagnostics.freshness(spark, path, readers.read_result(spark, path))
+    return report.select("alertes", (F.col("derniere_maj") >= F.lit(began)).alias("a_jour"))
+
+
+def first_rows(telemetry: DataFrame) -> DataFrame:
+    """How many of any three rows the table has."""
+    found = ranking.head(telemetry, 3)
+    return found.join(telemetry, found.columns, "left_semi").agg(F.count("*").alias("lignes"))
+
+
+def partition_sizes(telemetry: DataFrame) -> DataFrame:
+    """All rows, as the sum over the partitions that hold them."""
+    sizes = diagnostics.partition_sizes(telemetry)
+    return sizes.agg(F.sum("lignes").alias("lignes"), (F.count("*") > 0).alias("a_des_partitions"))
+
+
+def layout_estimate(telemetry: DataFrame) -> DataFrame:
+    """Exact folders per candidate, and whether the sketch is within three times its stated error."""
+    exact = telemetry.agg(*[F.count_distinct(c).alias(c) for c in LAYOUT_CANDIDATES])
+    exact = exact.unpivot([], LAYOUT_CANDIDATES, "colonne", "exactes")
+    estimate = diagnostics.layout_estimate(telemetry, LAYOUT_CANDIDATES).select("colonne", "valeurs")
+    near = F.abs(F.col("valeurs") - F.col("exactes")) <= 0.06 * F.col("exactes")
+    return exact.join(estimate, "colonne").select("colonne", "exactes", near.alias("proche"))
+
+
+def latency_by_sector_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as measures of their customers' cells; cells that no event names are unknown."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    orders = tables.table(spark, sf_dir, "orders").select(
+        text.cell_name(F.col("o_custkey") + 1).alias("cell_id"), (cents % 400 + 3).alias("latence_ms")
+    )
+    seen = tables.telemetry(spark, sf_dir).select("cell_id").distinct()
+    known = tables.cells(spark, sf_dir).join(seen, "cell_id", "left_semi")
+    return incidents.latency_by_sector_keeping_unknown(orders, known)
 
 
 def cells_published(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +253,34 @@ def arithmetic_draws(row_id: Column) -> draws.Draw:
     return draw
 
 
+def battery_from_kept_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three supervision queries from one load table that is written once."""
+    path = fresh_path(spark, "charge")
+    load.load_table(tables.telemetry(spark, sf_dir), tables.cells(spark, sf_dir)).write.parquet(path)
+    answers = load.battery(spark.read.parquet(path))
+    return union_of_answers(
+        ("saturated_count", answers["saturated_count"], F.lit("toutes"), F.col("cellules_saturees")),
+        ("max_load_by_sector", answers["max_load_by_sector"], F.col("secteur"), F.col("taux_max")),
+        ("avg_load_by_techno", answers["avg_load_by_techno"], F.col("techno"), F.round("taux_moyen", 6)),
+    )
+
+
+def two_uses_of_one_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and errors per cell from one scan: the counts are shared, not the raw rows."""
+    per_cell = aggregates.count_by(tables.telemetry(spark, sf_dir), "cell_id", "niveau")
+    errors = per_cell.filter("niveau = 'ERROR'")
+    return union_of_answers(
+        ("evenements", per_cell.groupBy("cell_id").agg(F.sum("evenements").alias("n")), F.col("cell_id"), F.col("n")),
+        ("erreurs", errors, F.col("cell_id"), F.col("evenements")),
+    )
+
+
+def union_of_answers(*answers: tuple[str, DataFrame, Column, Column]) -> DataFrame:
+    """Several answers as rows of (requete, cle, valeur)."""
+    rows = [f.select(F.lit(n).alias("requete"), k.alias("cle"), v.cast("double").alias("valeur")) for n, f, k, v in answers]
+    return reduce(DataFrame.unionAll, rows)
+
+
 def _event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
 
@@ -223,9 +298,19 @@ def synthetic_saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synthetic_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per level and the head cell's share in the hashed synthetic events."""
+    """Whether the hashed synthetic events give each level the share of its probability, within five standard errors."""
     rows = synthetic.telemetry_for(_event_ids(spark, sf_dir), synthetic.cells(spark))
-    return aggregates.shares(aggregates.count_by(rows, "niveau"), "evenements")
+    dense = synthetic.SECTORS[0].nom
+    placed = rows.join(synthetic.cells(spark).select("cell_id", "secteur"), "cell_id")
+    placed = placed.select((F.col("secteur") == dense).alias("dense"), "niveau")
+    counts = placed.groupBy("dense").agg(
+        F.count("*").alias("n"), *[F.count_if(F.col("niveau") == level).alias(level) for level in ("ERROR", "WARN")]
+    )
+    near = []
+    for level, (inside, elsewhere) in (("ERROR", synthetic.P_ERROR), ("WARN", synthetic.P_WARN)):
+        p = F.when(F.col("dense"), inside).otherwise(elsewhere)
+        near.append((F.abs(F.col(level) - p * F.col("n")) <= 5 * F.sqrt(p * F.col("n")) + 1).alias(f"{level.lower()}_proche"))
+    return counts.select("dense", *near)
 
 
 def _over_lineitem(query: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
@@ -238,10 +323,6 @@ def _by_sector(join) -> Query:
     return _both(lambda telemetry, cells: incidents.latency_by_sector(telemetry, cells, join))
 
 
-def _only_4g(telemetry: DataFrame, cells: DataFrame) -> DataFrame:
-    return incidents.latency_by_sector_keeping_unknown(telemetry, cells.filter(F.col("techno") == "4G"))
-
-
 QUERIES: dict[str, Query] = {
     # Counting
     "error_by_event": _telemetry(incidents.errors_by_event),
@@ -291,7 +372,7 @@ QUERIES: dict[str, Query] = {
         .select("cell_id", "octets")
     ),
     "all_rows": _telemetry(lambda t: t.select("*")),
-    "first_rows": _telemetry(lambda t: ranking.head(t, 3)),
+    "first_rows": _telemetry(first_rows),
     "warn_by_cell_top5": _telemetry(incidents.slowest_warn_cells),
     "sql_error_top10": _telemetry(incidents.top_cells_sql),
     "record_lines": _lines(lambda lines: lines),
@@ -302,17 +383,21 @@ QUERIES: dict[str, Query] = {
     "saturation": _saturated(lambda s: s),
     "saturation_for_hour": _saturated(lambda s: serving.page_for_hour(s, "18")),
     "saturation_page": _saturated(serving.page_for_hour),
+    "saturation_empty_page": _saturated(lambda s: serving.page_for_hour(s, "99")),
     "saturated_count": _load(load.saturated_count),
     "max_load_by_sector": _load(load.max_rate_by_sector),
     "avg_load_by_techno": _load(lambda c: _rounded(load.mean_rate_by_techno(c), "taux_moyen")),
     "worst_hour_by_sector": _load(load.worst_hour_by_sector),
+    # One kept table, several queries
+    "battery_from_kept_table": battery_from_kept_table,
+    "two_uses_of_one_read": two_uses_of_one_read,
     # Joins
     "latency_by_sector_auto": _by_sector(joins.join_auto),
     "latency_by_sector_broadcast": _by_sector(joins.join_broadcast),
     "latency_by_sector_merge": _by_sector(joins.join_merge),
     "latency_by_sector_salted": _both(incidents.latency_by_sector_salted),
     "latency_by_sector_preagg": _both(incidents.latency_by_sector_preaggregated),
-    "latency_by_sector_left": _both(_only_4g),
+    "latency_by_sector_left": latency_by_sector_left,
     "large_dim_join": _over_lineitem(incidents.revenue_by_priority),
     # Serving
     "sector_alerts": _saturated(serving.sector_alerts),
@@ -327,14 +412,9 @@ QUERIES: dict[str, Query] = {
     ),
     "skewed_cells": _telemetry(skewed_cells),
     "hot_cells": _telemetry(lambda t: joins.hot_keys(t, "cell_id", 100)),
-    "hash_partition_profile": _telemetry(lambda t: diagnostics.partition_profile(t, "cell_id", PARTITIONS)),
-    "aqe_skew_flags": _telemetry(
-        lambda t: diagnostics.skew_flags(diagnostics.hash_partition_volumes(t, "cell_id", PARTITIONS))
-    ),
-    "shuffle_estimate": _telemetry(lambda t: diagnostics.shuffle_estimate(t, "cell_id")),
-    "partition_sizes": _telemetry(diagnostics.partition_sizes),
+    "partition_sizes": _telemetry(partition_sizes),
     "layout_report": _telemetry(lambda t: diagnostics.layout_report(t, LAYOUT_CANDIDATES)),
-    "layout_estimate": _telemetry(lambda t: diagnostics.layout_estimate(t, LAYOUT_CANDIDATES)),
+    "layout_estimate": _telemetry(layout_estimate),
     "hour_intervals": _telemetry(hour_intervals),
     "weighted_draw": weighted_draw,
     # Sources and sinks

@@ -95,8 +95,13 @@ def latency_by_sector_preaggregated(telemetry: DataFrame, cells: DataFrame) -> D
 
 
 def latency_by_sector_keeping_unknown(telemetry: DataFrame, cells: DataFrame) -> DataFrame:
-    """Left join: events of cells outside the dimension stay, under a NULL sector."""
-    return latency_by_sector(telemetry, cells, joins.join_broadcast, how="left")
+    """Left join: events of cells outside the dimension stay, under a NULL sector.
+
+    Folded to one partial per cell before the join, like the inner form above.
+    """
+    per_cell = aggregates.partials(telemetry, ["cell_id"], "latence_ms")
+    enriched = per_cell.join(cells.select("cell_id", "secteur"), "cell_id", "left")
+    return aggregates.finished(aggregates.merged(enriched, "secteur"), "latence_moyenne")
 
 
 def revenue_by_priority(lineitem: DataFrame, orders: DataFrame) -> DataFrame:

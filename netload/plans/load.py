@@ -69,12 +69,11 @@ def max_rate_by_sector(load: DataFrame) -> DataFrame:
 
 def worst_hour_by_sector(load: DataFrame) -> DataFrame:
     """The sector's highest rate with its hour; equal rates give the earliest hour."""
-    worst = F.min(F.struct((-F.col("taux_charge")).alias("oppose"), "heure")).alias("pire")
-    return (
-        load.filter(F.col("taux_charge").isNotNull())
-        .groupBy("secteur")
-        .agg(worst)
-        .select("secteur", F.col("pire.heure").alias("heure"), (-F.col("pire.oppose")).alias("taux_max"))
+    rated = load.filter(F.col("taux_charge").isNotNull()).select("secteur", "heure", "taux_charge")
+    highest = rated.groupBy(F.col("secteur").alias("du_secteur")).agg(F.max("taux_charge").alias("taux_max"))
+    same = F.col("secteur").eqNullSafe(F.col("du_secteur")) & (F.col("taux_charge") == F.col("taux_max"))
+    return rated.join(highest, same).groupBy("secteur", "taux_max").agg(F.min("heure").alias("heure")).select(
+        "secteur", "heure", "taux_max"
     )
 
 

@@ -289,6 +289,34 @@ ORACLES: dict[str, str] = {
     "saturation": SATURATION,
     "saturation_for_hour": _page("WHERE heure = 18"),
     "saturation_page": _page(""),
+    "saturation_empty_page": (
+        "SELECT CAST(NULL AS VARCHAR) AS cell_id, CAST(NULL AS VARCHAR) AS secteur, CAST(NULL AS VARCHAR) AS techno, "
+        "CAST(NULL AS INTEGER) AS heure, CAST(NULL AS DOUBLE) AS connexions_moy, CAST(NULL AS BIGINT) AS capacite_max, "
+        "CAST(NULL AS DOUBLE) AS taux_charge, CAST(0 AS BIGINT) AS total"
+    ),
+    "battery_from_kept_table": _sql(
+        "SELECT 'saturated_count' AS requete, 'toutes' AS cle, CAST(COUNT(*) AS DOUBLE) AS valeur FROM saturation "
+        "UNION ALL SELECT 'max_load_by_sector', secteur, MAX(taux_charge) FROM charge GROUP BY secteur "
+        f"UNION ALL SELECT 'avg_load_by_techno', techno, {rounded('AVG(taux_charge)', 6)} FROM charge GROUP BY techno"
+    ),
+    "two_uses_of_one_read": _sql(
+        "SELECT 'evenements' AS requete, cell_id AS cle, CAST(COUNT(*) AS DOUBLE) AS valeur FROM telemetrie GROUP BY cell_id "
+        "UNION ALL SELECT 'erreurs', cell_id, CAST(COUNT(*) AS DOUBLE) FROM telemetrie WHERE niveau = 'ERROR' GROUP BY cell_id"
+    ),
+    "freshness": _sql("SELECT COUNT(*) AS alertes, TRUE AS a_jour FROM saturation"),
+    "footprint": _sql(
+        "SELECT niveau, COUNT(*) AS evenements, TRUE AS a_des_fichiers, TRUE AS a_des_octets FROM telemetrie GROUP BY niveau"
+    ),
+    "storage_ratio": "SELECT COUNT(*) AS lignes_apres, COUNT(*) AS lignes_avant, TRUE AS plus_petit FROM events",
+    "first_rows": "SELECT least(COUNT(*), 3) AS lignes FROM events",
+    "partition_sizes": "SELECT COUNT(*) AS lignes, TRUE AS a_des_partitions FROM events",
+    "layout_estimate": _sql(
+        ", n AS (SELECT COUNT(DISTINCT niveau) AS niveau, COUNT(DISTINCT heure) AS heure, COUNT(DISTINCT cell_id) AS cell_id, "
+        "COUNT(DISTINCT ts) AS ts FROM telemetrie) "
+        "SELECT 'niveau' AS colonne, niveau AS exactes, TRUE AS proche FROM n UNION ALL SELECT 'heure', heure, TRUE FROM n "
+        "UNION ALL SELECT 'cell_id', cell_id, TRUE FROM n UNION ALL SELECT 'ts', ts, TRUE FROM n"
+    ),
+    "synthetic_profile": "SELECT dense, TRUE AS error_proche, TRUE AS warn_proche FROM (VALUES (TRUE), (FALSE)) AS t(dense)",
     "saturated_count": _sql("SELECT COUNT(*) AS cellules_saturees FROM saturation"),
     "max_load_by_sector": _sql("SELECT secteur, MAX(taux_charge) AS taux_max FROM charge GROUP BY secteur"),
     "avg_load_by_techno": _sql(
@@ -305,9 +333,11 @@ ORACLES: dict[str, str] = {
     "latency_by_sector_salted": LATENCY_BY_SECTOR,
     "latency_by_sector_preagg": LATENCY_BY_SECTOR,
     "latency_by_sector_left": _sql(
-        ", quatre AS (SELECT * FROM cellules WHERE techno = '4G') "
+        ", commandes AS (SELECT printf('CELL_%04d', o_custkey + 1) AS cell_id, "
+        "3 + CAST(ROUND(o_totalprice * 100) AS BIGINT) % 400 AS latence_ms FROM orders), "
+        "connues AS (SELECT * FROM cellules WHERE cell_id IN (SELECT cell_id FROM telemetrie)) "
         "SELECT secteur, AVG(latence_ms) AS latence_moyenne "
-        "FROM telemetrie LEFT JOIN quatre USING (cell_id) GROUP BY secteur"
+        "FROM commandes LEFT JOIN connues USING (cell_id) GROUP BY secteur"
     ),
     "large_dim_join": """
         SELECT o_orderpriority, COUNT(*) AS lignes,

@@ -10,8 +10,12 @@ from netload import schemas
 from netload.functions import moments
 
 
+# Below a delivery: names of the complete runs, one line each.
+PUBLISHED = "published"
+
+
 class ResultNotReady(FileNotFoundError):
-    """The result directory is missing or its write has not been committed."""
+    """Nothing has been published at the path."""
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -57,18 +61,29 @@ def register(records: DataFrame, name: str = "telemetrie") -> None:
     records.createOrReplaceTempView(name)
 
 
-def read_result(spark: SparkSession, path: str) -> DataFrame:
-    """A delivered result, highest rate first.
-
-    Spark itself joins the part files and skips markers and blank lines. The
-    commit marker is required, so a reader never takes half a write for the
-    whole result.
-    """
+def published_runs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the runs published at ``path``, oldest first: one short line per delivery."""
     try:
-        spark.read.text(f"{path}/_SUCCESS")
-        rows = spark.read.schema(schemas.SATURATION).json(path)
+        return sorted(r.value for r in spark.read.text(f"{path}/{PUBLISHED}").collect())
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        raise ResultNotReady(f"no committed result at {path}; run the delivery first") from missing
+        return []
+
+
+def result_path(spark: SparkSession, path: str) -> str:
+    """The folder of the run that was published last."""
+    runs = published_runs(spark, path)
+    if not runs:
+        raise ResultNotReady(f"no published result at {path}; run the delivery first")
+    return f"{path}/{runs[-1]}"
+
+
+def read_result(spark: SparkSession, path: str) -> DataFrame:
+    """The result published last, highest rate first.
+
+    Spark itself joins the part files and skips markers and blank lines. A run is named
+    after it is complete, so a reader never takes half a write for the whole result.
+    """
+    rows = spark.read.schema(schemas.SATURATION).json(result_path(spark, path))
     return rows.orderBy(F.desc("taux_charge"), "cell_id", "heure")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from netload import schemas
+from netload.functions import text
 from netload.sources import readers
 
 
@@ -17,35 +21,63 @@ def write_ndjson(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(path)
 
 
-def write_telemetry(records: DataFrame, path: str, compact: bool = False) -> None:
+def write_telemetry(records: DataFrame, path: str, compact: bool = True) -> None:
     """Parquet partitioned by ``niveau``; ``records`` already carry ts and heure.
 
-    Without ``compact`` rows do not move: each task writes at most one file per
-    level. With it, a rebalance evens out file sizes: unlike a plain
-    repartition by level, it splits the level that holds nine rows in ten over
-    many tasks. The splitting is adaptive execution's, so leave that on.
+    A rebalance evens out file sizes: unlike a plain repartition by level, it splits
+    the level that holds nine rows in ten over many tasks. The splitting is adaptive
+    execution's, so leave that on. Without ``compact`` rows do not move: each task
+    writes at most one file per level.
     """
     rows = records.hint("rebalance", "niveau") if compact else records
     rows.write.mode("overwrite").partitionBy("niveau").parquet(path)
 
 
-def ndjson_to_parquet(spark: SparkSession, source: str, target: str, compact: bool = False) -> None:
+def ndjson_to_parquet(
+    spark: SparkSession, source: str, target: str, compact: bool = True, rejects: str | None = None
+) -> None:
     """Telemetry text to the Parquet table, row for row.
 
-    A line the parser refused stays a row of NULLs, in the default partition,
-    so counts match the source; ``read_ndjson`` shows the raw text of such lines.
+    A line the parser refused stays a row of NULLs, in the default partition, so
+    counts match the source; its raw text goes to the folder ``rejects`` as lines of
+    text, by default beside the table.
     """
-    parsed = readers.timed(readers.read_ndjson(spark, source)).drop(schemas.CORRUPT)
-    write_telemetry(parsed, target, compact)
+    write_telemetry(readers.timed(readers.read_ndjson(spark, source)).drop(schemas.CORRUPT), target, compact)
+    # A pass of its own: Spark refuses a query on raw JSON that uses the raw text alone.
+    lines = readers.read_lines(spark, source).filter(F.trim("value") != "")
+    parsed = lines.select(text.parse_with_rejects(F.col("value")).alias("r"))
+    refused = parsed.select(F.col(f"r.{schemas.CORRUPT}").alias("value")).filter("value IS NOT NULL")
+    write_lines(refused, rejects or rejects_path(target))
+
+
+def rejects_path(table: str) -> str:
+    """Where ``ndjson_to_parquet`` puts refused lines unless told otherwise."""
+    return f"{table.rstrip('/')}_rejets"
 
 
 def deliver(saturated: DataFrame, path: str) -> None:
-    """The seven contract columns as JSON lines, replacing a previous delivery.
+    """The seven contract columns as JSON lines, published when they are complete.
 
-    The range-partitioned sort of the input fixes both the row order inside
-    files and the order of the part files.
+    Each delivery writes a run folder of its own and then, as the last step, a row that
+    names it under ``path/published``. Until then, and for good if the write fails,
+    readers get the previous result. Runs before the previous one are removed. The
+    range-partitioned sort of the input fixes both the row order inside files and
+    the order of the part files.
     """
-    saturated.select(*schemas.names(schemas.SATURATION)).write.mode("overwrite").json(path)
+    spark = saturated.sparkSession
+    runs = readers.published_runs(spark, path)
+    number = int(runs[-1].split("-")[1]) + 1 if runs else 0
+    run = f"run-{number:012d}-{uuid.uuid4().hex}"
+    saturated.select(*schemas.names(schemas.SATURATION)).write.json(f"{path}/{run}")
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.mode("append").text(f"{path}/{readers.PUBLISHED}")
+    for old in runs[:-1]:
+        _remove(spark, f"{path}/{old}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of whatever file system Spark has it in; no matter if it is gone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def publish_cells(cells: DataFrame, path: str, private: tuple[str, ...] = ("_pression",)) -> None:

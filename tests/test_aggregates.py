@@ -171,10 +171,3 @@ def test_kept_table_is_released_after_an_error(spark):
     except KeyError:
         pass
     assert not rows.is_cached
-
-
-def test_shuffle_estimate_bounds(spark, sf_dir):
-    rows = tables.telemetry(spark, sf_dir).repartition(3)
-    estimate = diagnostics.shuffle_estimate(rows, "niveau").first()
-    assert estimate.bruts == rows.count()
-    assert estimate.combines <= 3 * 3

@@ -34,15 +34,6 @@ def test_profile_of_nothing(spark):
     assert row.groupes is None and row.rapport is None
 
 
-def test_partition_profile_matches_a_real_exchange(spark, sf_dir, setting):
-    setting(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="200")
-    rows = tables.telemetry(spark, sf_dir)
-    profile = diagnostics.partition_profile(rows, "cell_id", 200).first()
-    moved = rows.repartition(200, "cell_id").groupBy(F.spark_partition_id()).count()
-    sizes = [r["count"] for r in moved.collect()]
-    assert tuple(profile)[:5] == expected_profile(sizes)
-    assert profile.vides == 200 - len(sizes)
-
 
 MB = 1024 * 1024
 

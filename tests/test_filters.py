@@ -26,7 +26,7 @@ def test_udf_and_native_filter_agree(spark):
     native = values(filters.above(frame, "octets", 1_000_000))
     with_udf = frame.filter(filters.big_payload_udf("octets"))
     assert values(with_udf) == native == [(1_000_001,)]
-    assert "BatchEvalPython" in plan(with_udf)
+    assert "ArrowEvalPython" in plan(with_udf)
 
 
 def test_transformations_leave_the_source_alone(spark):

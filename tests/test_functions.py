@@ -70,6 +70,16 @@ def test_bad_timestamp_is_null(spark):
     assert one(spark, moments.instant(F.lit("x"))) is None
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kathmandu"])
+def test_hours_are_utc_in_any_session(spark, setting, zone):
+    setting(spark__sql__session__timeZone=zone)
+    for text_, hour in [
+        ("2026-10-24T08:00:00Z", 8), ("2026-10-24T08:00:00", 8), ("2026-10-24 08:30:00.5", 8), ("2026-10-24", 0),
+        ("2026-10-24T08:00:00+02:00", 6), ("2026-10-24T08:00:00 UTC", 8), (" 2026-03-08T02:30:00 ", 2),
+    ]:
+        assert one(spark, moments.utc_hour(moments.instant(F.lit(text_)))) == hour, text_
+
+
 @pytest.mark.parametrize(
     "stamp, expected",
     [

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from netload.plans.catalog import QUERIES
+from netload.plans.oracles import ORACLES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -38,21 +40,19 @@ def _rows(rows, columns):
     return sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
-    frame = queries()[name](spark, sf_dir)
+    frame = QUERIES[name](spark, sf_dir)
     rows = frame.collect()
-    if name not in oracle_sql():
-        assert rows
-        return
-    twin = duck.execute(oracle_sql()[name])
+    twin = duck.execute(ORACLES[name])
     twin_types = {d[0]: str(d[1]) for d in twin.description}
     assert {c: TYPES[t] for c, t in frame.dtypes} == twin_types
     assert _rows(rows, frame.columns) == _rows(twin.fetchall(), list(twin_types))
 
 
-def test_every_twin_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_a_twin_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):

@@ -2,15 +2,15 @@
 
 import pytest
 
-from __spark_entry__ import queries
 from helpers import plan
+from netload.plans.catalog import QUERIES
 
 # These write a table before they read it back; their reads are covered in test_sources_and_sinks.
 WRITING = {
     "text_scan", "ndjson_declared", "ndjson_inferred", "ndjson_hours", "parquet_roundtrip", "json_roundtrip",
-    "cells_published", "footprint", "storage_ratio", "freshness", "streaming_saturation",
+    "cells_published", "rejected_lines", "battery_from_kept_table", "footprint", "storage_ratio", "freshness", "streaming_saturation",
 }
-READING = sorted(set(queries()) - WRITING)
+READING = sorted(set(QUERIES) - WRITING)
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +25,7 @@ def large(spark):
 
 @pytest.mark.parametrize("name", READING)
 def test_plan(large, sf_dir, name):
-    text = plan(queries()[name](large, sf_dir))
+    text = plan(QUERIES[name](large, sf_dir))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     assert ("EvalPython" in text) == (name == "warn_big_udf")
     # Whole-table scans only ever read the columns in use.

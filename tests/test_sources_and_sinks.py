@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 import os
 
 import pytest
@@ -92,7 +93,7 @@ def test_udf_keeps_only_the_partition_filter(spark, stored):
     table = readers.read_telemetry(spark, stored[1])
     slow = filters.of_level(table, "WARN").filter(filters.big_payload_udf("octets"))
     text = plan(slow)
-    assert "PushedFilters: []" in text and "(niveau" in text and "BatchEvalPython" in text
+    assert "PushedFilters: []" in text and "(niveau" in text and "ArrowEvalPython" in text
     assert values(slow) == values(filters.above(filters.of_level(table, "WARN"), "octets", 1_000_000))
 
 
@@ -114,13 +115,15 @@ def test_conversion_keeps_every_line(spark, messy, tmp_path):
     target = str(tmp_path / "parquet")
     writers.ndjson_to_parquet(spark, messy, target)
     assert readers.read_telemetry(spark, target).count() == 5
+    refused = [r.value for r in readers.read_lines(spark, writers.rejects_path(target)).collect()]
+    assert sorted(refused) == sorted(["not json", compact(GOOD | {"latence_ms": "abc"})])
 
 
 def test_compacted_table_has_the_same_rows_in_fewer_files(spark, sf_dir, tmp_path):
     rows = tables.telemetry(spark, sf_dir).repartition(9)
     plain, dense = str(tmp_path / "plain"), str(tmp_path / "dense")
-    writers.write_telemetry(rows, plain)
-    writers.write_telemetry(rows, dense, compact=True)
+    writers.write_telemetry(rows, plain, compact=False)
+    writers.write_telemetry(rows, dense)
     assert values(spark.read.parquet(plain)) == values(spark.read.parquet(dense))
     files = [diagnostics.footprint(spark, path).first().fichiers for path in (plain, dense)]
     assert files[0] == 27 and files[1] < files[0]
@@ -136,8 +139,9 @@ def test_delivery_contract(spark, sf_dir, setting, tmp_path):
     rows = saturated(spark, sf_dir)
     for _ in range(2):  # the second call replaces the first
         writers.deliver(rows, str(path))
-    parts = sorted(p for p in path.iterdir() if p.name.startswith("part-"))
-    assert len(parts) > 1 and (path / "_SUCCESS").exists()
+    run = Path(readers.result_path(spark, str(path)))
+    parts = sorted(p for p in run.iterdir() if p.name.startswith("part-"))
+    assert len(parts) > 1 and (run / "_SUCCESS").exists()
     records = [json.loads(line) for part in parts for line in part.read_text().splitlines()]
     assert len(records) == rows.count()
     assert all(list(r) == schemas.names(schemas.SATURATION) for r in records)
@@ -146,24 +150,47 @@ def test_delivery_contract(spark, sf_dir, setting, tmp_path):
     assert [tuple(r) for r in readers.read_result(spark, str(path)).collect()] == [tuple(r) for r in rows.collect()]
 
 
-def test_missing_or_uncommitted_result(spark, sf_dir, tmp_path):
+def test_a_result_that_was_never_published(spark, tmp_path):
     path = tmp_path / "saturation"
     with pytest.raises(readers.ResultNotReady):
         readers.read_result(spark, str(path))
-    writers.deliver(saturated(spark, sf_dir), str(path))
-    (path / "_SUCCESS").unlink()
+    (path / "run-000000000000-x").mkdir(parents=True)  # written, or half written, but not named
     with pytest.raises(readers.ResultNotReady):
         readers.read_result(spark, str(path))
 
 
+def test_a_failing_delivery_leaves_the_last_result(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "saturation")
+    rows = saturated(spark, sf_dir)
+    writers.deliver(rows, path)
+    before = values(readers.read_result(spark, path))
+    broken = rows.withColumn("taux_charge", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        writers.deliver(broken, path)
+    assert values(readers.read_result(spark, path)) == before
+
+
+def test_old_runs_go_and_readers_keep_theirs(spark, sf_dir, tmp_path):
+    path, rows = tmp_path / "saturation", saturated(spark, sf_dir)
+    writers.deliver(rows, str(path))
+    held = readers.read_result(spark, str(path))
+    writers.deliver(rows.limit(1), str(path))
+    assert held.count() == rows.count()  # opened before the second delivery
+    writers.deliver(rows.limit(2), str(path))
+    assert len([p for p in path.iterdir() if p.name.startswith("run-")]) == 2
+    assert readers.read_result(spark, str(path)).count() == 2
+
+
 def test_blank_lines_in_a_result_are_skipped(spark, tmp_path):
-    path = tmp_path / "saturation"
-    path.mkdir()
+    root = tmp_path / "saturation"
+    path = root / "run-000000000000-x"
+    path.mkdir(parents=True)
+    (root / "published").mkdir()
+    (root / "published" / "part-0.txt").write_text("run-000000000000-x\n")
     record = dict(zip(schemas.names(schemas.SATURATION), ["a", "s", "5G", 8, 90.0, 100, 90.0]))
     (path / "part-00000.json").write_text(compact(record) + "\n\n")
     (path / "part-00001.json").write_text(compact(record | {"taux_charge": 95.0}) + "\n")
-    (path / "_SUCCESS").write_text("")
-    assert [r.taux_charge for r in readers.read_result(spark, str(path)).collect()] == [95.0, 90.0]
+    assert [r.taux_charge for r in readers.read_result(spark, str(root)).collect()] == [95.0, 90.0]
 
 
 def test_empty_delivery_is_a_result(spark, tmp_path):
@@ -179,7 +206,8 @@ def test_freshness(spark, sf_dir, tmp_path):
     rows = saturated(spark, sf_dir)
     writers.deliver(rows, str(path))
     report = diagnostics.freshness(spark, str(path), readers.read_result(spark, str(path))).first()
-    newest = max(p.stat().st_mtime for p in path.iterdir() if p.name.startswith("part-"))
+    run = Path(readers.result_path(spark, str(path)))
+    newest = max(p.stat().st_mtime for p in run.iterdir() if p.name.startswith("part-"))
     assert report.alertes == rows.count()
     assert abs(report.derniere_maj.timestamp() - newest) < 1
 
