@@ -6,19 +6,23 @@ exact: every link between different sets is found, up to equal 64-bit hashes of
 different shingles.
 
 Method: token-combination prefixes. Shingles have a fixed order, rare before
-frequent. Two sets that share at least ``t`` shingles share two of them within
-their first ``size - t + 2``. So either they share a rare one there, which is
-indexed alone, or two frequent ones, which are indexed as a pair. Sets from
-``LONG`` shingles on index every prefix shingle alone, and sets up to
-``LONG * 100 / percent`` index both ways, so any two that can link have a form in
-common.
+frequent. Two sets that link share at least ``t`` shingles within their first
+``size - least overlap + t``. A frequent shingle is indexed in pairs with each other
+frequent one there, a rare shingle alone. Sets from ``LONG`` shingles on index every
+prefix shingle alone, and sets up to ``LONG * 100 / percent`` index both ways, so any two
+that can link have their forms in common: at least ``t - 1`` of them.
+
+Prefixes are extended for the sake of that number: ``t`` is 2 and a tenth of the size. A set of
+which fewer forms stand in lists with other sets has no link and goes no further, so
+texts that share a passage alone are not compared. Lists of very frequent shingles are known beforehand from
+counts and take a way of their own, an aggregate and a join, which Spark combines and splits.
 
 No pair of a posting list is ever emitted. Each list names its smallest set as
 centre, sets that share a centre form a group, and a group is verified as a
 whole: a search that follows verified links, counts overlaps through postings and
 never compares two sets already known to be connected. Two sets that share a list
 share its centre, so no link is lost. Groups beyond ``GROUP_SETS`` sets or
-``GROUP_BYTES`` are cut into blocks and every pair of blocks is one task.
+``GROUP_SHINGLES`` are cut into blocks and every pair of blocks is one task.
 """
 
 from __future__ import annotations
@@ -27,24 +31,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from netload.llm.components import components
 from netload.llm.schema import documents, kept, only_text
 from netload.llm.wordhash import gram_starts, mix, slices, words
-from pyspark.sql import Window as W
 
 #: Shingles counted as frequent: at most this many (8 bytes each go to every task) ...
 FREQUENT_MAX = 1 << 17
 #: ... and each at least this often, as counted within map tasks.
 FREQUENT_LEAST = 32
 #: Sets of this many shingles or more are indexed by single shingles only.
-LONG = 400
-#: What one verifying task holds at most, unless one text is longer.
-GROUP_SETS, GROUP_BYTES = 512, 8 << 20
+LONG = 200
+#: Lists of shingles counted more often than this are grouped without a window.
+HOT = 4096
+#: What a block of a group holds, about, unless one text is longer.
+GROUP_SETS, GROUP_SHINGLES = 512, 1 << 20
 _FLUSH = 1 << 21
 _SEEN = 1 << 20
+#: Stands for a null doc_id when one text of each set is fetched.
+_NO_ID = -(1 << 63)
 _U = np.uint64
 
 
@@ -111,15 +120,18 @@ class _Seen:
 
 
 def _nodes(prints: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    raw = pa.array([bytes(p) if n else None for p, n in zip(prints, sizes)], pa.binary())
-    return raw
+    return pa.array([bytes(p) if n else None for p, n in zip(prints, sizes)], pa.binary())
+
 
+def _halves(prints: np.ndarray) -> pa.Array:
+    return pa.array(prints[:, 0].copy().view(np.int64))
 
-_PROFILE = "kind string, doc_id bigint, node binary, n_shingles bigint, token bigint, times bigint"
+
+_PROFILE = "kind string, doc_id bigint, half bigint, node binary, n_shingles bigint, token bigint, times bigint"
 
 
 def _profile(size: int):
-    schema = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("node", pa.binary()),
+    schema = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("half", pa.int64()), ("node", pa.binary()),
                         ("n_shingles", pa.int64()), ("token", pa.int64()), ("times", pa.int64())])
 
     def repeated(tokens: list[np.ndarray]) -> pa.RecordBatch:
@@ -127,7 +139,7 @@ def _profile(size: int):
         token, times = token[times > 1], times[times > 1]
         none = lambda kind: pa.nulls(len(token), kind)
         return pa.RecordBatch.from_arrays(
-            [pa.array(["token"] * len(token), pa.string()), none(pa.int64()), none(pa.binary()), none(pa.int64()),
+            [pa.array(["token"] * len(token), pa.string()), none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.int64()),
              pa.array(token.view(np.int64)), pa.array(times)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +149,8 @@ def _profile(size: int):
                 sets = _Sets(part.column("text"), size)
                 prints, n = sets.prints(), part.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(["doc"] * n, pa.string()), part.column("doc_id"), _nodes(prints, sets.sizes),
-                     pa.array(sets.sizes), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=schema)
+                    [pa.array(["doc"] * n, pa.string()), part.column("doc_id"), _halves(prints),
+                     _nodes(prints, sets.sizes), pa.array(sets.sizes), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=schema)
                 new = sets.token[seen.new(prints, sets.sizes)[sets.text]]
                 held.append(new)
                 n_held += len(new)
@@ -151,18 +163,22 @@ def _profile(size: int):
     return run
 
 
-def _prefixes(size: int, percent: int, frequent: np.ndarray):
+def _prefixes(size: int, percent: int, frequent: np.ndarray, hot: np.ndarray, wanted: bool):
+    """``sig, half, n`` rows of the lists that consist of hot shingles, or of all others."""
     both_to = LONG * 100 // percent + 1
 
     def signatures(token: np.ndarray, n: int) -> np.ndarray:
-        prefix = token[: n - (percent * n + 99) // 100 + 2]
+        prefix = token[: n - (percent * n + 99) // 100 + 2 + n // 10]
         often = prefix >> _U(63) == 1
-        rare = mix(prefix if n >= LONG else prefix[~often])
-        if n >= both_to or often.sum() < 2:
-            return rare
-        i, j = np.triu_indices(int(often.sum()), 1)
-        two = prefix[often]
-        return np.concatenate([rare, mix(mix(two[i] + _U(11)) + two[j])])
+        very = np.isin(prefix & _U((1 << 63) - 1), hot) if often.any() else often
+        alone = np.ones(len(prefix), bool) if n >= LONG else ~often
+        sigs, flags = [mix(prefix[alone])], [very[alone]]
+        if n < both_to and often.sum() > 1:
+            i, j = np.triu_indices(int(often.sum()), 1)
+            two, both = prefix[often], very[often]
+            sigs.append(mix(mix(two[i] + _U(11)) + two[j]))
+            flags.append(both[i] & both[j])
+        return np.concatenate(sigs)[np.concatenate(flags) == wanted]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Seen()
@@ -170,30 +186,29 @@ def _prefixes(size: int, percent: int, frequent: np.ndarray):
             for part in slices(batch, "text"):
                 sets = _Sets(part.column("text"), size, frequent)
                 prints = sets.prints()
-                own, found = [], []
-                for i in np.flatnonzero(seen.new(prints, sets.sizes)):
-                    found.append(signatures(sets.token[sets.first[i] : sets.first[i + 1]], int(sets.sizes[i])))
-                    own.append(np.full(len(found[-1]), prints[i, 0]))
+                new = np.flatnonzero(seen.new(prints, sets.sizes))
+                found = [signatures(sets.token[sets.first[i] : sets.first[i + 1]], int(sets.sizes[i])) for i in new]
                 if found:
+                    own = np.repeat(new, [len(sig) for sig in found])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(x).view(np.int64)) for x in (found, own)], names=["sig", "half"])
+                        [pa.array(np.concatenate(found).view(np.int64)), _halves(prints[own]),
+                         pa.array(sets.sizes[own].astype(np.int32))], names=["sig", "half", "n"])
 
     return run
 
 
 def _texts(size: int):
-    """One row for each set of a task: ``half, node, text``."""
+    """``half, chosen, node, text`` of each text with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Seen()
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = _Sets(part.column("text"), size)
-                prints = sets.prints()
-                new = np.flatnonzero(seen.new(prints, sets.sizes))
+                some = np.flatnonzero(sets.sizes)
+                prints, rows = sets.prints()[some], part.take(pa.array(some))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prints[new, 0].copy().view(np.int64)), _nodes(prints[new], sets.sizes[new]),
-                     part.column("text").take(pa.array(new))], names=["half", "node", "text"])
+                    [_halves(prints), pc.fill_null(rows.column("doc_id"), _NO_ID), _nodes(prints, sets.sizes[some]),
+                     rows.column("text")], names=["half", "chosen", "node", "text"])
 
     return run
 
@@ -228,8 +243,6 @@ def _verify(size: int, percent: int):
 
     def links(rows: pa.Table) -> pa.RecordBatch:
         rows = rows.combine_chunks().to_batches()[0]
-        _, once = np.unique(np.array(rows.column("node").to_pylist(), object), return_index=True)
-        rows = rows.take(pa.array(np.sort(once)))
         tokens, first = [], [0]
         for part in slices(rows, "text"):
             sets = _Sets(part.column("text"), size)
@@ -241,30 +254,47 @@ def _verify(size: int, percent: int):
         return pa.RecordBatch.from_arrays([node.take(pa.array(other)), node.take(pa.array(root[other]))], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held, nodes, now = [], set(), None
         for batch in batches:
-            task = np.array(batch.column("task").to_pylist(), object)
-            cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)] if len(task) else []
-            for i, j in zip(cuts, cuts[1:]):
-                if held and held[-1].column("task")[0].as_py() != task[i]:
-                    yield links(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch.slice(i, j - i))
-        if held:
+            for i, (task, node) in enumerate(zip(batch.column("task").to_pylist(), batch.column("node").to_pylist())):
+                if task != now:
+                    if len(held) > 1:
+                        yield links(pa.Table.from_batches(held))
+                    held, nodes, now = [], set(), task
+                if node not in nodes:  # repeated rows come repeatedly
+                    nodes.add(node)
+                    held.append(batch.slice(i, 1))
+        if len(held) > 1:
             yield links(pa.Table.from_batches(held))
 
     return run
 
 
+def _centred(postings: DataFrame, hot: DataFrame | None, percent: int) -> DataFrame:
+    """``half, n, centre``: the sets that may have links, with the smallest set of each list they stand in."""
+    of_list = W.partitionBy("sig")
+    columns = ["half", "n", F.col("least").alias("centre")]
+    ends = F.min("half").alias("least"), F.max("half").alias("most")
+    found = postings.select("half", "n", *[e.over(of_list).alias(k) for e, k in ((F.min("half"), "least"), (F.max("half"), "most"))])
+    found = found.filter("least <> most").select(columns)
+    if hot is not None:
+        lists = hot.groupBy("sig").agg(*ends).filter("least <> most")
+        found = found.union(hot.join(lists, "sig").select(columns))
+    lists = kept(found.groupBy("half", "n", "centre").agg(F.count("*").alias("shared")), "candidates")
+    able = lists.groupBy("half", "n").agg(F.sum("shared").alias("shared"))
+    able = able.filter(f"shared > ({percent} * n div 100) div 10").select("half")  # the smallest partner's t - 1
+    return lists.join(able, "half").select("half", "n", "centre")
+
+
 def _tasks(groups: DataFrame) -> DataFrame:
-    """``centre, half`` rows dealt to verifying tasks: a small group is one, a large one a task for each two blocks."""
-    sized = groups.groupBy("centre").agg(F.count("*").alias("sets"), F.sum("bytes").alias("mass"))
-    blocks = F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.ceil(F.col("mass") / GROUP_BYTES)).cast("int")
+    """``task, half`` rows: a small group is one task, a large one a task for each two of its blocks."""
+    sized = groups.groupBy("centre").agg(F.count("*").alias("sets"), F.sum("n").alias("mass"))
+    blocks = F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.ceil(F.col("mass") / GROUP_SHINGLES)).cast("int")
     dealt = groups.join(sized.select("centre", blocks.alias("blocks")), "centre")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("half"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = [f(F.col("block"), F.col("other")).cast("string") for f in (F.least, F.greatest)]
-    return dealt.select(F.concat_ws(":", F.col("centre").cast("string"), *pair).alias("task"), "node", "text")
+    return dealt.select(F.concat_ws(":", F.col("centre").cast("string"), *pair).alias("task"), "half")
 
 
 def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -277,26 +307,27 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     empty table gives no rows. Other columns of ``docs`` are ignored. Runs jobs:
     sets, candidates and components are written to the scratch folder.
     """
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50 and at most 100")
     plain = only_text(docs)
     profile = kept(plain.mapInArrow(_profile(size), _PROFILE), "profile")
-    sets = profile.filter("kind = 'doc'").select("doc_id", "n_shingles", "node")
+    sets = profile.filter("kind = 'doc'").select("doc_id", "n_shingles", "half", "node")
     often = profile.filter("kind = 'token'").groupBy("token").agg(F.sum("times").alias("times"))
     often = often.filter(F.col("times") >= FREQUENT_LEAST).orderBy(F.desc("times"), "token").limit(FREQUENT_MAX)
-    frequent = np.sort(np.array([r[0] for r in often.select("token").collect()], np.int64).view(np.uint64))
-
-    postings = plain.mapInArrow(_prefixes(size, percent, frequent), "sig bigint, half bigint")
-    centre = F.min("half").over(W.partitionBy("sig")).alias("centre")
-    lists = postings.select("half", centre).filter("half <> centre").distinct()
-    lists = kept(lists, "candidates")
-    centres = lists.select(F.col("centre").alias("half"), "centre").distinct()
-    texts = plain.mapInArrow(_texts(size), "half bigint, node binary, text string")
-    groups = lists.unionByName(centres).join(texts, "half")
-    groups = groups.withColumn("bytes", F.octet_length("text"))
-    tasks = _tasks(kept(groups, "groups"))
-    run = tasks.repartition("task").sortWithinPartitions("task")
+    counted = often.collect()
+    frequent, hot = (
+        np.sort(np.array([r["token"] for r in counted if r["times"] > least], np.int64).view(np.uint64)) for least in (0, HOT)
+    )
+    postings = [plain.mapInArrow(_prefixes(size, percent, frequent, hot, wanted), "sig bigint, half bigint, n int")
+                for wanted in ([False, True] if len(hot) else [False])]
+    tasks = _tasks(_centred(postings[0], postings[1] if len(hot) else None, percent))
+    smallest = sets.filter("node is not null").groupBy("node", "half").agg(F.min("doc_id").alias("doc_id"))
+    chosen = smallest.select("half", F.coalesce("doc_id", F.lit(_NO_ID)).alias("chosen"))
+    texts = plain.mapInArrow(_texts(size), "half bigint, chosen bigint, node binary, text string")
+    run = tasks.join(chosen, "half").join(texts, ["half", "chosen"])
+    run = run.select("task", "node", "text").repartition("task").sortWithinPartitions("task")
     roots = components(run.mapInArrow(_verify(size, percent), "u binary, v binary"))
 
-    smallest = sets.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     rooted = smallest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.select("node", "root").join(named, "root").select("node", "component_id")
@@ -306,11 +337,16 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents whose id names their component, with all their columns; repeated rows once."""
-    keep = near_copies(docs, size, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(keep, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    """The documents whose id names their component, with all their columns.
+
+    Rows with the same id and text are one document. Rows without an id stay: nothing
+    names the one to keep. Texts without words are near copies of nothing and stay.
+    """
+    found = near_copies(docs, size, percent)
+    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("code"))
+    rows = named.filter("id is not null").join(keep, F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id", "code"])
+    return rows.unionByName(named.filter("id is null")).select("row.*")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
