@@ -177,7 +177,8 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 10) -> DataFrame:
     sample = rows.orderBy("deal", "vec_id").limit(SAMPLE).select("dim", "vector").collect()
     pivots = {}
     for dim in {r["dim"] for r in sample}:
-        own = np.array([r["vector"] for r in sample if r["dim"] == dim], float).reshape(-1, dim)
+        own = [r["vector"] for r in sample if r["dim"] == dim]
+        own = np.array(own, float).reshape(len(own), dim)
         pivots[dim] = choose_pivots(np.floor(1024 * own))
     packed = kept(rows.mapInArrow(_pack(pivots, blocks, groups), _PACKED), "vectors")
     queries = packed.filter("kind = 'q'").withColumnRenamed("key", "block")

@@ -273,7 +273,7 @@ def test_base_places_and_templates(spark, odd, none):
     assert got[6] == got[7] == (0, 0, None, None, "")
     assert (found[2].labels, found[2].n_base) == ("apache", 0) and found[2].score > 0.9
     assert found[5].labels in ("", "mit") and found[100].labels == ""
-    assert found[8].labels == "gpl" and found[8].found[0].start == 302
+    assert found[8].labels == "gpl" and found[8].found[0].start == 303
     assert license_scan.scanned(odd).count() == odd.count() and license_scan.scanned(none).count() == 0
     assert "Python" not in license_scan.scanned(odd)._jdf.queryExecution().executedPlan().toString()
 
