@@ -11,17 +11,20 @@ import os
 import statistics
 import tempfile
 import time
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from netload.operators import aggregates, caching, diagnostics, filters, joins
 from netload.plans import catalog, incidents, load
-from netload.sources import readers, tables, writers
+from netload.sources import readers, synthetic, tables, writers
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
+# Synthetic events of the second set of pairs.
+EVENTS = int(os.environ.get("BENCH_EVENTS", synthetic.DEFAULT_ROWS))
 
 HEADLINE = [
     "saturation", "charge", "charge_join_first", "error_by_event", "error_by_event_from_text",
@@ -54,11 +57,12 @@ def build_session(logs: str) -> SparkSession:
 
 class Bench:
     def __init__(self, spark: SparkSession):
-        self.spark, self.seconds = spark, {}
+        self.spark, self.seconds, self.repeats, self.prefix = spark, {}, {}, ""
 
     def run(self, name: str, action, repeats: int = REPEATS) -> None:
         """Best of ``repeats`` after one warm-up run."""
         action()
+        name = self.prefix + name
         self.spark.sparkContext.setJobDescription(name)
         times = []
         for _ in range(repeats):
@@ -66,7 +70,7 @@ class Bench:
             action()
             times.append(time.perf_counter() - start)
         self.spark.sparkContext.setJobDescription(None)
-        self.seconds[name] = round(min(times), 4)
+        self.seconds[name], self.repeats[name] = round(min(times), 4), repeats
 
     def frame(self, name: str, build) -> None:
         self.run(name, lambda: finish(build()))
@@ -76,13 +80,13 @@ def finish(frame: DataFrame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
-def measure_pairs(bench: Bench, spark: SparkSession, folder: str) -> dict:
+def measure_pairs(bench: Bench, spark: SparkSession, folder: str, write, cells: DataFrame) -> dict:
     """Times the before/after pairs on one NDJSON file and the Parquet table made from it;
     returns the size of both."""
     source, target = f"{folder}/ndjson", f"{folder}/parquet"
-    writers.write_lines(tables.lines(tables.telemetry(spark, SF_DIR)), source)
+    write(source)
     bench.run("convert_ndjson_to_parquet", lambda: writers.ndjson_to_parquet(spark, source, target), 1)
-    events, cells = readers.read_telemetry(spark, target), tables.cells(spark, SF_DIR)
+    events = readers.read_telemetry(spark, target)
     declared = readers.read_ndjson(spark, source)
 
     def slow_errors(frame):
@@ -117,8 +121,11 @@ def measure_pairs(bench: Bench, spark: SparkSession, folder: str) -> dict:
     return diagnostics.size_ratio(spark, source, target).first().asDict()
 
 
-def before_after(seconds: dict, stages: dict, sizes: dict) -> dict:
-    """The pairs as [before, after, ratio]."""
+def before_after(seconds: dict, stages: dict, sizes: dict, prefix: str) -> dict:
+    """The pairs as [before, after, ratio], of the names with the prefix."""
+    seconds, stages = (
+        {name.removeprefix(prefix): x for name, x in found.items() if name.startswith(prefix)} for found in (seconds, stages)
+    )
     shuffled = {name: figures["shuffle_bytes"] for name, figures in stages.items()}
     skewed = stages["skewed_join_200_aqe_false"]
     pairs = {
@@ -138,7 +145,7 @@ def before_after(seconds: dict, stages: dict, sizes: dict) -> dict:
     return {name: [a, b, round(a / b, 2) if b else None] for name, (a, b) in pairs.items()}
 
 
-def stage_figures(logs: str) -> dict:
+def stage_figures(logs: str, repeats: dict) -> dict:
     """Per measured name, from the event log: shuffle bytes and records written, tasks,
     and the median and largest records read by a shuffle-reading task."""
     names, figures = {}, {}
@@ -159,9 +166,9 @@ def stage_figures(logs: str) -> dict:
                 entry["read"].append(read)
     return {
         name: {
-            "shuffle_bytes": entry["bytes"] // REPEATS,
-            "shuffle_records": entry["records"] // REPEATS,
-            "tasks": entry["tasks"] // REPEATS,
+            "shuffle_bytes": entry["bytes"] // repeats[name],
+            "shuffle_records": entry["records"] // repeats[name],
+            "tasks": entry["tasks"] // repeats[name],
             "median_read": int(statistics.median(entry["read"])) if entry["read"] else 0,
             "max_read": max(entry["read"], default=0),
         }
@@ -176,16 +183,29 @@ def main() -> None:
     for name in HEADLINE:
         bench.frame(name, lambda name=name: catalog.QUERIES[name](spark, SF_DIR))
     headline = round(sum(bench.seconds.values()), 3)
-    sizes = measure_pairs(bench, spark, folder)
+    rest = sorted(set(catalog.QUERIES) - set(HEADLINE))
+    for name in rest:
+        bench.run(name, lambda name=name: finish(catalog.QUERIES[name](spark, SF_DIR)), 1)
+    given = tables.lines(tables.telemetry(spark, SF_DIR))
+    sizes = measure_pairs(bench, spark, f"{folder}/given", partial(writers.write_lines, given), tables.cells(spark, SF_DIR))
+    bench.prefix = "default_"
+    events, cells = synthetic.telemetry(spark, EVENTS, synthetic.EVENT_SEED), synthetic.cells(spark)
+    large = measure_pairs(bench, spark, f"{folder}/default", partial(writers.write_ndjson, events), cells)
+    for name, build in (("fold_first", load.load_table), ("join_first", load.load_table_join_first)):
+        rows = readers.read_telemetry(spark, f"{folder}/default/parquet")
+        bench.frame(f"load_{name}", lambda build=build, rows=rows: build(rows, cells))
     spark.stop()
-    stages = stage_figures(logs)
+    stages = stage_figures(logs, bench.repeats)
     result = {
         "metric": f"total of {len(HEADLINE)} headline queries",
         "value": headline,
         "unit": "sec",
         "queries": bench.seconds,
         "sf": Path(SF_DIR).name.removeprefix("sf"),
-        "pairs": before_after(bench.seconds, stages, sizes),
+        "pairs": before_after(bench.seconds, stages, sizes, ""),
+        "events_default": EVENTS,
+        "pairs_default": before_after(bench.seconds, stages, large, "default_")
+        | {"seconds_load_join_first_to_fold_first": [bench.seconds["default_load_join_first"], bench.seconds["default_load_fold_first"]]},
         "stages": stages,
     }
     print(json.dumps(result))
