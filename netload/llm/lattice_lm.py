@@ -37,7 +37,7 @@ PRIOR = 100_000.0
 _BYTES = 1 << 18
 _SLICE = 4 << 20
 #: Distinct words a counting task holds.
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 
 _U = np.uint64
 

@@ -82,7 +82,9 @@ def _index(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
         rarest = sorted(set(words), key=lambda w: (-weights[w], w))[:RAREST]
         whole = sum(weights[w] for w in words if w in rarest)
         rows += [(w, t, i, weights[w], whole) for i, w in enumerate(words) if w in rarest]
-    return spark.createDataFrame(rows, "word string, template int, place int, weight double, whole double")
+    names = ("word", "template", "place", "weight", "whole")
+    listed = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])
+    return spark.range(1).select(F.inline(listed))
 
 
 def _of_template(t: int) -> Column:
