@@ -57,11 +57,13 @@ def build_session(logs: str) -> SparkSession:
 
 class Bench:
     def __init__(self, spark: SparkSession):
-        self.spark, self.seconds, self.repeats, self.prefix = spark, {}, {}, ""
+        self.spark, self.seconds, self.repeats, self.prefix, self.usual = spark, {}, {}, "", REPEATS
 
-    def run(self, name: str, action, repeats: int = REPEATS) -> None:
-        """Best of ``repeats`` after one warm-up run."""
-        action()
+    def run(self, name: str, action, repeats: int | None = None, warm_up: bool = True) -> None:
+        """Best of ``repeats``, by default after one warm-up run."""
+        repeats = repeats or self.usual
+        if warm_up:
+            action()
         name = self.prefix + name
         self.spark.sparkContext.setJobDescription(name)
         times = []
@@ -154,7 +156,7 @@ def stage_figures(logs: str, repeats: dict) -> dict:
         if event["Event"] == "SparkListenerJobStart":
             name = (event.get("Properties") or {}).get("spark.job.description")
             names.update({stage["Stage ID"]: name for stage in event["Stage Infos"]})
-        elif event["Event"] == "SparkListenerTaskEnd" and names.get(event["Stage ID"]):
+        elif event["Event"] == "SparkListenerTaskEnd" and names.get(event["Stage ID"]) in repeats:
             entry = figures.setdefault(names[event["Stage ID"]], {"bytes": 0, "records": 0, "tasks": 0, "read": []})
             metrics = event.get("Task Metrics") or {}
             written = metrics.get("Shuffle Write Metrics", {})
@@ -185,10 +187,10 @@ def main() -> None:
     headline = round(sum(bench.seconds.values()), 3)
     rest = sorted(set(catalog.QUERIES) - set(HEADLINE))
     for name in rest:
-        bench.run(name, lambda name=name: finish(catalog.QUERIES[name](spark, SF_DIR)), 1)
+        bench.run(name, lambda name=name: finish(catalog.QUERIES[name](spark, SF_DIR)), 1, warm_up=False)
     given = tables.lines(tables.telemetry(spark, SF_DIR))
     sizes = measure_pairs(bench, spark, f"{folder}/given", partial(writers.write_lines, given), tables.cells(spark, SF_DIR))
-    bench.prefix = "default_"
+    bench.prefix, bench.usual = "default_", 1
     events, cells = synthetic.telemetry(spark, EVENTS, synthetic.EVENT_SEED), synthetic.cells(spark)
     large = measure_pairs(bench, spark, f"{folder}/default", partial(writers.write_ndjson, events), cells)
     for name, build in (("fold_first", load.load_table), ("join_first", load.load_table_join_first)):
