@@ -4,7 +4,7 @@ A text is cut into pieces by the vocabulary's pattern, and each distinct piece i
 folded once: from its single bytes, the adjacent two of the lowest rank, the
 leftmost of equal ones, are merged until no two have a rank.
 
-The most frequent pieces of the corpus (``FREQUENT``) are folded by Spark's higher-order
+The pieces of the most frequent words of the corpus (``FREQUENT``) are folded by Spark's higher-order
 functions over arrays of binaries, with the ranks as a literal; their ids go to every
 task. That way costs some hundred microseconds a piece, so each task folds the other
 pieces that it meets, once each, by the same merges over arrays of a whole slice.
@@ -28,15 +28,14 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netload.llm.schema import documents, kept, only_text
+from netload.llm.schema import documents, only_text
 from netload.llm.vocab import BYTE_LEVEL, ByteIds, slices_of
 
-#: Distinct pieces folded ahead, some 100 bytes each in every task.
+#: Words whose pieces are folded ahead, some 100 bytes each in every task.
 FREQUENT = 1 << 13
 #: Pieces of more bytes are folded one by one with a heap.
 LONG = 64
 _BUCKETS = 1 << 14
-_FLUSH = 1 << 20
 _NONE = np.iinfo(np.int64).max
 
 
@@ -126,13 +125,17 @@ class Merges:
 
 
 class RankIds(ByteIds):
-    """Ids by a rank file; ``given`` holds pieces folded ahead."""
+    """Ids by a rank file; ``given`` pieces are folded ahead."""
 
-    def __init__(self, path: str, pattern: str, given: dict[str, bytes]):
+    def __init__(self, path: str, pattern: str):
         self._merges, self._cut = Merges(load_ranks(path)), regex.compile(pattern)
-        self._pieces: dict[str, bytes] = dict(given)
+        self._pieces: dict[str, bytes] = {}
         self._forget()
 
+    def given(self, pieces: dict[str, bytes]) -> RankIds:
+        self._pieces.update(pieces)
+        return self
+
     def _split(self, chunk: str) -> list[str]:
         return self._cut.findall(chunk)
 
@@ -176,63 +179,47 @@ def folded(pieces: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return pieces.select("piece", F.transform(parts, rank_of).alias("ids"))
 
 
-def _counted(pattern: str):
-    cut = regex.compile(pattern)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}
-
-        def out() -> pa.RecordBatch:
-            often = [(p, n) for p, n in held.items() if n > 1]
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())], names=["piece", "n"])
-
-        for batch in batches:
-            for part in slices_of(batch, "text"):
-                lists = pc.split_pattern(part.column("text"), " ")
-                for chunk in pc.value_counts(lists.flatten()).to_pylist():
-                    for piece in cut.findall(" " + chunk["values"]):  # the first word of a text counts with a blank, too
-                        held[piece] = held.get(piece, 0) + chunk["counts"]
-                if len(held) > _FLUSH:
-                    yield out()
-        yield out()
-
-    return run
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each string between two blanks stands in a slice of texts, if more than once."""
+    for batch in batches:
+        for part in slices_of(batch, "text"):
+            counts = pc.value_counts(pc.split_pattern(part.column("text"), " ").flatten())
+            often = counts.filter(pc.greater(counts.field("counts"), 1))
+            yield pa.RecordBatch.from_arrays([often.field("values"), often.field("counts")], names=["word", "n"])
 
 
 def folded_ahead(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> dict[str, bytes]:
-    """Ids of the most frequent pieces of the texts, from counts over all of them; at most ``FREQUENT``.
+    """Ids of the pieces of the most frequent words, from counts over all texts; words number at most ``FREQUENT``.
 
-    Counts are about right, as pieces that a task meets once don't count; that
+    Counts are about right, as words that a slice holds once don't count; that
     changes which pieces are folded ahead, never an id.
     """
-    counts = only_text(docs).select("text").mapInArrow(_counted(pattern), "piece string, n bigint")
-    counts = counts.filter(F.octet_length("piece") <= LONG).groupBy("piece").agg(F.sum("n").alias("n"))
-    often = kept(counts.orderBy(F.desc("n"), "piece").limit(FREQUENT).select(F.col("piece").cast("binary").alias("piece")), "pieces")
-    rows = folded(often.repartition(docs.sparkSession.sparkContext.defaultParallelism), ranks).collect()
+    counts = only_text(docs).select("text").mapInArrow(_counted, "word string, n bigint")
+    counts = counts.filter(F.octet_length("word") < LONG).groupBy("word").agg(F.sum("n").alias("n"))
+    often = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
+    cut, spark = regex.compile(pattern), docs.sparkSession
+    pieces = sorted({p for word in often for p in cut.findall(" " + word)})
+    frame = spark.createDataFrame([(bytearray(p.encode()),) for p in pieces], "piece BINARY")
+    rows = folded(frame.repartition(spark.sparkContext.defaultParallelism), ranks).collect()
     return {bytes(r["piece"]).decode(): np.array(r["ids"], np.uint32).tobytes() for r in rows}
 
 
 @lru_cache(maxsize=1)
-def _known(path: str, pattern: str, given: tuple) -> RankIds:
-    return RankIds(path, pattern, dict(given))
+def _known(path: str, pattern: str) -> RankIds:
+    return RankIds(path, pattern)
 
 
 def _encode(path: str, pattern: str, given: dict[str, bytes]):
-    ahead = tuple(given.items())
-
-    @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
-        known = _known(path, pattern, ahead)
-        parts = []
-        for part in slices_of(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
-            found, counts = known.of(part.column("text"))
-            cuts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            parts.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(found.view(np.int32))))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _known(path, pattern).given(given)
+        for batch in batches:
+            for part in slices_of(batch, "text"):
+                found, counts = known.of(part.column("text"))
+                cuts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(found.view(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], names=["doc_id", "ids"])
 
-    return ids
+    return run
 
 
 def encoded(docs: DataFrame, path: str, pattern: str = BYTE_LEVEL) -> DataFrame:
@@ -243,7 +230,7 @@ def encoded(docs: DataFrame, path: str, pattern: str = BYTE_LEVEL) -> DataFrame:
     pieces and fold the frequent ones.
     """
     given = folded_ahead(docs, load_ranks(path), pattern)
-    return only_text(docs).select("doc_id", _encode(path, pattern, given)(F.col("text")).alias("ids"))
+    return only_text(docs).mapInArrow(_encode(path, pattern, given), "doc_id bigint, ids array<int>")
 
 
 @lru_cache(maxsize=2)

@@ -20,7 +20,7 @@ import regex
 from netload.llm.wordhash import slices
 
 #: Entries that a process remembers of each kind before it starts afresh.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
 #: Bytes of text encoded at a time, unless one text is longer.
 SLICE_BYTES = 8 << 20
 
@@ -161,8 +161,11 @@ class ByteIds(Ids):
         lead = np.zeros(len(index), bool)
         lead[np.cumsum(parts) - parts] = True
         both = index * 2 + ~lead
-        used, back = np.unique(both, return_inverse=True)
-        codes = self._codes([distinct[u >> 1] if u & 1 == 0 else " " + distinct[u >> 1] for u in used.tolist()])[back]
+        place = np.zeros(2 * len(distinct), np.int64)
+        place[both] = 1
+        used = np.flatnonzero(place)
+        place[used] = self._codes([distinct[u >> 1] if u & 1 == 0 else " " + distinct[u >> 1] for u in used.tolist()])
+        codes = place[both]
         own = np.flatnonzero(odd)
         if len(own):  # each such text is one part of its own, not remembered
             base = len(self._starts) - 1

@@ -34,7 +34,7 @@ def strange(n):
 
 def test_folds_equal_the_library(library):
     texts = strange(2000)
-    ids, counts = byte_bpe.RankIds(RANKS, public_tokenizers.PATTERN, {}).of(pa.array(texts))
+    ids, counts = byte_bpe.RankIds(RANKS, public_tokenizers.PATTERN).of(pa.array(texts))
     cuts = np.cumsum(counts)
     assert [ids[e - n : e].tolist() for n, e in zip(counts, cuts)] == [library.encode_ordinary(t) for t in texts]
 
