@@ -1,13 +1,14 @@
 """License scans by a positional rare-token index.
 
-Templates are sentences by which licenses are given. The index holds each template
-word with its places. A file's licence words of the highest inverse document frequency,
-taken over all files, are looked up; hits that agree on where the template begins
+Templates are sentences by which licenses are given. The index holds each template's
+words of the highest inverse document frequency, taken over all files, with their
+places. Every word of a file is looked up; hits that agree on where the template begins
 are added up, weighted by that frequency. A template counts as found if its best
 beginning has at least half of its weight and its key phrases stand in the file.
 
 A template needs its key phrases word for word, so only files with one of those are
-taken apart into words; all files count in the document frequencies.
+taken apart into words, and only hits of templates whose phrases are there are added up;
+all files count in the document frequencies.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ TEMPLATES = (
     ("reserved", "copyright all rights reserved", ("all rights reserved",)),
 )
 
-#: Licence words looked up in a file at most: those of the highest inverse document frequency.
+#: Words of a template that the index holds: those of the highest inverse document frequency.
 RAREST = 12
 #: Share of a template's weight that must agree on one beginning.
 LEAST = 0.5
@@ -117,14 +118,13 @@ def scanned(docs: DataFrame) -> DataFrame:
     counted = rows.select(F.explode("words").alias("word")).groupBy("word").count()
     files, times = rows.count(), {r["word"]: r["count"] for r in counted.collect()}  # a row for each template word
     weights = {w: log((files + 1) / (times.get(w, 0) + 0.5)) for w in vocabulary}
-    rarest = sorted(vocabulary, key=lambda w: (-weights[w], w))
 
-    own = F.slice(F.array_intersect(F.array(*map(F.lit, rarest)), F.col("words")), 1, RAREST)  # in the order of rarity
-    texts = rows.filter("body is not null").withColumn("text_words", F.split("body", " ")).withColumn("own", own)
-    hits = texts.select("row", "own", F.posexplode("text_words").alias("i", "word"))
-    hits = hits.filter(F.array_contains("own", F.col("word"))).select("row", "i", "word")
+    sure = [F.when(reduce(and_, (_has(F.col("body"), p) for p in key)), F.lit(t)) for t, (*_, key) in enumerate(TEMPLATES)]
+    texts = rows.filter("body is not null").withColumn("text_words", F.split("body", " "))
+    texts = texts.withColumn("own", F.array_compact(F.array(*sure)))
+    hits = texts.filter(F.size("own") > 0).select("row", "own", F.posexplode("text_words").alias("i", "word"))
     index = _index(docs.sparkSession, weights)
-    begun = hits.join(F.broadcast(index), "word")  # bounded by TEMPLATES
+    begun = hits.join(F.broadcast(index), "word").filter(F.array_contains("own", F.col("template")))  # bounded by TEMPLATES
     begun = begun.groupBy("row", "template", (F.col("i") - F.col("place")).alias("start")).agg(
         F.least(F.lit(1.0), F.sum("weight") / F.first("whole")).alias("share")
     )
@@ -135,10 +135,9 @@ def scanned(docs: DataFrame) -> DataFrame:
 
     joined = texts.join(best, "row", "left")
     found = []
-    for t, (label, _, key) in enumerate(TEMPLATES):
-        mine = _of_template(t)
-        sure = reduce(and_, (_has(F.col("body"), p) for p in key)) & mine.isNotNull()
-        found.append(F.when(sure, F.struct(F.lit(label).alias("label"), (-mine["col2"]).alias("start"), mine["share"].alias("share"))))
+    for t, (label, *_) in enumerate(TEMPLATES):
+        mine = _of_template(t)  # its key phrases are there
+        found.append(F.when(mine.isNotNull(), F.struct(F.lit(label).alias("label"), (-mine["col2"]).alias("start"), mine["share"].alias("share"))))
     places = [F.when(_has(F.col("body"), p), _places(F.col("text_words"), p)).otherwise(F.array().cast("array<int>")) for p in BASE]
     some = joined.select(
         F.col("row").alias("of"), F.array_sort(F.array_compact(F.array(*found))).alias("found"), F.concat(*places).alias("places"),

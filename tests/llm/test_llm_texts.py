@@ -278,6 +278,28 @@ def test_base_places_and_templates(spark, odd, none):
     assert "Python" not in license_scan.scanned(odd)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_files_of_several_licences_lose_none(spark):
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"
+        ' files (the "Software"), to deal in the Software without restriction. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF'
+        " ANY KIND, EXPRESS OR IMPLIED, including but not limited to the warranties of merchantability."
+    )
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+        " conditions are met: redistributions of source code must retain the above copyright notice."
+    )
+    apache = "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance."
+    every = [sentence for _, sentence, _ in license_scan.TEMPLATES]
+    texts = [(1, mit), (2, f"{mit}\n\n{bsd}"), (3, f"{apache}\n{mit}\n{bsd}"), (4, "\n".join(every))]
+    texts += [(100 + i, "the plain text of a file and the use of it") for i in range(60)]
+    found = {r.doc_id: r for r in license_scan.scanned(documents(spark, texts)).collect()}
+    assert [found[i].labels for i in (1, 2, 3)] == ["mit,no-warranty", "bsd,mit,no-warranty", "apache,bsd,mit,no-warranty"]
+    assert all(f.share == pytest.approx(1) for i in (1, 2, 3) for f in found[i].found)
+    starts = np.cumsum([0] + [len(s.split()) for s in every])
+    want = sorted((label, int(at)) for (label, *_), at in zip(license_scan.TEMPLATES, starts))
+    assert sorted((f.label, f.start) for f in found[4].found) == want
+
+
 def test_digest_of_whole_words(spark, sf_dir):
     first = substring_dedup.op6_substring_dedup(spark, sf_dir).orderBy("doc_id").first()
     assert len(first.kept_sha256) == len(hashlib.sha256(b"").hexdigest())
