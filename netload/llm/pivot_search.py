@@ -8,7 +8,8 @@ next bound lies below the k-th best score found, which makes the result exact.
 
 The stated queries meet all vectors in blocks: queries are dealt to blocks of about
 ``QUERY_BLOCK``, candidates to groups of about ``GROUP``, and each pair is one run that
-holds its queries and streams its candidates. A run hands on k rows for a query.
+holds its queries and streams its candidates. A run hands on k rows for a query, which
+keeps the number it was packed with in all runs.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ PIVOTS, SAMPLE = 24, 2048
 QUERY_BLOCK, GROUP = 8192, 4096
 _CHUNK = 128
 
-_PACKED = "kind string, key int, dim int, ids binary, ints binary, table binary"
+_PACKED = "kind string, key int, dim int, numbers binary, ids binary, ints binary, table binary"
 _PACKED_SCHEMA = pa.schema([
-    ("kind", pa.string()), ("key", pa.int32()), ("dim", pa.int32()), ("ids", pa.binary()), ("ints", pa.binary()),
-    ("table", pa.binary()),
+    ("kind", pa.string()), ("key", pa.int32()), ("dim", pa.int32()), ("numbers", pa.binary()), ("ids", pa.binary()),
+    ("ints", pa.binary()), ("table", pa.binary()),
 ])
 _FOUND = "query bigint, query_id bigint, vec_id bigint, score bigint"
 
@@ -71,10 +72,10 @@ def _integers(vectors: pa.Array) -> np.ndarray:
 
 
 def _pack(pivots: dict[int, np.ndarray], query_blocks: int, groups: int):
-    def rows(kind: str, key: np.ndarray, dim: int, ids, ints, table) -> Iterator[pa.RecordBatch]:
+    def rows(kind: str, key: np.ndarray, dim: int, numbers, ids, ints, table) -> Iterator[pa.RecordBatch]:
         for k in np.unique(key):
             at = np.flatnonzero(key == k)
-            row = (kind, int(k), dim, ids[at].tobytes(), ints[at].tobytes(), table[at].tobytes())
+            row = (kind, int(k), dim, numbers[at].tobytes(), ids[at].tobytes(), ints[at].tobytes(), table[at].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _PACKED_SCHEMA)], schema=_PACKED_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,13 +83,13 @@ def _pack(pivots: dict[int, np.ndarray], query_blocks: int, groups: int):
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                ids = part.column("vec_id").to_numpy()
+                numbers, ids = part.column("number").to_numpy(), part.column("vec_id").to_numpy()
                 deal = part.column("deal").to_numpy()
                 ints = _integers(part.column("vector")) if dim else np.zeros((len(ids), 0), np.int64)
                 table = _distances(ints, pivots.get(int(dim), np.zeros((0, int(dim)))))
-                yield from rows("c", deal % groups, int(dim), ids, ints, table)
+                yield from rows("c", deal % groups, int(dim), numbers, ids, ints, table)
                 own = np.flatnonzero(part.column("query").to_numpy(zero_copy_only=False))
-                yield from rows("q", deal[own] // groups % query_blocks, int(dim), ids[own], ints[own], table[own])
+                yield from rows("q", deal[own] // groups % query_blocks, int(dim), numbers[own], ids[own], ints[own], table[own])
 
     return run
 
@@ -97,11 +98,12 @@ class _Search:
     """The queries of one run of one dimension and the best candidates so far."""
 
     def __init__(self, k: int):
-        self.k, self.ids, self.ints, self.table = k, [], [], []
+        self.k, self.numbers, self.ids, self.ints, self.table = k, [], [], [], []
         self.best: list[list[tuple[int, int]]] = []  # (-score, vec_id), ascending
 
-    def add(self, ids, ints, table) -> None:
+    def add(self, numbers, ids, ints, table) -> None:
         for i in range(len(ids)):
+            self.numbers.append(int(numbers[i]))
             self.ids.append(int(ids[i]))
             self.ints.append(ints[i])
             self.table.append(table[i])
@@ -126,12 +128,11 @@ class _Search:
 
 
 def _search(k: int):
-    def found(run: dict[int, _Search], key) -> pa.RecordBatch:
-        rows, at = [], 0
+    def found(run: dict[int, _Search]) -> pa.RecordBatch:
+        rows = []
         for search in run.values():
-            for query_id, best in zip(search.ids, search.best):
-                rows += [((key[0] << 32) + at, query_id, vec_id, -score) for score, vec_id in best]
-                at += 1
+            for number, query_id, best in zip(search.numbers, search.ids, search.best):
+                rows += [(number, query_id, vec_id, -score) for score, vec_id in best]
         columns = list(zip(*rows)) or [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query", "query_id", "vec_id", "score"])
 
@@ -142,16 +143,16 @@ def _search(k: int):
                 key = (row["block"], row["group"])
                 if key != now:
                     if run:
-                        yield found(run, now)
+                        yield found(run)
                     now, run = key, {}
                 ids, dim = np.frombuffer(row["ids"], np.int64), row["dim"]
                 packed = ids, np.frombuffer(row["ints"], np.int64).reshape(len(ids), dim), np.frombuffer(row["table"]).reshape(len(ids), -1)
                 if row["kind"] == "q":
-                    run.setdefault(dim, _Search(k)).add(*packed)
+                    run.setdefault(dim, _Search(k)).add(np.frombuffer(row["numbers"], np.int64), *packed)
                 elif dim in run:
                     run[dim].meet(*packed)
         if run:
-            yield found(run, now)
+            yield found(run)
 
     return each
 
@@ -170,7 +171,7 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 10) -> DataFrame:
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite).select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.size("embedding").alias("dim"),
         F.col("embedding").cast("array<double>").alias("vector"), F.shiftrightunsigned(F.xxhash64("vec_id"), 1).alias("deal"),
-        F.expr(is_query).alias("query"),
+        F.expr(is_query).alias("query"), F.monotonically_increasing_id().alias("number"),
     )
     n, n_queries = rows.agg(F.count("*"), F.count_if("query")).first()
     groups, blocks = -(-n // GROUP) or 1, -(-n_queries // QUERY_BLOCK) or 1

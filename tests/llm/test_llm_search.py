@@ -30,6 +30,31 @@ def test_equals_brute_force_with_ties_and_signs(spark, monkeypatch):
     assert found(vectors(spark, [(*r, "c", None) for r in rows])) == brute(rows, 10)
 
 
+def test_queries_may_reach_each_group_in_another_order(spark, monkeypatch):
+    search = pivot_search._search
+
+    def reordered(k):
+        def each(batches):
+            batches = list(batches)
+            rows = [row for batch in batches for row in batch.to_pylist()]
+            runs = {}
+            for row in rows:
+                runs.setdefault((row["block"], row["group"]), {"q": [], "c": []})[row["kind"]].append(row)
+            assert all(len(run["q"]) > 1 for run in runs.values())
+            for (_, group), run in runs.items():
+                own = run["q"][:: -1 if group % 2 else 1] + run["c"]
+                yield from search(k)(iter([type(batches[0]).from_pylist(own, batches[0].schema)]))
+
+        return each
+
+    monkeypatch.setattr(pivot_search, "GROUP", 90)
+    monkeypatch.setattr(pivot_search, "_search", reordered)
+    rows = [(i, [((i * 7 + j * 13) % 17 - 8) / 16 for j in range(5)]) for i in range(-300, 500)]
+    rows += [(100, rows[400][1])]  # a query of two rows
+    frame = vectors(spark, [(*r, "c", None) for r in rows]).repartition(4, "embedding")
+    assert found(frame) == brute(rows, 10)
+
+
 def test_odd_vectors_take_no_part(spark):
     good = [(0, [1.0, 2.0]), (1, [0.5, -1.0]), (100, [1.0, 2.0, 3.0]), (2, [3.0, 1.0]), (200, []), (3, [])]
     bad = [(4, None), (5, [1.0, None]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (None, [1.0, 1.0])]
