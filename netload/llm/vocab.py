@@ -21,6 +21,8 @@ from netload.llm.wordhash import slices
 
 #: Entries that a process remembers of each kind before it starts afresh.
 REMEMBERED = 500_000
+#: Bytes of ids and characters of text that a process remembers of each kind, besides one slice's.
+REMEMBERED_BYTES = 64 << 20
 #: Bytes of text encoded at a time, unless one text is longer.
 SLICE_BYTES = 8 << 20
 
@@ -51,6 +53,8 @@ def _shown(piece: str) -> str:
 class Ids:
     """Ids of texts by one tokenizer file, loaded once per process."""
 
+    _piece_bytes = 0
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
         from tokenizers import Tokenizer
@@ -62,7 +66,7 @@ class Ids:
 
     def _forget(self) -> None:
         self._chunks: dict[str, int] = {}
-        self._blob, self._starts = bytearray(), [0]
+        self._chars, self._blob, self._starts = 0, bytearray(), [0]
 
     def _library(self, text: str) -> bytes:
         """Ids of a text by all steps of the tokenizer."""
@@ -78,12 +82,14 @@ class Ids:
 
     def _encode(self, chunks: list[str]) -> None:
         """Adds one entry for each chunk."""
-        if len(self._pieces) > REMEMBERED:
-            self._pieces = {}
+        if len(self._pieces) > REMEMBERED or self._piece_bytes > REMEMBERED_BYTES:
+            self._pieces, self._piece_bytes = {}, 0
         known, blob, starts = self._pieces, self._blob, self._starts
         lists = [self._split(chunk) for chunk in chunks]
         new = list({p for pieces in lists if pieces for p in pieces if p not in known})
-        known.update(zip(new, self._merged(new)))
+        merged = self._merged(new)
+        known.update(zip(new, merged))
+        self._piece_bytes += sum(map(len, new)) + sum(map(len, merged))
         for chunk, pieces in zip(chunks, lists):
             if pieces is None:
                 blob += self._library(chunk)
@@ -101,6 +107,7 @@ class Ids:
         new = [c for c in chunks if c not in known]
         base = len(self._starts) - 1
         self._encode(new)
+        self._chars += sum(map(len, new))
         known.update(zip(new, range(base, base + len(new))))
         return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
 
@@ -110,7 +117,7 @@ class Ids:
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and how many each text has."""
-        if len(self._chunks) > REMEMBERED:
+        if len(self._chunks) > REMEMBERED or self._chars + len(self._blob) > REMEMBERED_BYTES:
             self._forget()
         codes, parts = self._parts(texts)
         starts = np.array(self._starts)
@@ -119,6 +126,8 @@ class Ids:
         ids = np.frombuffer(bytes(self._blob), np.uint32)[
             np.repeat(starts[codes] - to + lengths, lengths) + np.arange(to[-1] if len(to) else 0)
         ]
+        # entries after those of the remembered parts belong to these texts alone
+        del self._starts[len(self._chunks) + 1 :], self._blob[4 * self._starts[len(self._chunks)] :]
         ends = np.concatenate([[0], to])[np.concatenate([[0], np.cumsum(parts)])]
         return ids, np.diff(ends)
 

@@ -69,6 +69,28 @@ def test_remembered_pieces_give_the_ids_of_the_library(kind, name, monkeypatch):
         assert [ids[e - n : e].tolist() for n, e in zip(counts, cuts)] == want
 
 
+@pytest.mark.parametrize("text", ["two  blanks \n    and code{} " * 40, "漢字{}" * 400, "x{}y-" * 300])
+def test_memory_is_bounded_in_bytes(text, monkeypatch):
+    monkeypatch.setattr("netload.llm.vocab.REMEMBERED_BYTES", 20_000, raising=False)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, known, sizes = Tokenizer.from_file(path), ByteIds(path), []
+    for at in range(60):
+        texts = [text.replace("{}", f"{at}{i}") for i in range(3)] + ["plain words"]
+        ids, counts = known.of(pa.array(texts))
+        cuts = np.cumsum(counts)
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids[e - n : e].tolist() for n, e in zip(counts, cuts)] == want
+        sizes.append(len(known._blob) + sum(map(len, known._chunks)) + 4 * len(known._starts))
+    assert max(sizes) < 60_000
+
+
+def test_irregular_texts_are_not_remembered():
+    known = ByteIds(public_tokenizers.path("byte_bpe_50k.json"))
+    for at in range(5):
+        known.of(pa.array([f"two  blanks {at} "] * 10))
+        assert known._codes([""]) == [0] and len(known._starts) == 2 and len(known._blob) == 0
+
+
 @pytest.mark.parametrize("bits", [1, 8])
 def test_planes_round_trip(bits):
     for n in (1, 7, 8, 1000):
