@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -127,11 +127,11 @@ def _halves(prints: np.ndarray) -> pa.Array:
     return pa.array(prints[:, 0].copy().view(np.int64))
 
 
-_PROFILE = "kind string, doc_id bigint, half bigint, node binary, n_shingles bigint, token bigint, times bigint"
+_PROFILE = "kind string, doc_id bigint, code bigint, half bigint, node binary, n_shingles bigint, token bigint, times bigint"
 
 
 def _profile(size: int):
-    schema = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("half", pa.int64()), ("node", pa.binary()),
+    schema = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("code", pa.int64()), ("half", pa.int64()), ("node", pa.binary()),
                         ("n_shingles", pa.int64()), ("token", pa.int64()), ("times", pa.int64())])
 
     def repeated(tokens: list[np.ndarray]) -> pa.RecordBatch:
@@ -139,8 +139,8 @@ def _profile(size: int):
         token, times = token[times > 1], times[times > 1]
         none = lambda kind: pa.nulls(len(token), kind)
         return pa.RecordBatch.from_arrays(
-            [pa.array(["token"] * len(token), pa.string()), none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.int64()),
-             pa.array(token.view(np.int64)), pa.array(times)], schema=schema)
+            [pa.array(["token"] * len(token), pa.string()), none(pa.int64()), none(pa.int64()), none(pa.int64()), none(pa.binary()),
+             none(pa.int64()), pa.array(token.view(np.int64)), pa.array(times)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, n_held = _Seen(), [], 0
@@ -149,7 +149,7 @@ def _profile(size: int):
                 sets = _Sets(part.column("text"), size)
                 prints, n = sets.prints(), part.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(["doc"] * n, pa.string()), part.column("doc_id"), _halves(prints),
+                    [pa.array(["doc"] * n, pa.string()), part.column("doc_id"), part.column("code"), _halves(prints),
                      _nodes(prints, sets.sizes), pa.array(sets.sizes), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=schema)
                 new = sets.token[seen.new(prints, sets.sizes)[sets.text]]
                 held.append(new)
@@ -297,21 +297,19 @@ def _tasks(groups: DataFrame) -> DataFrame:
     return dealt.select(F.concat_ws(":", F.col("centre").cast("string"), *pair).alias("task"), "half")
 
 
-def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
+def _row_code() -> Column:
+    """Hash of a row's text and of whether it has an id: with the id, or 0, it stands for rows with the same id and text."""
+    return F.xxhash64(F.col("doc_id").cast("bigint").isNull(), F.col("text").cast("string"))
 
-    ``component_id`` is the smallest doc_id reachable by links. Null or empty
-    texts and texts without words have no shingles and only themselves. A null
-    doc_id is ignored by that minimum; a component without any other has null.
-    Repeated rows come back as often as they are given, in one component. An
-    empty table gives no rows. Other columns of ``docs`` are ignored. Runs jobs:
-    sets, candidates and components are written to the scratch folder.
-    """
+
+def _sets_and_roots(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Each row's set, the smallest doc_id of each set, and ``node, root`` of the sets with links."""
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
     plain = only_text(docs)
-    profile = kept(plain.mapInArrow(_profile(size), _PROFILE), "profile")
-    sets = profile.filter("kind = 'doc'").select("doc_id", "n_shingles", "half", "node")
+    coded = only_text(docs, None).withColumn("code", _row_code()).withColumn("text", F.coalesce("text", F.lit("")))
+    profile = kept(coded.mapInArrow(_profile(size), _PROFILE), "profile")
+    sets = profile.filter("kind = 'doc'").select("doc_id", "code", "n_shingles", "half", "node")
     often = profile.filter("kind = 'token'").groupBy("token").agg(F.sum("times").alias("times"))
     often = often.filter(F.col("times") >= FREQUENT_LEAST).orderBy(F.desc("times"), "token").limit(FREQUENT_MAX)
     counted = often.collect()
@@ -327,7 +325,20 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     run = tasks.join(chosen, "half").join(texts, ["half", "chosen"])
     run = run.select("task", "node", "text").repartition("task").sortWithinPartitions("task")
     roots = components(run.mapInArrow(_verify(size, percent), "u binary, v binary"))
+    return sets, smallest, roots
+
 
+def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``.
+
+    ``component_id`` is the smallest doc_id reachable by links. Null or empty
+    texts and texts without words have no shingles and only themselves. A null
+    doc_id is ignored by that minimum; a component without any other has null.
+    Repeated rows come back as often as they are given, in one component. An
+    empty table gives no rows. Other columns of ``docs`` are ignored. Runs jobs:
+    sets, candidates and components are written to the scratch folder.
+    """
+    sets, smallest, roots = _sets_and_roots(docs, size, percent)
     rooted = smallest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.select("node", "root").join(named, "root").select("node", "component_id")
@@ -337,16 +348,23 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents whose id names their component, with all their columns.
+    """One document of each component, with all its columns: that of the smallest id, then the smallest hash of the text.
 
-    Rows with the same id and text are one document. Rows without an id stay: nothing
-    names the one to keep. Texts without words are near copies of nothing and stay.
+    Rows with the same id and text are one document. Rows without an id come after all others,
+    so one of them stays where a component has no id. Texts without words are near copies of
+    nothing and stay, those without an id each by itself.
     """
-    found = near_copies(docs, size, percent)
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("code"))
-    rows = named.filter("id is not null").join(keep, F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id", "code"])
-    return rows.unionByName(named.filter("id is null")).select("row.*")
+    sets, _, roots = _sets_and_roots(docs, size, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("id"), "code")).alias("first")
+    firsts = sets.filter("node is not null").groupBy("node").agg(first).join(roots, "node", "left")
+    firsts = firsts.groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
+    wordless = sets.filter("node is null").select(F.coalesce("doc_id", F.lit(0)).alias("id"), "code", F.col("doc_id").isNull().alias("each"))
+    keep = firsts.select("first.id", "first.code", F.lit(False).alias("each")).union(wordless.distinct())
+    named = docs.select(
+        F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"), _row_code().alias("code"),
+    )
+    rows = named.join(keep, ["id", "code"]).withColumn("apart", F.when(F.col("each"), F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["id", "code", "apart"]).select("row.*")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

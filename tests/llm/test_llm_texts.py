@@ -114,6 +114,20 @@ def test_one_of_each_keeps_columns_and_the_smallest_id(spark, odd, none):
         ngram_join.near_copies(none, percent=50)
 
 
+def test_one_of_each_whatever_the_ids(spark):
+    a, b, c, d = (sentence(100, k) for k in (0, 1000, 2000, 3000))
+    texts = [
+        (1, a), (None, a), (None, a + " tail"),  # rows without an id beside one with an id
+        (None, b), (None, b), (None, b + " tail"),  # none has an id
+        (2, c), (1, c + " tail"), (1, c),  # an id that heads another component
+        (7, d), (7, d + " tail"), (7, d), (None, None), (None, ""), (None, None),
+    ]
+    got = [(r.doc_id, r.text) for r in ngram_join.one_of_each(documents(spark, texts)).collect()]
+    heads = [(i, (t or "").removesuffix(" tail")) for i, t in got if words(t)]
+    assert sorted(heads, key=repr) == sorted([(1, a), (None, b), (1, c), (7, d)], key=repr)
+    assert set(got) <= set(texts) and [t for _, t in got if not words(t)].count(None) == 2 and (None, "") in got
+
+
 # substring dedup
 
 def test_repeated_windows_equal_brute_force(spark, odd, none):
