@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -28,3 +28,10 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path under the scratch root; never reused, so no run sees another's files."""
     return f"{scratch_root(spark)}/netload-{uuid.uuid4().hex}/{name}"
+
+
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared scratch folder and read back. Runs a job."""
+    path = fresh_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
