@@ -5,6 +5,7 @@ from __future__ import annotations
 from netload.llm.byte_bpe import op7_byte_level_bpe
 from netload.llm.lattice_lm import op2_lattice_score
 from netload.llm.license_scan import op5_license_scan
+from netload.llm.merkle import op13_merkle_manifest
 from netload.llm.ngram_join import op4_ngram_jaccard_join
 from netload.llm.packing import op10_harmonic_packing
 from netload.llm.pivot_search import OP1_SQL, op1_pivot_top_k
@@ -16,6 +17,7 @@ from netload.llm.substring_dedup import op6_substring_dedup
 _ALL = [
     op1_pivot_top_k, op2_lattice_score, op3_quality_rules, op4_ngram_jaccard_join, op5_license_scan,
     op6_substring_dedup, op7_byte_level_bpe, op8_sharding, op9_bit_plane_output, op10_harmonic_packing,
+    op13_merkle_manifest,
 ]
 
 QUERIES = {f.__name__: f for f in _ALL}
