@@ -16,7 +16,7 @@ def main() -> None:
     parser.add_argument("folder", help="data folder all executors share")
     parser.add_argument("--rows", type=int, default=synthetic.DEFAULT_ROWS)
     parser.add_argument("--seed", type=int, default=synthetic.EVENT_SEED)
-    parser.add_argument("--compact", action="store_true", help="even file sizes, at the price of a shuffle")
+    parser.add_argument("--no-compact", action="store_true", help="convert without a shuffle: more and uneven files")
     parser.add_argument("--heure", help="show one hour only, e.g. 8")
     args = parser.parse_args()
 
@@ -24,7 +24,7 @@ def main() -> None:
     if args.stage == "produce":
         jobs.produce(spark, args.folder, args.rows, args.seed)
     elif args.stage == "convert":
-        jobs.convert(spark, args.folder, args.compact).show(truncate=False)
+        jobs.convert(spark, args.folder, not args.no_compact).show(truncate=False)
     elif args.stage == "saturate":
         jobs.saturate(spark, args.folder)
     elif args.stage == "follow":

@@ -26,7 +26,7 @@ class MissingInput(FileNotFoundError):
 
 def _expect(path: str, stage: str, spark: SparkSession) -> str:
     try:
-        spark.read.text(path)
+        readers.read_lines(spark, path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -42,7 +42,7 @@ def produce(
     writers.write_ndjson(synthetic.telemetry(spark, rows, seed), f"{folder}/{EVENTS}")
 
 
-def convert(spark: SparkSession, folder: str, compact: bool = False) -> DataFrame:
+def convert(spark: SparkSession, folder: str, compact: bool = True) -> DataFrame:
     """NDJSON to the level-partitioned table; returns both sizes and their ratio."""
     source, target = _expect(f"{folder}/{EVENTS}", "produce", spark), f"{folder}/{TABLE}"
     writers.ndjson_to_parquet(spark, source, target, compact)

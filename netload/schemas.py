@@ -34,6 +34,8 @@ TABLES = {
 }
 
 CORRUPT = "_corrupt_record"
+# 1 for rows of the stored table whose line the parser refused; a folder level.
+REFUSED = "_refusee"
 
 
 def names(ddl: str) -> list[str]:

@@ -1,17 +1,17 @@
-"""Scans: text lines, NDJSON, the cell dimension, the Parquet table, a delivered result."""
+"""Scans: text lines, NDJSON, the cell dimension, the Parquet table, a delivered result.
+
+A path is a plain file or folder, or one that a sink of ``writers`` publishes its
+runs under; then the run published last is read.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netload import schemas
 from netload.functions import moments
-
-
-# Below a delivery: names of the complete runs, one line each.
-PUBLISHED = "published"
+from netload.sources import publication
 
 
 class ResultNotReady(FileNotFoundError):
@@ -19,12 +19,18 @@ class ResultNotReady(FileNotFoundError):
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    return spark.read.text(publication.resolve(spark, path))
 
 
 def read_ndjson_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Schema found by an extra pass over the whole input; columns come back in name order."""
-    return spark.read.json(path)
+    return spark.read.json(publication.resolve(spark, path))
+
+
+def declared(reader):
+    """A batch or stream reader of NDJSON with the declared schema that keeps bad lines raw."""
+    reader = reader.schema(schemas.with_rejects(schemas.TELEMETRY)).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", schemas.CORRUPT)
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
@@ -33,21 +39,22 @@ def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     Spark refuses a query on raw JSON that uses that column alone; select a
     data column with it.
     """
-    return (
-        spark.read.schema(schemas.with_rejects(schemas.TELEMETRY))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .json(path)
-    )
+    return declared(spark.read).json(publication.resolve(spark, path))
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CELL).json(path)
+    return spark.read.schema(schemas.CELL).json(publication.resolve(spark, path))
 
 
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
     """The level-partitioned Parquet table; ``niveau`` comes from the directory names."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(publication.resolve(spark, path)).drop(schemas.CORRUPT, schemas.REFUSED)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Raw text of the lines that the conversion to the table refused; reads their folder alone."""
+    rows = spark.read.parquet(publication.resolve(spark, path))
+    return rows.filter(F.col(schemas.REFUSED) == 1).select(F.col(schemas.CORRUPT).alias("value"))
 
 
 def timed(records: DataFrame) -> DataFrame:
@@ -61,22 +68,12 @@ def register(records: DataFrame, name: str = "telemetrie") -> None:
     records.createOrReplaceTempView(name)
 
 
-def published_runs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the runs published at ``path``, oldest first: one short line per delivery."""
-    try:
-        return sorted(r.value for r in spark.read.text(f"{path}/{PUBLISHED}").collect())
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-
-
 def result_path(spark: SparkSession, path: str) -> str:
     """The folder of the run that was published last."""
-    runs = published_runs(spark, path)
-    if not runs:
+    run = publication.current(spark, path)
+    if run is None:
         raise ResultNotReady(f"no published result at {path}; run the delivery first")
-    return f"{path}/{runs[-1]}"
+    return run
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:

@@ -1,27 +1,24 @@
-"""Sinks. Each call runs a job."""
+"""Sinks. Each call runs a job, and replaces what stood at its path only when the job is done."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netload import schemas
-from netload.functions import text
-from netload.sources import readers
+from netload.sources import publication, readers
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    lines.write.mode("overwrite").text(path)
+    publication.replace(lines.sparkSession, path, lines.write.text)
 
 
 def write_ndjson(records: DataFrame, path: str) -> None:
     """One JSON object per line; NULL fields are left out."""
-    records.write.mode("overwrite").json(path)
+    publication.replace(records.sparkSession, path, records.write.json)
 
 
-def write_telemetry(records: DataFrame, path: str, compact: bool = True) -> None:
+def write_telemetry(records: DataFrame, path: str, compact: bool = True, folders: tuple[str, ...] = ("niveau",)) -> None:
     """Parquet partitioned by ``niveau``; ``records`` already carry ts and heure.
 
     A rebalance evens out file sizes: unlike a plain repartition by level, it splits
@@ -29,57 +26,34 @@ def write_telemetry(records: DataFrame, path: str, compact: bool = True) -> None
     execution's, so leave that on. Without ``compact`` rows do not move: each task
     writes at most one file per level.
     """
-    rows = records.hint("rebalance", "niveau") if compact else records
-    rows.write.mode("overwrite").partitionBy("niveau").parquet(path)
+    rows = records.hint("rebalance", *folders) if compact else records
+    publication.replace(records.sparkSession, path, rows.write.partitionBy(*folders).parquet)
 
 
-def ndjson_to_parquet(
-    spark: SparkSession, source: str, target: str, compact: bool = True, rejects: str | None = None
-) -> None:
-    """Telemetry text to the Parquet table, row for row.
+def ndjson_to_parquet(spark: SparkSession, source: str, target: str, compact: bool = True) -> None:
+    """Telemetry text to the Parquet table, row for row, in one pass over the source.
 
-    A line the parser refused stays a row of NULLs, in the default partition, so
-    counts match the source; its raw text goes to the folder ``rejects`` as lines of
-    text, by default beside the table.
+    A line the parser refused stays a row with NULL for what it could not read, so
+    counts match the source, and keeps its raw text. Such rows lie in a folder of their own
+    of the same write: ``read_telemetry`` reads all rows without the raw text,
+    ``read_rejects`` the raw text alone.
     """
-    write_telemetry(readers.timed(readers.read_ndjson(spark, source)).drop(schemas.CORRUPT), target, compact)
-    # A pass of its own: Spark refuses a query on raw JSON that uses the raw text alone.
-    lines = readers.read_lines(spark, source).filter(F.trim("value") != "")
-    parsed = lines.select(text.parse_with_rejects(F.col("value")).alias("r"))
-    refused = parsed.select(F.col(f"r.{schemas.CORRUPT}").alias("value")).filter("value IS NOT NULL")
-    write_lines(refused, rejects or rejects_path(target))
-
-
-def rejects_path(table: str) -> str:
-    """Where ``ndjson_to_parquet`` puts refused lines unless told otherwise."""
-    return f"{table.rstrip('/')}_rejets"
+    rows = readers.timed(readers.read_ndjson(spark, source))
+    refused = F.col(schemas.CORRUPT).isNotNull().cast("int")
+    write_telemetry(rows.withColumn(schemas.REFUSED, refused), target, compact, (schemas.REFUSED, "niveau"))
 
 
-def deliver(saturated: DataFrame, path: str) -> None:
+def deliver(saturated: DataFrame, path: str, key: str | None = None) -> bool:
     """The seven contract columns as JSON lines, published when they are complete.
 
-    Each delivery writes a run folder of its own and then, as the last step, a row that
-    names it under ``path/published``. Until then, and for good if the write fails,
-    readers get the previous result. Runs before the previous one are removed. The
-    range-partitioned sort of the input fixes both the row order inside files and
-    the order of the part files.
+    The range-partitioned sort of the input fixes both the row order inside files and
+    the order of the part files. A ``key`` that is published already is not delivered
+    again: False then.
     """
-    spark = saturated.sparkSession
-    runs = readers.published_runs(spark, path)
-    number = int(runs[-1].split("-")[1]) + 1 if runs else 0
-    run = f"run-{number:012d}-{uuid.uuid4().hex}"
-    saturated.select(*schemas.names(schemas.SATURATION)).write.json(f"{path}/{run}")
-    spark.createDataFrame([(run,)], "value string").coalesce(1).write.mode("append").text(f"{path}/{readers.PUBLISHED}")
-    for old in runs[:-1]:
-        _remove(spark, f"{path}/{old}")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of whatever file system Spark has it in; no matter if it is gone."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    columns = saturated.select(*schemas.names(schemas.SATURATION))
+    return publication.replace(saturated.sparkSession, path, columns.write.json, key)
 
 
 def publish_cells(cells: DataFrame, path: str, private: tuple[str, ...] = ("_pression",)) -> None:
     """The cell dimension as JSON lines without its private columns."""
-    cells.drop(*private).write.mode("overwrite").json(path)
+    publication.replace(cells.sparkSession, path, cells.drop(*private).write.json)

@@ -1,6 +1,7 @@
 import json
-from pathlib import Path
 import os
+from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,7 +11,7 @@ from helpers import plan, values
 from netload import schemas, scratch
 from netload.operators import diagnostics, filters
 from netload.plans import load
-from netload.sources import readers, tables, writers
+from netload.sources import publication, readers, tables, writers
 
 GOOD = {
     "ts": "2026-10-24T17:28:53.601Z", "cell_id": "CELL_0001", "niveau": "INFO", "event": "ATTACH",
@@ -76,7 +77,9 @@ def test_partitioned_table_columns(spark, stored):
         "ts", "cell_id", "event", "connexions_actives", "latence_ms", "octets", "heure", "niveau",
     ]
     assert dict(table.dtypes)["ts"] == "timestamp" and dict(table.dtypes)["heure"] == "int"
-    folders = {name for name in os.listdir(stored[1]) if name.startswith("niveau=")}
+    run = publication.current(spark, stored[1])
+    assert [name for name in os.listdir(run) if "=" in name] == ["_refusee=0"]
+    folders = {name for name in os.listdir(f"{run}/_refusee=0") if name.startswith("niveau=")}
     assert folders == {"niveau=INFO", "niveau=WARN", "niveau=ERROR"}
 
 
@@ -115,7 +118,7 @@ def test_conversion_keeps_every_line(spark, messy, tmp_path):
     target = str(tmp_path / "parquet")
     writers.ndjson_to_parquet(spark, messy, target)
     assert readers.read_telemetry(spark, target).count() == 5
-    refused = [r.value for r in readers.read_lines(spark, writers.rejects_path(target)).collect()]
+    refused = [r.value for r in readers.read_rejects(spark, target).collect()]
     assert sorted(refused) == sorted(["not json", compact(GOOD | {"latence_ms": "abc"})])
 
 
@@ -124,7 +127,7 @@ def test_compacted_table_has_the_same_rows_in_fewer_files(spark, sf_dir, tmp_pat
     plain, dense = str(tmp_path / "plain"), str(tmp_path / "dense")
     writers.write_telemetry(rows, plain, compact=False)
     writers.write_telemetry(rows, dense)
-    assert values(spark.read.parquet(plain)) == values(spark.read.parquet(dense))
+    assert values(readers.read_telemetry(spark, plain)) == values(readers.read_telemetry(spark, dense))
     files = [diagnostics.footprint(spark, path).first().fichiers for path in (plain, dense)]
     assert files[0] == 27 and files[1] < files[0]
 
@@ -186,7 +189,7 @@ def test_blank_lines_in_a_result_are_skipped(spark, tmp_path):
     path = root / "run-000000000000-x"
     path.mkdir(parents=True)
     (root / "published").mkdir()
-    (root / "published" / "part-0.txt").write_text("run-000000000000-x\n")
+    (root / "published" / "00000000000000000000").write_text('{"run": "run-000000000000-x", "key": null}')
     record = dict(zip(schemas.names(schemas.SATURATION), ["a", "s", "5G", 8, 90.0, 100, 90.0]))
     (path / "part-00000.json").write_text(compact(record) + "\n\n")
     (path / "part-00001.json").write_text(compact(record | {"taux_charge": 95.0}) + "\n")
@@ -216,7 +219,7 @@ def test_published_cells_have_no_private_column(spark, sf_dir, tmp_path):
     path = str(tmp_path / "cellules")
     cells = tables.cells(spark, sf_dir)
     writers.publish_cells(cells.withColumn("_pression", F.lit(1.5)), path)
-    assert "_pression" not in spark.read.json(path).columns
+    assert "_pression" not in spark.read.json(publication.current(spark, path)).columns
     assert values(readers.read_cells(spark, path)) == values(cells)
 
 
@@ -246,3 +249,73 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 def test_other_read_errors_pass_through(spark, tmp_path):
     with pytest.raises(AnalysisException):
         readers.read_telemetry(spark, str(tmp_path / "nowhere"))
+
+
+def test_a_failing_second_write_leaves_the_first(spark, sf_dir, tmp_path):
+    events, cells = tables.telemetry(spark, sf_dir), tables.cells(spark, sf_dir)
+    sinks = [
+        (writers.write_lines, readers.read_lines, tables.lines(events), "value"),
+        (writers.write_ndjson, readers.read_ndjson, events.drop("heure"), "cell_id"),
+        (writers.write_telemetry, readers.read_telemetry, events, "cell_id"),
+        (partial(writers.write_telemetry, compact=False), readers.read_telemetry, events, "cell_id"),
+        (writers.publish_cells, readers.read_cells, cells, "secteur"),
+    ]
+    for i, (write, read, rows, column) in enumerate(sinks):
+        path = str(tmp_path / f"t{i}")
+        write(rows, path)
+        before = values(read(spark, path))
+        fails = F.when(F.rand() < 0.5, F.raise_error(F.lit("broken"))).otherwise(F.raise_error(F.lit("broken")))
+        with pytest.raises(Exception, match="broken"):
+            write(rows.withColumn(column, fails.cast("string")), path)
+        assert values(read(spark, path)) == before and before
+        assert len([p for p in os.listdir(path) if p.startswith("run-")]) == 1
+        write(rows.limit(2), path)
+        assert read(spark, path).count() == 2
+
+
+def test_the_log_stays_short_and_a_key_publishes_once(spark, tmp_path, monkeypatch):
+    path, removed = str(tmp_path / "r"), []
+    remove = publication.remove
+    monkeypatch.setattr(publication, "remove", lambda s, p: (removed.append(p), remove(s, p)))
+
+    def write(run):
+        os.makedirs(run)
+        (Path(run) / "_SUCCESS").touch()
+
+    for i in range(1000):
+        removed.clear()
+        assert publication.replace(spark, path, write, key=str(i))
+        assert len(removed) == (2 if i >= publication.KEEP else 0)
+        assert not publication.replace(spark, path, write, key=str(i))
+    assert [(e.number, e.key) for e in publication.entries(spark, path)] == [(998, "998"), (999, "999")]
+    assert len([n for n in os.listdir(path) if n.startswith("run-")]) == 2
+    assert len([n for n in os.listdir(f"{path}/published") if not n.startswith(".")]) == 2
+
+
+def test_two_writers_take_different_numbers(spark, tmp_path):
+    path = str(tmp_path / "r")
+
+    def write(run):
+        os.makedirs(run)
+
+    def slow(run):
+        write(run)
+        publication.replace(spark, path, write, "inner")  # another writer publishes meanwhile
+
+    assert publication.replace(spark, path, slow, "outer")
+    assert [(e.number, e.key) for e in publication.entries(spark, path)] == [(0, "inner"), (1, "outer")]
+    open(f"{path}/published/{2:020d}", "w").close()  # a writer that died between creating and writing
+    assert publication.entries(spark, path)[-1].key == "outer"
+
+
+def test_conversion_scans_its_source_once(spark, messy, tmp_path):
+    target = str(tmp_path / "parquet")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("conversion", "", False)
+    try:
+        writers.ndjson_to_parquet(spark, messy, target, compact=False)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(tracker.getJobIdsForGroup("conversion")) == 1
+    text = plan(readers.read_rejects(spark, target))
+    assert "PartitionFilters: [isnotnull(_refusee" in text and "ReadSchema: struct<_corrupt_record:string>" in text
