@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netload.functions import draws, moments, text
-from netload.operators import projections
+from netload.operators import joins, projections
 from netload.sources.tables import EVENTS
 
 
@@ -67,6 +67,11 @@ def _hashed(seed: int) -> DrawSource:
     return lambda row_id: draws.uniform(row_id, seed)
 
 
+def _first_cells() -> list[int]:
+    """How many cells stand before those of each sector."""
+    return [sum(s.cellules for s in SECTORS[:i]) for i in range(len(SECTORS))]
+
+
 def cells(spark: SparkSession, source: DrawSource = _hashed(CELL_SEED)) -> DataFrame:
     """The cell dimension, with the private load pressure ``_pression``.
 
@@ -78,7 +83,7 @@ def cells(spark: SparkSession, source: DrawSource = _hashed(CELL_SEED)) -> DataF
         "lat DOUBLE, lon DOUBLE, technologie STRING"
     )
     sectors = spark.createDataFrame([(i, *s) for i, s in enumerate(SECTORS)], schema)
-    ranged = draws.cumulative_intervals(sectors, "ordre", "cellules")
+    ranged = sectors.withColumn("bas", F.element_at(F.array(*[F.lit(n) for n in _first_cells()]), F.col("ordre") + 1))
     listed = ranged.withColumn("rang", F.explode(F.sequence(F.lit(0), F.col("cellules") - 1))).withColumn(
         "numero", F.col("bas") + F.col("rang") + 1
     )
@@ -88,11 +93,11 @@ def cells(spark: SparkSession, source: DrawSource = _hashed(CELL_SEED)) -> DataF
     month = (draws.index_below(draw("month"), 9) + 1).cast("string")
     year = (draws.index_below(draw("year"), 10) + 2016).cast("string")
     return listed.select(
-        F.round(density * (F.lit(0.75) + draw("pressure") * 0.5), 3).alias("_pression"),
+        F.round(density * (0.75 + 0.5 * draw("pressure")), 3).alias("_pression"),
         text.cell_name(F.col("numero")).alias("cell_id"),
         F.col("nom").alias("secteur"),
         F.when(F.col("rang") % 4 == 3, other).otherwise(F.col("technologie")).alias("techno"),
-        _nearest(F.col("capacite") * (F.lit(0.8) + draw("capacity") * 0.4)).alias("capacite_max"),
+        _nearest(F.col("capacite") * (0.8 + 0.4 * draw("capacity"))).alias("capacite_max"),
         F.round(F.col("lat") + (draw("lat") - 0.5) * 0.012, 5).alias("lat"),
         F.round(F.col("lon") + (draw("lon") - 0.5) * 0.016, 5).alias("lon"),
         F.concat(year, F.lit("-0"), month, F.lit("-01")).alias("mise_en_service"),
@@ -112,11 +117,11 @@ def _by_level(level: Column, u: Column) -> Column:
 def telemetry_for(ids: DataFrame, dimension: DataFrame, source: DrawSource = _hashed(EVENT_SEED)) -> DataFrame:
     """One telemetry row per row of ``ids`` (column ``id``), for cells from ``cells``.
 
-    The dimension has one row per cell of the fixed sector list, 87 in all:
-    that constant is what makes broadcasting it safe at any event count.
+    The dimension, 87 rows if it is that of the fixed sector list, is broadcast if its
+    measured size allows; measuring runs a job over it.
     """
     draw = source(F.col("id"))
-    first = [1 + sum(s.cellules for s in SECTORS[:i]) for i in range(len(SECTORS))]
+    first = [1 + n for n in _first_cells()]
     sizes = F.array(*[F.lit(s.cellules) for s in SECTORS])
     starts = F.array(*[F.lit(f) for f in first])
     position = F.col("secteur_rang") + 1
@@ -148,14 +153,12 @@ def telemetry_for(ids: DataFrame, dimension: DataFrame, source: DrawSource = _ha
         F.when(dense, 70.0).otherwise(25.0).alias("base"),
         F.when(u < p_error, "ERROR").when(u < p_error + p_warn, "WARN").otherwise("INFO").alias("niveau"),
     )
-    enriched = leveled.join(
-        F.broadcast(dimension.select("cell_id", "capacite_max", "_pression")), "cell_id"
-    )
+    enriched = joins.join_broadcast(leveled, dimension.select("cell_id", "capacite_max", "_pression"), "cell_id")
     factor = F.col("facteur")
-    latency = F.col("base") * (factor * 1.2 + 0.4) * (draw("lat1") * draw("lat2") * 3 + 0.5)
-    connections = (
-        F.col("capacite_max") * F.col("_pression") * (factor * 0.85 + 0.20) * (draw("conn") * 0.5 + 0.75)
-    )
+    # The laws of latency, connections and payload, in the specified order of operands.
+    latency = F.col("base") * (0.4 + 1.2 * factor) * (0.5 + draw("lat1") * draw("lat2") * 3)
+    connections = F.col("capacite_max") * F.col("_pression") * (0.20 + 0.85 * factor) * (0.75 + 0.5 * draw("conn"))
+    payload = 400 + F.floor(draw("size1") * draw("size2") * draw("size3") * 6_000_000)
     # One operator per costly column: all in one projection would compile to a
     # method too long for the JIT and run interpreted.
     stamped = projections.computed_once(
@@ -173,9 +176,7 @@ def telemetry_for(ids: DataFrame, dimension: DataFrame, source: DrawSource = _ha
         "event",
         F.greatest(F.lit(0), _nearest(connections)).cast("bigint").alias("connexions_actives"),
         F.greatest(F.lit(3), _nearest(latency)).cast("bigint").alias("latence_ms"),
-        (F.floor(draw("size1") * draw("size2") * draw("size3") * 6_000_000) + 400)
-        .cast("bigint")
-        .alias("octets"),
+        payload.cast("bigint").alias("octets"),
     )
 
 
