@@ -8,10 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netload.operators import prefix
+from netload.scratch import kept
+
 Draw = Callable[[str], Column]
+#: Interval bounds that every row is given at once, some 200 KB in each task.
+BOUNDS = 1 << 12
 
 
 def uniform(row_id: Column, seed: int) -> Draw:
@@ -45,25 +50,50 @@ def pick_weighted(u: Column, weights: Sequence[float]) -> Column:
 
 
 def cumulative_intervals(weights: DataFrame, order: str, weight: str) -> DataFrame:
-    """Adds the half-open interval ``[bas, haut)`` each category owns.
+    """Adds the half-open interval ``[bas, haut)`` each category owns, for any number of categories. Runs a job."""
+    running = prefix.running_total(weights, weight, order).withColumnRenamed("running", "haut")
+    return running.withColumn("bas", F.col("haut") - F.col(weight))
 
-    The running sum needs one ordered task, so this is for category tables
-    (hours, sectors), whose row count does not follow the data.
-    """
-    running = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upper = F.sum(weight).over(running)
-    return weights.withColumn("haut", upper).withColumn("bas", F.col("haut") - F.col(weight))
+
+def _first_above(bounds: Column, size: Column, x: Column) -> Column:
+    """Index of the first of the sorted ``bounds`` (field ``haut``) above x, by halving; the last if there is none."""
+
+    def halved(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        left = (x < F.get(bounds, middle)["haut"]) | (state["low"] >= state["high"])
+        return F.struct(
+            F.when(left, state["low"]).otherwise(middle + 1).alias("low"), F.when(left, middle).otherwise(state["high"]).alias("high")
+        )
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), size.alias("high")), halved, lambda state: state["low"])
+    return F.least(found, size - 1)
 
 
-def pick_from_intervals(rows: DataFrame, intervals: DataFrame, label: str, x: str, name: str) -> DataFrame:
+def pick_from_intervals(
+    rows: DataFrame, intervals: DataFrame, label: str, x: str, name: str, at_once: int = BOUNDS
+) -> DataFrame:
     """Adds the label whose interval holds column ``x``; beyond the last bound, the last label.
 
-    The bounds reach the rows as one scalar-subquery array instead of a
-    non-equi join, which Spark could only run as a nested loop.
+    Up to ``at_once`` bounds reach every row as one scalar-subquery array, searched by
+    halving. More are cut into that many runs of neighbours: the first search finds
+    the run, an equi-join brings its bounds, a second search ends it. No comparison
+    join either way, and a category with a third of all draws is a skewed key
+    that adaptive execution splits. Counting the intervals runs a job.
     """
-    bounds = intervals.agg(
-        F.array_sort(F.collect_list(F.struct(F.col("haut"), F.col(label).alias("choix"))))
-    ).scalar()
-    above = F.filter("_bornes", lambda bound: F.col(x) < bound["haut"])
-    choice = F.coalesce(F.try_element_at(above, F.lit(1)), F.element_at("_bornes", -1))
-    return rows.withColumn("_bornes", bounds).withColumn(name, choice["choix"]).drop("_bornes")
+    bound = F.struct(F.col("haut"), F.col("bas"), F.col(label).alias("choix"))
+    n = intervals.count()
+    if n <= at_once:
+        bounds = intervals.agg(F.array_sort(F.collect_list(bound)).alias("b")).scalar()
+        rows = rows.withColumn("_bornes", bounds)
+        found = F.get("_bornes", _first_above(F.col("_bornes"), F.size("_bornes"), F.col(x)))["choix"]
+        return rows.withColumn(name, found).drop("_bornes")
+    ordered = prefix.numbered(intervals.select(bound.alias("b")), "b")
+    runs = ordered.groupBy(F.floor(F.col("pos") / -(-n // at_once)).cast("int").alias("_run"))
+    runs = kept(runs.agg(F.array_sort(F.collect_list("b")).alias("_bornes")), "runs")
+    last = F.struct(F.element_at("_bornes", -1)["haut"].alias("haut"), F.col("_run"))
+    rows = rows.withColumn("_tops", runs.agg(F.array_sort(F.collect_list(last))).scalar())
+    run = F.get("_tops", _first_above(F.col("_tops"), F.size("_tops"), F.col(x)))["_run"]
+    joined = rows.withColumn("_run", run).drop("_tops").join(runs, "_run")
+    found = F.get("_bornes", _first_above(F.col("_bornes"), F.size("_bornes"), F.col(x)))["choix"]
+    return joined.withColumn(name, found).drop("_run", "_bornes")

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netload.functions import rates
-from netload.operators import joins, projections
 
 
 def count_by(records: DataFrame, *keys: str, name: str = "evenements") -> DataFrame:
@@ -65,7 +64,7 @@ def median_by(records: DataFrame, key: str, measure: str, name: str) -> DataFram
     Not mergeable, so it first folds rows into (key, value, count). What is
     ordered per key is the distinct values (milliseconds: a few thousand),
     not the rows: a key with a third of all rows stays small. For measures
-    with many distinct values use ``median_by_ranges``.
+    with many distinct values use ``quantiles.median_by_windows``.
     """
     ordered = Window.partitionBy(key).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     ranked = _folded(records, key, measure).select(
@@ -79,60 +78,6 @@ def median_by(records: DataFrame, key: str, measure: str, name: str) -> DataFram
     return ranked.groupBy(key).agg(((first_reaching(low) + first_reaching(high)) / 2).alias(name))
 
 
-def median_by_ranges(
-    records: DataFrame, key: str, measure: str, name: str, ranges: int = 64
-) -> DataFrame:
-    """``median_by`` for measures with any number of distinct values.
-
-    Cuts the measure into ranges of about equal weight, counts rows per key and
-    range, and orders only the values of the range that holds a middle rank. No
-    task ever holds a whole key, and the result is exact wherever the cuts fall.
-
-    The ranges to look into, at most two per key, are broadcast if they are
-    measured small: the second pass then drops all other rows before anything
-    moves. For too many keys it folds rows by value first.
-
-    Runs two jobs: a coarse sketch for the cuts, which as constants of the query
-    stay the same if a task runs again, and the size check.
-    """
-    positions = [i / ranges for i in range(1, ranges)]
-    found = records.agg(F.percentile_approx(measure, positions, 4 * ranges)).first()[0]
-    plage = projections.range_index(F.col("x"), sorted(set(found or [])))
-    known = records.filter(F.col(measure).isNotNull()).select(key, F.col(measure).alias("x"))
-    ranged = projections.computed_once(known, plage=plage)
-
-    weights = ranged.groupBy(key, "plage").agg(F.count("*").alias("poids"))
-    before = Window.partitionBy(key).orderBy("plage").rowsBetween(Window.unboundedPreceding, 0)
-    placed = weights.select(
-        key,
-        "plage",
-        (F.sum("poids").over(before) - F.col("poids")).alias("avant"),
-        "poids",
-        F.sum("poids").over(Window.partitionBy(key)).alias("total"),
-    )
-    low, high = _middle_ranks(F.col("total"))
-    holds = lambda rank: (F.col("avant") < rank) & (rank <= F.col("avant") + F.col("poids"))
-    wanted = placed.filter(holds(low) | holds(high)).select(
-        F.col(key).alias("_cle"),
-        F.col("plage").alias("_plage"),
-        F.when(holds(low), low - F.col("avant")).alias("bas"),
-        F.when(holds(high), high - F.col("avant")).alias("haut"),
-    )
-    if joins.fits_broadcast(wanted):
-        rows, wanted = ranged.withColumn("n", F.lit(1)), F.broadcast(wanted)
-    else:
-        rows = projections.computed_once(_folded(records, key, measure), plage=plage)
-
-    same = F.col(key).eqNullSafe(F.col("_cle")) & (F.col("plage") == F.col("_plage"))
-    values = rows.join(wanted, same).groupBy(key, "plage", "x", "bas", "haut").agg(F.sum("n").alias("n"))
-    inside = Window.partitionBy(key, "plage").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.withColumn("dernier", F.sum("n").over(inside))
-    reached = lambda rank: F.min(F.when(F.col("dernier") >= F.col(rank), F.col("x")))
-    per_range = ranked.groupBy(key, "plage").agg(reached("bas").alias("b"), reached("haut").alias("h"))
-    # Each of the two middle values comes from exactly one range.
-    return per_range.groupBy(key).agg(((F.max("b") + F.max("h")) / 2).alias(name))
-
-
 def approx_median_by(records: DataFrame, key: str, measure: str, name: str, accuracy: int = 10000) -> DataFrame:
     """One-pass median with a mergeable sketch, for measures with unbounded distinct values."""
     return records.groupBy(key).agg(F.percentile_approx(measure, 0.5, accuracy).alias(name))

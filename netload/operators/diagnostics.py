@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from netload.sources import readers
+from netload.sources import publication, readers
 
 # A partition is skewed when it exceeds both.
 SKEW_FACTOR = 5.0
@@ -68,17 +68,59 @@ def partition_sizes(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("lignes"))
 
 
-def layout_report(records: DataFrame, candidates: list[str]) -> DataFrame:
+def _sketchable(name: str, kind: str) -> Column:
+    """The column as a type that distinct sketches take, equal values staying equal."""
+    if kind in ("int", "bigint", "string", "binary"):
+        return F.col(name)
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(name).cast("timestamp"))
+    return F.col(name).cast("bigint" if kind in ("tinyint", "smallint", "boolean", "date") else "string")
+
+
+def distinct_sketches(records: DataFrame, grain: list[str], candidates: list[str]) -> DataFrame:
+    """Rows (``lignes``) and a mergeable sketch of the distinct values of each candidate, per group of the grain."""
+    kinds = dict(records.dtypes)
+    sketches = [F.hll_sketch_agg(_sketchable(c, kinds[c])).alias(f"{c}_esquisse") for c in candidates]
+    return records.groupBy(*grain).agg(F.count("*").alias("lignes"), *sketches)
+
+
+def coarser_sketches(sketches: DataFrame, keys: list[str], candidates: list[str]) -> DataFrame:
+    """Stored sketches combined to any coarser grain, without the records."""
+    unions = [F.hll_union_agg(f"{c}_esquisse").alias(f"{c}_esquisse") for c in candidates]
+    return sketches.groupBy(*keys).agg(F.sum("lignes").alias("lignes"), *unions)
+
+
+def distinct_estimates(sketches: DataFrame, keys: list[str], candidates: list[str]) -> DataFrame:
+    """Keys, ``lignes``, and per candidate the estimated number of distinct values, as columns."""
+    return sketches.select(*keys, "lignes", *[F.hll_sketch_estimate(f"{c}_esquisse").alias(c) for c in candidates])
+
+
+def layout_report(records: DataFrame, candidates: list[str], near_unique: float = 0.5, sketches: DataFrame | None = None) -> DataFrame:
     """For each candidate partition column: folders it would make, mean and largest
-    rows per folder. Exact, and folded per value before any row moves."""
-    as_text = [F.col(c).cast("string").alias(c) for c in candidates]
-    values = records.select(*as_text).unpivot([], candidates, "colonne", "valeur")
-    per_value = values.groupBy("colonne", "valeur").agg(F.count("*").alias("lignes"))
-    return per_value.groupBy("colonne").agg(
+    rows per folder.
+
+    A column with about a value for every other row or more (``near_unique``) is no
+    partition column: sketches show it, from one pass that moves a sketch per task or from stored ones, and it is
+    listed without figures (``quasi_unique``). The rest is exact, in the columns' own
+    types, folded per value before any row moves. Runs a job for the sketches.
+    """
+    whole = distinct_sketches(records, [], candidates) if sketches is None else coarser_sketches(sketches, [], candidates)
+    found = distinct_estimates(whole, [], candidates).first()
+    apart = [c for c in candidates if found[c] and found[c] >= near_unique * found["lignes"]]
+    exact = [c for c in candidates if c not in apart]
+    columns = "colonne STRING, valeurs BIGINT, lignes_moyennes DOUBLE, lignes_max BIGINT, quasi_unique BOOLEAN"
+    screened = records.sparkSession.createDataFrame([(c, None, None, None, True) for c in apart], columns)
+    if not exact:
+        return screened
+    per_value = records.groupingSets([[c] for c in exact], *exact).agg(
+        F.count("*").alias("lignes"), F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in exact]).alias("colonne")
+    )
+    report = per_value.groupBy("colonne").agg(
         F.count("*").alias("valeurs"),
         F.try_divide(F.sum("lignes"), F.count("*")).alias("lignes_moyennes"),
         F.max("lignes").alias("lignes_max"),
     )
+    return report.withColumn("quasi_unique", F.lit(False)).unionByName(screened)
 
 
 def layout_estimate(records: DataFrame, candidates: list[str], error: float = 0.02) -> DataFrame:
@@ -97,9 +139,10 @@ def stored_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per data file below ``path``: name, length, modification time.
 
     Comes from the file listing alone: without its ``content`` column this
-    source opens no file. Partition folders appear as columns.
+    source opens no file. Partition folders appear as columns. Of a path that runs are
+    published under, the run published last counts.
     """
-    return spark.read.format("binaryFile").load(path).drop("content")
+    return spark.read.format("binaryFile").load(publication.resolve(spark, path)).drop("content")
 
 
 def footprint(spark: SparkSession, path: str, by: str | None = None) -> DataFrame:

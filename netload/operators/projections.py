@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +17,3 @@ def computed_once(rows: DataFrame, **columns: Column) -> DataFrame:
     """
     fields = [column.alias(name) for name, column in columns.items()]
     return rows.select("*", F.inline(F.array(F.struct(*fields))))
-
-
-def range_index(x: Column, cuts: Sequence[float]) -> Column:
-    """How many of the sorted ``cuts`` are at most ``x``, by nested halving."""
-    if not cuts:
-        return F.lit(0)
-    middle = len(cuts) // 2
-    upper = range_index(x, cuts[middle + 1 :]) + (middle + 1)
-    return F.when(x < F.lit(cuts[middle]), range_index(x, cuts[:middle])).otherwise(upper)

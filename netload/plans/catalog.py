@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from netload import schemas
 from netload.functions import draws, text
-from netload.operators import aggregates, diagnostics, filters, joins, ranking, sets
+from netload.operators import aggregates, bucketing, caching, diagnostics, filters, joins, quantiles, ranking, sets
 from netload.plans import incidents, load, serving
-from netload.scratch import fresh_path
+from netload.scratch import fresh_path, kept
 from netload.sources import readers, synthetic, tables, writers
 from netload.streaming import refresh
 
@@ -60,16 +60,15 @@ def _rounded(rows: DataFrame, column: str, digits: int = 6) -> DataFrame:
 
 
 def even_double_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event ids kept when even, doubled, and with one more id appended, tagged by series."""
+    """Event ids kept when even, doubled, and with one more id appended, tagged by series.
+
+    One scan gives all three series, a second one the id to append.
+    """
     ids = tables.table(spark, sf_dir, "events").select(F.col("event_id").alias("valeur"))
-    following = ids.agg((F.max("valeur") + 1).alias("valeur"))
-    series = {
-        "pairs": sets.even(ids, "valeur"),
-        "doubles": sets.doubled(ids, "valeur"),
-        "plus": sets.appended(ids, following),
-    }
-    tagged = [rows.select(F.lit(name).alias("serie"), "valeur") for name, rows in series.items()]
-    return sets.appended(sets.appended(tagged[0], tagged[1]), tagged[2])
+    following = ids.agg((F.max("valeur") + 1).alias("valeur")).select(F.lit("plus").alias("serie"), "valeur")
+    value = F.col("valeur")
+    tagged = sets.series(ids, "valeur", pairs=F.when(sets.is_even(value), value), doubles=sets.double_of(value), plus=value)
+    return sets.appended(tagged, following)
 
 
 def hour_intervals(telemetry: DataFrame) -> DataFrame:
@@ -89,6 +88,63 @@ def weighted_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.count_by(drawn, "heure", name="tirages")
 
 
+def _customer_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer with the number of their orders; none for some."""
+    orders = tables.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("poids"))
+    customers = tables.table(spark, sf_dir, "customer").select("c_custkey")
+    return customers.join(orders, "c_custkey", "left").fillna(0, "poids")
+
+
+def customer_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers with their orders as weight and the interval each one owns."""
+    return draws.cumulative_intervals(_customer_weights(spark, sf_dir), "c_custkey", "poids")
+
+
+def customer_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws a customer for every event, weighted by their orders, and counts the draws."""
+    intervals = kept(customer_intervals(spark, sf_dir), "intervalles")
+    total = intervals.agg(F.max("haut")).scalar()
+    ids = tables.table(spark, sf_dir, "events").select(F.pmod(F.col("event_id") * PICK_FACTOR, total).alias("x"))
+    drawn = draws.pick_from_intervals(ids, intervals, "c_custkey", "x", "c_custkey", at_once=64)
+    return aggregates.count_by(drawn, "c_custkey", name="tirages")
+
+
+def median_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians by cell and by sector, both merged from one stored table of sketches per cell and hour.
+
+    Per group the number of measures and whether the merged sketch's median stands within its rank error.
+    """
+    telemetry, cells = tables.telemetry(spark, sf_dir), tables.cells(spark, sf_dir).select("cell_id", "secteur")
+    stored = kept(quantiles.sketched(telemetry, ["cell_id", "heure"], "latence_ms"), "esquisses")
+    folded = kept(aggregates.count_by(telemetry, "cell_id", "latence_ms"), "valeurs").join(cells, "cell_id", "left")
+    answers = []
+    for level, key, sketches in (("cellule", "cell_id", stored), ("secteur", "secteur", stored.join(cells, "cell_id"))):
+        estimates = quantiles.merged(sketches, key).withColumn("estimate", quantiles.quantile("esquisse", 0.5))
+        checked = quantiles.rank_checked(folded, estimates, key, "latence_ms", weight="evenements")
+        answers.append(checked.select(F.lit(level).alias("niveau"), F.col(key).alias("cle"), "mesures", "proche"))
+    return answers[0].unionByName(answers[1])
+
+
+def layout_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values per level, exact, and whether the union of stored sketches per level and hour is near them."""
+    telemetry, columns = tables.telemetry(spark, sf_dir), ["heure", "cell_id", "ts"]
+    stored = kept(diagnostics.distinct_sketches(telemetry, ["niveau", "heure"], columns), "esquisses")
+    coarse = diagnostics.coarser_sketches(stored, ["niveau"], columns)
+    near = diagnostics.distinct_estimates(coarse, ["niveau"], columns)
+    exact = telemetry.groupBy("niveau").agg(*[F.count_distinct(c).alias(f"{c}_exact") for c in columns])
+    close = [(F.abs(F.col(c) - F.col(f"{c}_exact")) <= 0.06 * F.col(f"{c}_exact")).alias(f"{c}_proche") for c in columns]
+    return exact.join(near, "niveau").select("niveau", "lignes", *[f"{c}_exact" for c in columns], *close)
+
+
+def bucketed_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``large_dim_join`` over tables that are laid out by the order key beforehand."""
+    lineitem = tables.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
+    orders = tables.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return incidents.revenue_by_priority(
+        bucketing.bucketed(lineitem, "l_orderkey", "lignes"), bucketing.bucketed(orders, "o_orderkey", "commandes")
+    )
+
+
 def skewed_cells(telemetry: DataFrame) -> DataFrame:
     """The adaptive-execution rule applied to rows per cell, with a threshold in rows."""
     volumes = diagnostics.volume_by_key(telemetry, "cell_id")
@@ -104,7 +160,7 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.write_lines(whole.select(F.when(latency % 10 == 0, cut).otherwise(F.col("value")).alias("value")), source)
     writers.ndjson_to_parquet(spark, source, target)
     read = readers.read_telemetry(spark, target).filter("octets IS NOT NULL")
-    refused = readers.read_lines(spark, writers.rejects_path(target))
+    refused = readers.read_rejects(spark, target)
     read = read.select(F.lit(False).alias("rejetee"), F.lit(0).alias("longueur"), "octets")
     refused = refused.select(F.lit(True).alias("rejetee"), F.length("value").alias("longueur"), F.lit(None).alias("octets"))
     return read.union(refused).groupBy("rejetee").agg(
@@ -254,25 +310,32 @@ def arithmetic_draws(row_id: Column) -> draws.Draw:
 
 
 def battery_from_kept_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three supervision queries from one load table that is written once."""
-    path = fresh_path(spark, "charge")
-    load.load_table(tables.telemetry(spark, sf_dir), tables.cells(spark, sf_dir)).write.parquet(path)
-    answers = load.battery(spark.read.parquet(path))
-    return union_of_answers(
-        ("saturated_count", answers["saturated_count"], F.lit("toutes"), F.col("cellules_saturees")),
-        ("max_load_by_sector", answers["max_load_by_sector"], F.col("secteur"), F.col("taux_max")),
-        ("avg_load_by_techno", answers["avg_load_by_techno"], F.col("techno"), F.round("taux_moyen", 6)),
-    )
+    """The three supervision queries from one load table, kept until their answers are written."""
+    table = load.load_table(tables.telemetry(spark, sf_dir), tables.cells(spark, sf_dir))
+
+    def answer(table: DataFrame) -> DataFrame:
+        answers = load.battery(table)
+        return union_of_answers(
+            ("saturated_count", answers["saturated_count"], F.lit("toutes"), F.col("cellules_saturees")),
+            ("max_load_by_sector", answers["max_load_by_sector"], F.col("secteur"), F.col("taux_max")),
+            ("avg_load_by_techno", answers["avg_load_by_techno"], F.col("techno"), F.round("taux_moyen", 6)),
+        )
+
+    return caching.answered(table, answer)
 
 
 def two_uses_of_one_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events and errors per cell from one scan: the counts are shared, not the raw rows."""
-    per_cell = aggregates.count_by(tables.telemetry(spark, sf_dir), "cell_id", "niveau")
-    errors = per_cell.filter("niveau = 'ERROR'")
-    return union_of_answers(
-        ("evenements", per_cell.groupBy("cell_id").agg(F.sum("evenements").alias("n")), F.col("cell_id"), F.col("n")),
-        ("erreurs", errors, F.col("cell_id"), F.col("evenements")),
-    )
+    """Events and errors per cell from one kept read."""
+    read = tables.telemetry(spark, sf_dir).select("cell_id", "niveau")
+
+    def answer(read: DataFrame) -> DataFrame:
+        errors = aggregates.count_by(filters.of_level(read, "ERROR"), "cell_id")
+        return union_of_answers(
+            ("evenements", aggregates.count_by(read, "cell_id"), F.col("cell_id"), F.col("evenements")),
+            ("erreurs", errors, F.col("cell_id"), F.col("evenements")),
+        )
+
+    return caching.answered(read, answer)
 
 
 def union_of_answers(*answers: tuple[str, DataFrame, Column, Column]) -> DataFrame:
@@ -354,8 +417,9 @@ QUERIES: dict[str, Query] = {
         lambda t: aggregates.median_by(t, "cell_id", "latence_ms", "latence_mediane")
     ),
     "median_bytes_by_cell": _telemetry(
-        lambda t: aggregates.median_by_ranges(t, "cell_id", "octets", "octets_median")
+        lambda t: quantiles.median_by_windows(t, "cell_id", "octets", "octets_median")
     ),
+    "median_from_sketches": median_from_sketches,
     "approx_median_latency_by_cell": _telemetry(
         lambda t: aggregates.approx_median_by(t, "cell_id", "latence_ms", "latence_mediane")
     ),
@@ -399,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "latency_by_sector_preagg": _both(incidents.latency_by_sector_preaggregated),
     "latency_by_sector_left": latency_by_sector_left,
     "large_dim_join": _over_lineitem(incidents.revenue_by_priority),
+    "bucketed_dim_join": bucketed_dim_join,
     # Serving
     "sector_alerts": _saturated(serving.sector_alerts),
     "kpi": _saturated(serving.kpi),
@@ -415,8 +480,11 @@ QUERIES: dict[str, Query] = {
     "partition_sizes": _telemetry(partition_sizes),
     "layout_report": _telemetry(lambda t: diagnostics.layout_report(t, LAYOUT_CANDIDATES)),
     "layout_estimate": _telemetry(layout_estimate),
+    "layout_from_sketches": layout_from_sketches,
     "hour_intervals": _telemetry(hour_intervals),
     "weighted_draw": weighted_draw,
+    "customer_intervals": customer_intervals,
+    "customer_draw": customer_draw,
     # Sources and sinks
     "text_scan": text_scan,
     "ndjson_declared": ndjson_declared,

@@ -107,11 +107,21 @@ def _page(where: str) -> str:
 
 def _layout(column: str) -> str:
     return (
-        f"SELECT '{column}' AS colonne, COUNT(*) AS valeurs, AVG(n) AS lignes_moyennes, MAX(n) AS lignes_max "
-        f"FROM (SELECT COUNT(*) AS n FROM telemetrie GROUP BY {column})"
+        f"SELECT '{column}' AS colonne, CASE WHEN q THEN NULL ELSE valeurs END AS valeurs, "
+        "CASE WHEN q THEN NULL ELSE lignes_moyennes END AS lignes_moyennes, "
+        "CASE WHEN q THEN NULL ELSE lignes_max END AS lignes_max, q AS quasi_unique "
+        "FROM (SELECT COUNT(*) AS valeurs, AVG(n) AS lignes_moyennes, MAX(n) AS lignes_max, COUNT(*) >= 0.5 * SUM(n) AS q "
+        f"FROM (SELECT COUNT(*) AS n FROM telemetrie GROUP BY {column}))"
     )
 
 
+CUSTOMER_INTERVALS = """
+WITH poids AS (
+  SELECT c_custkey, COUNT(o_orderkey) AS poids FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey
+),
+bornes AS (SELECT c_custkey, poids, CAST(SUM(poids) OVER (ORDER BY c_custkey) AS BIGINT) AS haut FROM poids)
+"""
+
 SKEW_PROFILE = """
 , rangs AS (
   SELECT volume, ROW_NUMBER() OVER (ORDER BY volume) AS r, COUNT(*) OVER () AS n FROM volumes
@@ -267,6 +277,10 @@ ORACLES: dict[str, str] = {
     "approx_median_latency_by_cell": _sql(
         "SELECT cell_id, quantile_disc(latence_ms, 0.5) AS latence_mediane FROM telemetrie GROUP BY cell_id"
     ),
+    "median_from_sketches": _sql(
+        "SELECT 'cellule' AS niveau, cell_id AS cle, COUNT(*) AS mesures, TRUE AS proche FROM telemetrie GROUP BY cell_id "
+        "UNION ALL SELECT 'secteur', secteur, COUNT(*), TRUE FROM telemetrie JOIN cellules USING (cell_id) GROUP BY secteur"
+    ),
     "median_bytes_by_cell": _sql(
         "SELECT cell_id, quantile_cont(octets, 0.5) AS octets_median FROM telemetrie GROUP BY cell_id"
     ),
@@ -344,6 +358,11 @@ ORACLES: dict[str, str] = {
                CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS centimes
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority
     """,
+    "bucketed_dim_join": """
+        SELECT o_orderpriority, COUNT(*) AS lignes,
+               CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS centimes
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority
+    """,
     "sector_alerts": _sql(
         "SELECT secteur, COUNT(*) AS alertes, GREATEST(MAX(taux_charge), 0) AS taux_max, "
         "COUNT(DISTINCT cell_id) AS cellules FROM saturation GROUP BY secteur"
@@ -381,6 +400,16 @@ ORACLES: dict[str, str] = {
         "FROM volumes, taille WHERE volume * 100 > n"
     ),
     "layout_report": _sql(" UNION ALL ".join(_layout(c) for c in ("niveau", "heure", "cell_id", "ts"))),
+    "layout_from_sketches": _sql(
+        "SELECT niveau, COUNT(*) AS lignes, COUNT(DISTINCT heure) AS heure_exact, COUNT(DISTINCT cell_id) AS cell_id_exact, "
+        "COUNT(DISTINCT ts) AS ts_exact, TRUE AS heure_proche, TRUE AS cell_id_proche, TRUE AS ts_proche "
+        "FROM telemetrie GROUP BY niveau"
+    ),
+    "customer_intervals": CUSTOMER_INTERVALS + "SELECT c_custkey, poids, haut, haut - poids AS bas FROM bornes",
+    "customer_draw": CUSTOMER_INTERVALS + f"""
+        , tirage AS (SELECT event_id * {PICK_FACTOR} % (SELECT SUM(poids) FROM poids) AS x FROM events)
+        SELECT c_custkey, COUNT(*) AS tirages FROM tirage JOIN bornes ON x >= haut - poids AND x < haut GROUP BY c_custkey
+        """,
     "hour_intervals": _sql(
         ", poids AS (SELECT heure, COUNT(*) AS poids FROM telemetrie GROUP BY heure) "
         "SELECT a.heure, a.poids, CAST(SUM(b.poids) AS BIGINT) AS haut, "

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import plan, values
-from netload.operators import aggregates, caching, diagnostics, filters
+from netload.operators import aggregates, quantiles, caching, diagnostics, filters
 from netload.plans import incidents
 from netload.sources import tables
 
@@ -69,24 +69,53 @@ def test_median_matches_brute_force(spark, setting, broadcast):
     rows = latencies(spark, [(c, x) for c, xs in data.items() for x in xs] + [("c0", None), ("vide", None)])
     expected = {c: float(statistics.median(xs)) for c, xs in data.items()}
     assert dict(values(aggregates.median_by(rows, "cell_id", "latence_ms", "m"))) == expected
-    for ranges in (2, 64):
-        by_ranges = aggregates.median_by_ranges(rows, "cell_id", "latence_ms", "m", ranges)
-        assert dict(values(by_ranges)) == expected
+    for size in (8, 800):
+        by_windows = quantiles.median_by_windows(rows, "cell_id", "latence_ms", "m", size)
+        assert dict(values(by_windows)) == expected
 
 
 def test_medians_of_nothing(spark):
     rows = latencies(spark, [("c", None)])
     assert aggregates.median_by(rows, "cell_id", "latence_ms", "m").isEmpty()
-    assert aggregates.median_by_ranges(rows, "cell_id", "latence_ms", "m").isEmpty()
+    assert quantiles.median_by_windows(rows, "cell_id", "latence_ms", "m").isEmpty()
 
 
-def test_median_by_ranges_of_unique_values_never_orders_a_whole_key(spark, setting):
-    setting(spark__sql__autoBroadcastJoinThreshold="-1")
-    rows = spark.range(10_001).select(F.lit("c").alias("k"), (F.col("id") * 3).alias("x"))
-    by_ranges = aggregates.median_by_ranges(rows, "k", "x", "m")
-    assert values(by_ranges) == [("c", 15_000.0)]
-    windows = [line for line in plan(by_ranges).splitlines() if "Window [" in line]
-    assert all("poids" in line or "plage" in line for line in windows)
+def test_median_by_windows_orders_a_small_part_of_a_key(spark, monkeypatch):
+    rows = spark.range(100_001).select(F.lit("c").alias("k"), (F.col("id") * 3).alias("x"))
+    seen, between = [], quantiles._between
+
+    def counted(known, bounds, key, name):
+        seen.append(known.join(bounds, F.col(key) == F.col("_key")).filter("x BETWEEN low AND high").count())
+        return between(known, bounds, key, name)
+
+    monkeypatch.setattr(quantiles, "_between", counted)
+    assert values(quantiles.median_by_windows(rows, "k", "x", "m")) == [("c", 150_000.0)]
+    assert seen[0] < 5_000
+
+
+def test_median_by_windows_widens_bounds_that_miss(spark, monkeypatch):
+    rows = spark.range(2_000).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("x"))
+    tried, between = [], quantiles._between
+
+    def misses_first(known, bounds, key, name):
+        tried.append(bounds.count())
+        return between(known, bounds if len(tried) > 1 else bounds.withColumn("high", F.col("low")), key, name)
+
+    monkeypatch.setattr(quantiles, "_between", misses_first)
+    assert dict(values(quantiles.median_by_windows(rows, "k", "x", "m"))) == {0: 999.0, 1: 1000.0}
+    assert tried == [2, 2]
+
+
+def test_sketches_merge_in_any_grouping(spark):
+    rows = spark.range(60_000).select((F.col("id") % 30).alias("h"), (F.col("id") % 3).alias("k"), F.hash("id").cast("bigint").alias("x"))
+    fine = quantiles.sketched(rows, ["k", "h"], "x")
+    for parts in (fine, quantiles.merged(fine, "k", "h"), quantiles.sketched(rows, ["k"], "x")):
+        estimates = quantiles.merged(parts, "k").withColumn("estimate", quantiles.quantile("esquisse", 0.5))
+        assert {r.n for r in estimates.select(quantiles.count_of("esquisse").alias("n")).collect()} == {20_000}
+        checked = quantiles.rank_checked(rows, estimates, "k", "x").collect()
+        assert [(r.mesures, r.proche) for r in checked] == [(20_000, True)] * 3
+    wrong = estimates.withColumn("estimate", F.lit(0) + F.lit(2**29))
+    assert not any(r.proche for r in quantiles.rank_checked(rows, wrong, "k", "x").collect())
 
 
 def test_approximate_median_is_close(spark):

@@ -79,7 +79,14 @@ def test_layout_report_and_estimate(spark):
     )
     exact = {r.colonne: r for r in diagnostics.layout_report(rows, ["niveau", "heure", "id"]).collect()}
     assert (exact["niveau"].valeurs, exact["niveau"].lignes_moyennes, exact["niveau"].lignes_max) == (2, 500.0, 900)
-    assert (exact["heure"].valeurs, exact["id"].valeurs, exact["id"].lignes_max) == (24, 1000, 1)
+    assert exact["heure"].valeurs == 24 and not exact["heure"].quasi_unique
+    assert tuple(exact["id"])[1:] == (None, None, None, True)  # no partition column, so not counted
+    assert diagnostics.layout_report(rows, ["id"]).count() == 1
+    whole = {r.colonne: r for r in diagnostics.layout_report(rows, ["niveau", "id"], near_unique=2).collect()}
+    assert (whole["id"].valeurs, whole["id"].lignes_max) == (1000, 1)
+    stored = diagnostics.distinct_sketches(rows, ["heure"], ["niveau", "id"])
+    from_stored = {r.colonne: r for r in diagnostics.layout_report(rows, ["niveau", "id"], sketches=stored).collect()}
+    assert from_stored["id"].quasi_unique and from_stored["niveau"].lignes_max == 900
     near = {r.colonne: r.valeurs for r in diagnostics.layout_estimate(rows, ["niveau", "heure", "id"]).collect()}
     assert near["niveau"] == 2 and near["heure"] == 24 and abs(near["id"] - 1000) < 100
     assert "hashpartitioning" not in plan(diagnostics.layout_estimate(rows, ["niveau", "id"]))
@@ -106,3 +113,21 @@ def test_footprint_counts_real_bytes_without_reading_them(spark, tmp_path):
 def test_partition_sizes(spark):
     assert sum(r.lignes for r in diagnostics.partition_sizes(spark.range(0, 100, 1, 5)).collect()) == 100
     assert values(diagnostics.partition_sizes(spark.range(0, 100, 1, 5)), "partition") == [(i,) for i in range(5)]
+
+
+def test_layout_report_moves_no_near_unique_column(spark, sf_dir):
+    report = diagnostics.layout_report(tables.telemetry(spark, sf_dir), ["niveau", "heure", "cell_id", "ts"])
+    moved = [line for line in plan(report).splitlines() if "Exchange hashpartitioning" in line]
+    assert "niveau#" in moved[-1] and "heure#" in moved[-1] and not any("ts#" in line for line in moved)
+    assert {r.colonne: r.quasi_unique for r in report.collect()} == {"niveau": False, "heure": False, "cell_id": False, "ts": True}
+
+
+def test_unions_of_stored_sketches_equal_sketches_of_the_whole(spark, sf_dir):
+    telemetry = tables.telemetry(spark, sf_dir)
+    stored = diagnostics.distinct_sketches(telemetry, ["niveau", "heure"], ["cell_id"])
+    coarse = diagnostics.coarser_sketches(stored, ["niveau"], ["cell_id"])
+    direct = diagnostics.distinct_sketches(telemetry, ["niveau"], ["cell_id"])
+    exact = {r.niveau: r.n for r in telemetry.groupBy("niveau").agg(F.count_distinct("cell_id").alias("n")).collect()}
+    for sketches in (coarse, direct):
+        for r in diagnostics.distinct_estimates(sketches, ["niveau"], ["cell_id"]).collect():
+            assert abs(r.cell_id - exact[r.niveau]) <= 0.06 * exact[r.niveau]

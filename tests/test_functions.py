@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import values
+from netload.operators import prefix
 from netload.functions import draws, moments, rates, text
 from netload.operators import filters
 
@@ -145,3 +146,22 @@ def test_both_weighted_choices_match_brute_force(spark):
     assert values(intervals, "i", "bas", "haut") == [(0, 0, 3), (1, 3, 3), (2, 3, 8), (3, 8, 9), (4, 9, 16)]
     looked_up = draws.pick_from_intervals(draw, intervals, "i", "x", "i")
     assert values(looked_up) == sorted(expected, key=repr)
+    for at_once in (1, 2, 3):  # too many bounds for one array
+        in_runs = draws.pick_from_intervals(draw, intervals, "i", "x", "i", at_once)
+        assert values(in_runs) == sorted(expected, key=repr)
+
+
+def test_running_totals_over_many_ranges(spark, setting):
+    setting(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="7")
+    rows = spark.range(500).select((F.col("id") * 37 % 101).alias("k"), (F.col("id") % 7 - 3).alias("w"), "id")
+    found = prefix.running_total(rows, "w", "k", "id").collect()
+    total = 0
+    for r in sorted(found, key=lambda r: (r.k, r.id)):
+        total += r.w
+        assert r.running == total
+    assert [r.id for r in sorted(prefix.numbered(rows, "k", "id").collect(), key=lambda r: r.pos)] == [
+        r.id for r in sorted(found, key=lambda r: (r.k, r.id))
+    ]
+    laid = prefix.laid_out(rows.withColumn("k", F.lit(1)), "k")  # one key holds all rows
+    assert max(r["count"] for r in laid.groupBy("part").count().collect()) < 300
+    assert prefix.running_total(rows.limit(0), "w", "k").count() == 0

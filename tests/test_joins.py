@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan, values
-from netload.operators import joins
+from netload.operators import bucketing, joins
 from netload.plans import incidents
 from netload.sources import tables
 
@@ -140,3 +140,16 @@ def test_unknown_cells(spark):
     assert values(incidents.latency_by_sector(rows, dimension)) == [("s", 10.0)]
     kept = incidents.latency_by_sector_keeping_unknown(rows, dimension)
     assert set(map(tuple, kept.collect())) == {("s", 10.0), (None, 30.0)}
+
+
+def test_tables_laid_out_by_the_key_join_without_an_exchange(spark, sf_dir, setting):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    lineitem, orders = (tables.table(spark, sf_dir, name) for name in ("lineitem", "orders"))
+    left = bucketing.bucketed(lineitem.select("l_orderkey", "l_extendedprice"), "l_orderkey", "lignes", 6)
+    right = bucketing.bucketed(orders.select("o_orderkey", "o_orderpriority"), "o_orderkey", "commandes", 6)
+    joined = incidents.revenue_by_priority(left, right)
+    text = plan(joined)
+    exchanges = [line for line in text.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "o_orderpriority" in exchanges[0]  # that of the result alone
+    assert "SortMergeJoin" in text and "Bucketed: true" in text
+    assert values(joined) == values(incidents.revenue_by_priority(lineitem, orders))
