@@ -33,9 +33,9 @@ from netload.operators.prefix import numbered
 #: Conversations of one family share the first turns of the family's first one.
 FAMILY, MOST_SHARED = 20, 3
 #: A light subtree has at most so many turns at or below its top ...
-SHARD = 1 << 17
+SHARD = 1 << 10
 #: ... or this part of all turns, if that is more.
-LEVEL = 1 << 20
+LEVEL = 1 << 16
 #: Characters of joined ids that one row carries.
 PIECE = 1 << 20
 
