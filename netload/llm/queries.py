@@ -11,6 +11,7 @@ from netload.llm.packing import op10_harmonic_packing
 from netload.llm.pivot_search import OP1_SQL, op1_pivot_top_k
 from netload.llm.planes import op9_bit_plane_output
 from netload.llm.prefix_trie import op12_prefix_trie
+from netload.llm.quality_net import op11_quality_classifier
 from netload.llm.quality_rules import op3_quality_rules
 from netload.llm.sharding import op8_sharding
 from netload.llm.substring_dedup import op6_substring_dedup
@@ -18,7 +19,7 @@ from netload.llm.substring_dedup import op6_substring_dedup
 _ALL = [
     op1_pivot_top_k, op2_lattice_score, op3_quality_rules, op4_ngram_jaccard_join, op5_license_scan,
     op6_substring_dedup, op7_byte_level_bpe, op8_sharding, op9_bit_plane_output, op10_harmonic_packing,
-    op12_prefix_trie, op13_merkle_manifest,
+    op11_quality_classifier, op12_prefix_trie, op13_merkle_manifest,
 ]
 
 QUERIES = {f.__name__: f for f in _ALL}
