@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netload.llm.schema import documents, only_text
-from netload.llm.vocab import BYTE_LEVEL, ByteIds, slices_of
+from netload.llm.vocab import BYTE_LEVEL, ByteIds, gathered, slices_of
 
 #: Words whose pieces are folded ahead, some 100 bytes each in every task.
 FREQUENT = 1 << 13
@@ -92,15 +92,13 @@ class Merges:
                 offer(before[i])
         return [self.ranks[p] for p in parts if p is not None]
 
-    def fold(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of each piece, as unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(pieces)
-        short = [i for i, p in enumerate(pieces) if 0 < len(p) <= LONG]
-        for i, p in enumerate(pieces):
-            if len(p) > LONG:
-                out[i] = np.array(self._one(p), np.uint32).tobytes()
-        ids = self._single[np.frombuffer(b"".join(pieces[i] for i in short), np.uint8)]
-        word = np.repeat(np.arange(len(short)), [len(pieces[i]) for i in short])
+    def fold(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in order, and how many each piece has."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        long = np.flatnonzero(sizes > LONG).tolist()
+        ids = self._single[np.frombuffer(b"".join(pieces[i] for i in np.flatnonzero(sizes <= LONG).tolist()), np.uint8)]
+        word = np.repeat(np.arange(len(pieces)), np.where(sizes <= LONG, sizes, 0))
+        done = [(np.full(len(own), i), own) for i in long for own in [np.array(self._one(pieces[i]), np.int64)]]
         while len(ids):
             rank = np.full(len(ids), _NONE)
             same = np.flatnonzero(word[1:] == word[:-1])
@@ -109,19 +107,16 @@ class Merges:
             least = np.minimum.reduceat(rank, first)
             run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(ids))))
             over = least[run] == _NONE
-            if over.any():
-                done, ends = ids[over].astype(np.uint32).tobytes(), np.cumsum(over)
-                heads = first[least == _NONE]
-                until = np.append(first[1:], len(ids))[least == _NONE]
-                for w, a, b in zip(word[heads].tolist(), (ends[heads] - 1).tolist(), ends[until - 1].tolist()):
-                    out[short[w]] = done[4 * a : 4 * b]
+            done.append((word[over], ids[over]))
             at = np.flatnonzero((rank == least[run]) & ~over)
             at = at[np.append(True, run[at][1:] != run[at][:-1])] if len(at) else at  # the leftmost of each
             ids[at] = rank[at]
             keep = ~over
             keep[at + 1] = False
             ids, word = ids[keep], word[keep]
-        return out
+        words = np.concatenate([w for w, _ in done] or [word])
+        found = np.concatenate([i for _, i in done] or [ids]).astype(np.uint32)
+        return found[np.argsort(words, kind="stable")], np.bincount(words, minlength=len(pieces))
 
 
 class RankIds(ByteIds):
@@ -129,18 +124,45 @@ class RankIds(ByteIds):
 
     def __init__(self, path: str, pattern: str):
         self._merges, self._cut = Merges(load_ranks(path)), regex.compile(pattern)
-        self._pieces: dict[str, bytes] = {}
+        self._given: dict[bytes, list[int]] = {}
         self._forget()
 
-    def given(self, pieces: dict[str, bytes]) -> RankIds:
-        self._pieces.update(pieces)
+    def given(self, pieces: dict[bytes, list[int]]) -> RankIds:
+        self._given = pieces
         return self
 
-    def _split(self, chunk: str) -> list[str]:
-        return self._cut.findall(chunk)
-
-    def _merged(self, pieces: list[str]) -> list[bytes]:
-        return self._merges.fold([p.encode() for p in pieces])
+    def _folded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces of all texts, how many each piece has, and the pieces' lengths in bytes."""
+        pieces = [p.encode() for text in texts for p in self._cut.findall(text)]
+        ahead = list(map(self._given.get, pieces))
+        rest = [p for p, ids in zip(pieces, ahead) if ids is None]
+        found, counts = self._merges.fold(rest)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        if len(rest) == len(pieces):
+            return found, counts, sizes
+        n = np.array([-1 if ids is None else len(ids) for ids in ahead], np.int64)
+        new = n < 0
+        n[new] = counts
+        ids = np.empty(n.sum(), np.uint32)
+        mine = np.repeat(new, n)
+        ids[mine] = found
+        ids[~mine] = [i for own in ahead if own is not None for i in own]
+        return ids, n, sizes
+
+    def _joined(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = ends - starts
+        ids, counts, sizes = self._folded([gathered(data, starts, lengths).tobytes().decode()])
+        part = np.searchsorted(np.cumsum(lengths), np.cumsum(sizes), "left")
+        return ids, np.bincount(part, counts, len(starts)).astype(np.int64)
+
+    def _by_itself(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        texts = [data[a:b].tobytes().decode() for a, b in zip(starts.tolist(), ends.tolist())]
+        ids, counts, sizes = self._folded(texts)
+        part = np.searchsorted(np.cumsum(ends - starts), np.cumsum(sizes), "left")
+        return ids, np.bincount(part, counts, len(starts)).astype(np.int64)
+
+    def _alone(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self._open(data, starts, ends)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -188,7 +210,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([often.field("values"), often.field("counts")], names=["word", "n"])
 
 
-def folded_ahead(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> dict[str, bytes]:
+def folded_ahead(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> dict[bytes, list[int]]:
     """Ids of the pieces of the most frequent words, from counts over all texts; words number at most ``FREQUENT``.
 
     Counts are about right, as words that a slice holds once don't count; that
@@ -201,7 +223,7 @@ def folded_ahead(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> dict
     pieces = sorted({p for word in often for p in cut.findall(" " + word)})
     frame = spark.createDataFrame([(bytearray(p.encode()),) for p in pieces], "piece BINARY")
     rows = folded(frame.repartition(spark.sparkContext.defaultParallelism), ranks).collect()
-    return {bytes(r["piece"]).decode(): np.array(r["ids"], np.uint32).tobytes() for r in rows}
+    return {bytes(r["piece"]): r["ids"] for r in rows}
 
 
 @lru_cache(maxsize=1)
@@ -209,7 +231,7 @@ def _known(path: str, pattern: str) -> RankIds:
     return RankIds(path, pattern)
 
 
-def _encode(path: str, pattern: str, given: dict[str, bytes]):
+def _encode(path: str, pattern: str, given: dict[bytes, list[int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(path, pattern).given(given)
         for batch in batches:
@@ -233,9 +255,48 @@ def encoded(docs: DataFrame, path: str, pattern: str = BYTE_LEVEL) -> DataFrame:
     return only_text(docs).mapInArrow(_encode(path, pattern, given), "doc_id bigint, ids array<int>")
 
 
+class Names:
+    """The bytes of each id of a rank file, and its decimal digits, joined for lookups of many ids at once."""
+
+    def __init__(self, path: str):
+        names = {rank: name for name, rank in load_ranks(path).items()}
+        self._table([names.get(i, b"") for i in range(max(names) + 1)])
+
+    def _table(self, names: list[bytes]) -> None:
+        digits = [b"%d," % i for i in range(len(names))]
+        self._bytes, self._digits = (self._laid(x) for x in (names, digits))
+
+    @staticmethod
+    def _laid(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, values), np.int64, len(values))
+        return np.frombuffer(b"".join(values), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+    @staticmethod
+    def _of(table: tuple, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data, starts, lengths = table
+        found, before = gathered(data, starts[ids], lengths[ids]), np.concatenate([[0], np.cumsum(lengths[ids])])
+        return found, before[np.concatenate([[0], np.cumsum(counts)])]
+
+    def decoded(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of each run of ids."""
+        found, cuts = self._of(self._bytes, ids, counts)
+        raw, cuts = found.tobytes(), cuts.tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def decimals(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """Each run of ids as decimal numbers joined by commas."""
+        found, cuts = self._of(self._digits, ids, counts)
+        raw, cuts = found.tobytes(), cuts.tolist()
+        return [raw[a : max(a, b - 1)] for a, b in zip(cuts, cuts[1:])]
+
+
 @lru_cache(maxsize=2)
-def _names(path: str) -> dict[int, bytes]:
-    return {rank: name for name, rank in load_ranks(path).items()}
+def _names(path: str) -> Names:
+    return Names(path)
+
+
+def _runs(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return lists.flatten().to_numpy().astype(np.int64), lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
 
 
 def decoded(ids: Column, path: str) -> Column:
@@ -243,28 +304,38 @@ def decoded(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("binary")
     def bytes_of(lists: pa.Array) -> pa.Array:
-        names = _names(path)
-        return pa.array([None if not x.is_valid else b"".join(map(names.__getitem__, x.values.to_pylist())) for x in lists], pa.binary())
+        return pa.array(_names(path).decoded(*_runs(lists)), pa.binary(), mask=lists.is_null().to_numpy(zero_copy_only=False))
 
     return bytes_of(ids)
 
 
-def ids_sha256(ids: Column) -> Column:
-    """Lower-case hex digest of the decimal ids joined by commas."""
+def _digests(path: str, pattern: str, given: dict[bytes, list[int]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, names = _known(path, pattern).given(given), _names(path)
+        for batch in batches:
+            for part in slices_of(batch, "text"):
+                ids, counts = known.of(part.column("text"))
+                ids = ids.astype(np.int64)
+                hexes = [[hashlib.sha256(x).hexdigest() for x in of(ids, counts)] for of in (names.decimals, names.decoded)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts), *map(pa.array, hexes)], names=_DIGESTS)
+
+    return run
 
-    @F.arrow_udf("string")
-    def digest(lists: pa.Array) -> pa.Array:
-        return pa.array([hashlib.sha256(",".join(map(str, x.values.to_pylist())).encode()).hexdigest() for x in lists], pa.string())
 
-    return digest(ids)
+_DIGESTS = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def digests(docs: DataFrame, path: str, pattern: str = BYTE_LEVEL) -> DataFrame:
+    """A row for each text: its number of ids, and the SHA-256 of the decimal ids joined by commas and of the bytes decoded from the ids.
+
+    What ``encoded`` and ``decoded`` give, in one pass that sends no ids to the JVM.
+    """
+    given = folded_ahead(docs, load_ranks(path), pattern)
+    kinds = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return only_text(docs).mapInArrow(_digests(path, pattern, given), kinds)
 
 
 def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    rows = encoded(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
-    return rows.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_sha256(F.col("ids")).alias("ids_sha256"),
-        F.sha2(decoded(F.col("ids"), path), 256).alias("decoded_sha256"),
-    )
+    return digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)

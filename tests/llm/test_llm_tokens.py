@@ -1,5 +1,6 @@
 """Token ids: byte-level BPE against tiktoken, bit planes against the tokenizers library."""
 
+import hashlib
 import random
 import zlib
 
@@ -28,6 +29,7 @@ def library():
 def strange(n):
     draw = random.Random(3)
     return ["".join(draw.choice(LETTERS) for _ in range(draw.randint(0, 30))) for _ in range(n)] + [
+        "a <|endoftext|> b", "x<|endoftext|>y<|startoftext|>", "<|startoftext|>", "a  <|endoftext|> \n b ", "<| <|endoftext", "A<|ENDOFTEXT|>",
         "", "a" * 500, "=-" * 200, " " * 300, "ab" * 40, "".join(draw.choice("abc") for _ in range(900)),
     ]
 
@@ -54,13 +56,22 @@ def test_encoding_and_decoding_whole_columns(spark, library, monkeypatch):
     got = sorted(((r.doc_id, r.ids, bytes(r.raw)) for r in back), key=repr)
     assert got == sorted(((i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t in odd_texts()), key=repr)
     assert byte_bpe.encoded(docs.limit(0), RANKS).count() == 0
+    assert byte_bpe.digests(docs.limit(0), RANKS).count() == 0
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
+    want = [(i, len(ids), sha(",".join(map(str, ids)).encode()), sha(raw)) for i, ids, raw in got]
+    assert sorted(map(tuple, byte_bpe.digests(docs, RANKS, public_tokenizers.PATTERN).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_a_list_that_is_null_decodes_to_null(spark):
+    lists = spark.createDataFrame([(1, [0, 1]), (2, None), (3, [])], "i INT, ids ARRAY<INT>")
+    got = {r.i: r.raw for r in lists.select("i", byte_bpe.decoded(lists["ids"], RANKS).alias("raw")).collect()}
+    assert got[2] is None and bytes(got[3]) == b"" and len(got[1]) == 2
 
 
 @pytest.mark.parametrize(("kind", "name"), [(WordIds, "word_bpe_49k.json"), (ByteIds, "byte_bpe_50k.json")])
 def test_remembered_pieces_give_the_ids_of_the_library(kind, name, monkeypatch):
     monkeypatch.setattr("netload.llm.vocab.REMEMBERED", 50)  # forgets again and again
     library = Tokenizer.from_file(public_tokenizers.path(name))
-    library.encode_special_tokens = True
     known, texts = kind(public_tokenizers.path(name)), strange(600)
     for at in range(0, len(texts), 40):
         ids, counts = known.of(pa.array(texts[at : at + 40]))
@@ -70,25 +81,34 @@ def test_remembered_pieces_give_the_ids_of_the_library(kind, name, monkeypatch):
 
 
 @pytest.mark.parametrize("text", ["two  blanks \n    and code{} " * 40, "漢字{}" * 400, "x{}y-" * 300])
-def test_memory_is_bounded_in_bytes(text, monkeypatch):
-    monkeypatch.setattr("netload.llm.vocab.REMEMBERED_BYTES", 20_000, raising=False)
+def test_memory_is_bounded(text, monkeypatch):
+    monkeypatch.setattr("netload.llm.vocab.REMEMBERED", 100)
+    monkeypatch.setattr("netload.llm.vocab.REMEMBERED_IDS", 500)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    library, known, sizes = Tokenizer.from_file(path), ByteIds(path), []
+    library, known = Tokenizer.from_file(path), ByteIds(path)
     for at in range(60):
         texts = [text.replace("{}", f"{at}{i}") for i in range(3)] + ["plain words"]
         ids, counts = known.of(pa.array(texts))
         cuts = np.cumsum(counts)
         want = [library.encode(t, add_special_tokens=False).ids for t in texts]
         assert [ids[e - n : e].tolist() for n, e in zip(counts, cuts)] == want
-        sizes.append(len(known._blob) + sum(map(len, known._chunks)) + 4 * len(known._starts))
-    assert max(sizes) < 60_000
+        assert len(known._codes) <= 100 and len(known._ids) <= 500
 
 
-def test_irregular_texts_are_not_remembered():
+def test_long_parts_are_not_remembered():
     known = ByteIds(public_tokenizers.path("byte_bpe_50k.json"))
-    for at in range(5):
-        known.of(pa.array([f"two  blanks {at} "] * 10))
-        assert known._codes([""]) == [0] and len(known._starts) == 2 and len(known._blob) == 0
+    known.of(pa.array(["x" * 1000 + " short", None, ""]))
+    assert len(known._codes) == 1
+
+
+@pytest.mark.parametrize(("kind", "name"), [(WordIds, "word_bpe_49k.json"), (ByteIds, "byte_bpe_50k.json")])
+def test_a_text_beyond_one_slice(kind, name, monkeypatch):
+    monkeypatch.setattr("netload.llm.vocab.SLICE_BYTES", 40)
+    library, known = Tokenizer.from_file(public_tokenizers.path(name)), kind(public_tokenizers.path(name))
+    texts = ["", sentence(200), "漢字" * 60, " lead  and trail ", "é " * 90]
+    ids, counts = known.of(pa.array(texts))
+    cuts = np.cumsum(counts)
+    assert [ids[e - n : e].tolist() for n, e in zip(counts, cuts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @pytest.mark.parametrize("bits", [1, 8])
@@ -105,7 +125,6 @@ def test_planes_round_trip(bits):
 def test_files_give_back_every_document(spark, tmp_path, monkeypatch, bits):
     path, library = public_tokenizers.path("byte_bpe_50k.json"), None
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     texts = [(i, t) for i, t in odd_texts() if i not in (None, 5)] + [(50 + i, sentence(9000, i)) for i in range(6)]
     planes.write_ids(documents(spark, texts), str(tmp_path / "out"), path, bits=bits)
     found = {r.doc_id: r for r in planes.read_ids(spark, str(tmp_path / "out")).collect()}
