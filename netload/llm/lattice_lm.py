@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netload.llm.schema import documents, kept, only_text
-from netload.llm.wordhash import Words, byte_codes, range_hashes, slices, words
+from netload.llm.wordhash import byte_codes, range_hashes, slices, words
 
 #: Words whose counts go to every task, 16 bytes each.
 FREQUENT_MAX = 1 << 18
@@ -169,7 +169,7 @@ def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counted distinct words of the texts; the end counts as the empty word."""
+    """Distinct words of the texts, with their count in training texts; the end counts as the empty word."""
     held: dict[bytes, int] = {}
     texts = 0
 
@@ -179,12 +179,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return rows
 
     for batch in batches:
-        texts += batch.num_rows
+        texts += batch.column("learnt").true_count
         for part in slices(batch, "text", _SLICE):
             found = words(part.column("text"), lower=True)
             codes, first, which = _distinct(found.hashes())
-            raw = found.data.tobytes()
-            for s, e, n in zip(found.starts[first].tolist(), found.ends[first].tolist(), np.bincount(which, minlength=len(codes)).tolist()):
+            learnt = np.repeat(part.column("learnt").to_numpy(zero_copy_only=False), found.counts)
+            raw, times = found.data.tobytes(), np.bincount(which[learnt], minlength=len(codes))
+            for s, e, n in zip(found.starts[first].tolist(), found.ends[first].tolist(), times.tolist()):
                 word = raw[s:e]
                 held[word] = held.get(word, 0) + n
             if len(held) > _FLUSH:
@@ -228,45 +229,32 @@ def fitted(counts: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[Pieces,
     return pieces, float(np.log(ends / rest))
 
 
-def _score(pieces: Pieces, end_log: float, known: np.ndarray, times: np.ndarray):
-    """Rows of ``score``: known and times are the sorted hashes of the frequent words and their counts."""
-    logs = np.log10(times + 1.0)
+def _score(end_log: float, known: np.ndarray, times: np.ndarray, known_logs: np.ndarray):
+    """Rows of ``score``: known, times and known_logs are the sorted hashes of the frequent words, their counts and log probabilities."""
+    bases = np.log10(times + 1.0)
 
     def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(values)])
         return total[first[1:]] - total[first[:-1]]
 
-    seen, seen_logs = np.zeros(0, np.uint64), np.zeros(0)
-
-    def remembered(codes: np.ndarray, found: Words, where: np.ndarray) -> np.ndarray:
-        """Logarithms to base 10 of the words with these sorted hashes; a word is segmented once for a task."""
-        nonlocal seen, seen_logs
-        at = np.minimum(np.searchsorted(seen, codes), max(len(seen) - 1, 0))
-        new = np.flatnonzero(seen[at] != codes) if len(seen) else np.arange(len(codes))
-        out = seen_logs[at] if len(seen) else np.zeros(len(codes))
-        out[new] = word_logs(pieces, *_spelt(found.data, found.starts[where[new]], found.ends[where[new]])) / np.log(10)
-        both = np.concatenate([seen if len(seen) < _FLUSH else seen[:0], codes[new]])
-        order = np.argsort(both, kind="stable")
-        seen, seen_logs = both[order], np.concatenate([seen_logs[: len(both) - len(new)], out[new]])[order]
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
                 found = words(part.column("text"), lower=True)
-                codes, where, which = _distinct(found.hashes())
-                log = remembered(codes, found, where)
+                codes = found.hashes()
                 at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
                 is_known = known[at] == codes if len(known) else np.zeros(len(codes), bool)
-                base = np.where(is_known, logs[at], 0.0) if len(known) else np.zeros(len(codes))
-                rare = np.flatnonzero(~is_known[which])
+                at, in_training = (at, times[at] > 0) if len(known) else (np.zeros(len(codes), np.int64), is_known)
+                base = np.where(is_known, bases[at], 0.0) if len(known) else np.zeros(len(codes))
+                log = np.where(is_known, known_logs[at], 0.0) if len(known) else np.zeros(len(codes))
+                rare = np.flatnonzero(~is_known)
                 cuts = np.searchsorted(rare, found.first).astype(np.int32)
-                others = pa.ListArray.from_arrays(pa.array(cuts), pa.array(codes[which[rare]].view(np.int64)))
+                others = pa.ListArray.from_arrays(pa.array(cuts), pa.array(codes[rare].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row + np.arange(part.num_rows)), part.column("doc_id"), pa.array(found.counts.astype(np.int64) + 1),
-                     pa.array(sums(is_known[which].astype(np.int64), found.first)), pa.array(sums(base[which], found.first)),
-                     pa.array(sums(log[which], found.first) + end_log / np.log(10)), others],
+                     pa.array(sums((is_known & in_training).astype(np.int64), found.first)), pa.array(sums(base, found.first)),
+                     pa.array(sums(log, found.first) + end_log / np.log(10)), others],
                     names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"])
                 row += part.num_rows
 
@@ -276,14 +264,20 @@ def _score(pieces: Pieces, end_log: float, known: np.ndarray, times: np.ndarray)
 _SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, rare array<bigint>"
 
 
-def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hash of each word, as the texts' words have it."""
-    for batch in batches:
-        raw = batch.column("word").to_pylist()
-        ends = np.cumsum([len(w) for w in raw])
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        codes = range_hashes(byte_codes(data), ends - np.array([len(w) for w in raw], np.int64), ends)
-        yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), batch.column("n")], names=["code", "n"])
+def _worded(pieces: Pieces):
+    """The hash of each counted word, as the texts' words have it, its count, and its log probability to base 10."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column("word").to_pylist()
+            lengths = np.array([len(w) for w in raw], np.int64)
+            ends = np.cumsum(lengths)
+            data = np.frombuffer(b"".join(raw) or b" ", np.uint8)
+            codes = range_hashes(byte_codes(data), ends - lengths, ends)
+            logs = word_logs(pieces, *_spelt(data, ends - lengths, ends)) / np.log(10)
+            yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), batch.column("n"), pa.array(logs)], names=["code", "n", "log"])
+
+    return run
 
 
 def scored(docs: DataFrame, held_out: Column, path: str) -> DataFrame:
@@ -298,26 +292,31 @@ def scored(docs: DataFrame, held_out: Column, path: str) -> DataFrame:
     """
     plain = only_text(docs)
     out = F.coalesce(held_out, F.lit(False))
-    counts = plain.filter(~out).select("text").mapInArrow(_count, "word binary, n bigint")
-    counts = kept(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    total, ends = total or 0, counts.filter("word = X''").count()
-    pieces, end_log = fitted(counts, path)
-
-    by_code = counts.filter("word <> X''").mapInArrow(_codes, "code bigint, n bigint")
+    counts = plain.select("text", (~out).alias("learnt")).mapInArrow(_count, "word binary, n bigint")
+    counts = kept(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")  # n is 0 for words of held-out texts alone
+    learnt = counts.filter("n > 0")
+    total, distinct = learnt.agg(F.sum("n"), F.count("*")).first()
+    total, end_count = total or 0, learnt.filter("word = X''").agg(F.sum("n")).first()[0] or 0
+    pieces, end_log = fitted(learnt, path)
+
+    by_code = counts.filter("word <> X''").mapInArrow(_worded(pieces), "code bigint, n bigint, log double")
+    by_code = kept(by_code, "scored-words")  # each distinct word is segmented once
     often = by_code.orderBy(F.desc("n"), "code").limit(FREQUENT_MAX).toArrow()
-    known, times = often.column("code").to_numpy().view(np.uint64), often.column("n").to_numpy()
-    order = np.argsort(known)
-    rows = kept(plain.mapInArrow(_score(pieces, end_log, known[order], times[order]), _SCORED), "scores")
+    order = np.argsort(often.column("code").to_numpy().view(np.uint64))
+    known, times, logs = (often.column(c).to_numpy()[order] for c in ("code", "n", "log"))
+    rows = kept(plain.mapInArrow(_score(end_log, known.view(np.uint64), times, logs), _SCORED), "scores")
     rare = rows.select("row", F.explode("rare").alias("code")).join(by_code, "code")
-    rare = rare.groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_base"))
-    end_count = counts.filter("word = X''").agg(F.sum("n")).first()[0] or 0
+    rare = rare.groupBy("row").agg(
+        F.count_if(F.col("n") > 0).alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_base"), F.sum("log").alias("more_score")
+    )
     base = F.col("base") + F.coalesce("more_base", F.lit(0.0)) + float(np.log10(end_count + 1))
     base = base - F.col("n_tokens") * float(np.log10(total + distinct + 1))
+    ends = int(end_count > 0)
     return rows.join(rare, "row", "left").select(
         "doc_id", out.alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0)) + ends).cast("bigint").alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score",
+        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 
 

@@ -101,21 +101,22 @@ class _Sets:
 
 
 class _Seen:
-    """Sets this task has already handled; forgetting some only repeats work."""
+    """Sets this task has already handled, by one fingerprint each; forgetting some only repeats work."""
 
     def __init__(self):
-        self.prints = set()
+        self.prints = np.zeros(0, np.uint64)  # sorted
 
     def new(self, prints: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        out = sizes > 0
-        for i, key in enumerate(map(bytes, prints)):
-            if out[i]:
-                if key in self.prints:
-                    out[i] = False
-                else:
-                    if len(self.prints) >= _SEEN:
-                        self.prints.clear()
-                    self.prints.add(key)
+        out = np.zeros(len(sizes), bool)
+        full = np.flatnonzero(sizes)
+        own, first = np.unique(prints[full, 0], return_index=True)
+        at = np.searchsorted(self.prints, own)
+        fresh = np.ones(len(own), bool)
+        inside = at < len(self.prints)
+        fresh[inside] = self.prints[at[inside]] != own[inside]
+        out[full[first[fresh]]] = True
+        kept_ = len(self.prints) < _SEEN
+        self.prints = np.insert(self.prints, at[fresh], own[fresh]) if kept_ else own[fresh]
         return out
 
 

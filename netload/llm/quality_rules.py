@@ -9,12 +9,14 @@ probability of being good.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from netload.llm.schema import documents, kept, only_text
 from netload.llm.wordhash import gram_starts, range_hashes, slices, text_bytes, words
@@ -34,7 +36,8 @@ VOTES = "bag"  # bad, abstains, good
 
 _PROPERTIES = ["symbol_share", "odd_share", "repeat_share", "top_share", "dup_line_share", "capital_share", "words_per_stop"]
 _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_KIND = "struct<" + ", ".join([f"{c}: bigint" for c in _BASE] + [f"{c}: double" for c in _PROPERTIES]) + ">"
+_FIELDS = ", ".join([f"{c} bigint" for c in _BASE] + [f"{c} double" for c in _PROPERTIES])
+_KIND = f"struct<{_FIELDS.replace(' bigint', ': bigint').replace(' double', ': double')}>"
 
 
 def _mark(chars: bytes) -> np.ndarray:
@@ -201,13 +204,26 @@ def judged(docs: DataFrame) -> DataFrame:
     )
 
 
+def _measured_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole rows with what was measured of their texts."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            yield pa.RecordBatch.from_arrays([part.column("row"), _properties(part.column("text"))], names=["row", "found"])
+
+
 def good_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns. Reads the texts twice, shuffles none."""
-    found = properties(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    good = _fitted(docs.select(found.alias("found")).select(_votes(F.col("found")).alias("votes"))).posterior
-    rows = docs.select(F.struct("*").alias("row"), found.alias("found"))
-    rows = rows.filter(~_base_failed(F.col("found")) & (good(_votes(F.col("found"))) >= 0.5))
-    return rows.select("row.*")
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    Null, empty and blank texts fail the base rule; repeated rows are judged alike;
+    a null doc_id changes nothing; an empty table stays empty; a text of any length is measured whole. Measures
+    each text once: rows and measures are written to the scratch folder, and what is kept
+    is read from there. No row is shuffled.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    kinds = StructType([rows.schema["row"], StructField("found", StructType.fromDDL(_FIELDS))])
+    rows = kept(rows.mapInArrow(_measured_rows, kinds), "measured")
+    good = _fitted(rows.select(_votes(F.col("found")).alias("votes"))).posterior(_votes(F.col("found")))
+    return rows.filter(~_base_failed(F.col("found")) & (good >= 0.5)).select("row.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

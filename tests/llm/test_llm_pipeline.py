@@ -78,7 +78,6 @@ def test_every_stage_equals_plain_python(spark, tmp_path):
     assert all(len(words(cut[300 + i])) == 180 for i in range(5) if 300 + i in cut)
 
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     packed = [seen[3].collect(), corpus_pipeline.run(spark, folder).collect()]
     for rows in packed:
         for i, text in cut.items():

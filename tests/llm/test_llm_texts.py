@@ -156,7 +156,6 @@ def test_pieces_cover_each_document_once(spark, odd, none):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     texts = [(i, t) for i, t in odd_texts() if i not in (None, 5)]
     found = packing.packed(documents(spark, texts), path, capacity=64, with_ids=True).collect()
     by_doc, by_sequence = {}, {}
