@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from netload.sources import publication, readers
 
-# A partition is skewed when it exceeds both.
+# A group is an outlier when it exceeds both.
 SKEW_FACTOR = 5.0
 SKEW_BYTES = 256 * 1024 * 1024
 
@@ -49,14 +49,14 @@ def skew_profile(volumes: DataFrame, volume: str = "volume") -> DataFrame:
 
 
 def is_skewed(size: Column, median: Column, factor: float, threshold: int) -> Column:
-    """Adaptive execution's rule: both conditions, both strict."""
+    """An outlier among the groups: far above the median, and large in itself. Both strict."""
     return (size > median * factor) & (size > threshold)
 
 
 def skew_flags(
     volumes: DataFrame, size: str = "octets", factor: float = SKEW_FACTOR, threshold: int = SKEW_BYTES
 ) -> DataFrame:
-    """Each group with the median size and whether adaptive execution would split it."""
+    """Each group with the median size and whether it is an outlier."""
     median = skew_profile(volumes, size).select("mediane").scalar()
     return volumes.withColumn("mediane", median).withColumn(
         "desequilibree", is_skewed(F.col(size), F.col("mediane"), factor, threshold)

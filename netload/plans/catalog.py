@@ -146,7 +146,7 @@ def bucketed_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skewed_cells(telemetry: DataFrame) -> DataFrame:
-    """The adaptive-execution rule applied to rows per cell, with a threshold in rows."""
+    """Cells with over five times the median number of events, and over 100."""
     volumes = diagnostics.volume_by_key(telemetry, "cell_id")
     return diagnostics.skew_flags(volumes, "volume", threshold=100)
 
