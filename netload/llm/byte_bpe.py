@@ -248,7 +248,7 @@ def encoded(docs: DataFrame, path: str, pattern: str = BYTE_LEVEL) -> DataFrame:
     """``doc_id, ids``: the token ids of each text by the rank file, without special tokens.
 
     Null and empty texts have no ids. Repeated rows and null doc_ids come back as they
-    are. An empty table gives no rows. Other columns are ignored. Runs jobs that count
+    are. An empty table gives no rows. A text of any length is encoded in parts of 1 MiB or one longer part. Other columns are ignored. Runs jobs that count
     pieces and fold the frequent ones.
     """
     given = folded_ahead(docs, load_ranks(path), pattern)

@@ -336,7 +336,7 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     texts and texts without words have no shingles and only themselves. A null
     doc_id is ignored by that minimum; a component without any other has null.
     Repeated rows come back as often as they are given, in one component. An
-    empty table gives no rows. Other columns of ``docs`` are ignored. Runs jobs:
+    empty table gives no rows. A text of any length has all its shingles. Other columns of ``docs`` are ignored. Runs jobs:
     sets, candidates and components are written to the scratch folder.
     """
     sets, smallest, roots = _sets_and_roots(docs, size, percent)

@@ -135,7 +135,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, bits
     ``bits`` is 1 for bit planes or 8 for byte planes. Null, empty and blank texts
     have whatever ids the vocabulary gives them and the end id. A null doc_id stands
     first. Rows with one doc_id stand together, in the order of a hash of their text.
-    An empty table gives empty files. Other columns are ignored. The texts are
+    An empty table gives empty files. A long text lies in many blocks. Other columns are ignored. The texts are
     shuffled once, into ranges of doc_id.
     """
     if bits not in (1, 8):
@@ -176,7 +176,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     alone = chunks.mapInArrow(_decode(True), _PIECES).select(columns)
     pieces = chunks.mapInArrow(_decode(False), _PIECES).groupBy("part", "doc_id", "start", "n_tokens")
     pieces = pieces.agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("p"))
-    joined = F.aggregate("p", F.lit(b""), lambda all_, p: F.concat(all_, p["ids"])).alias("ids")
+    joined = F.unhex(F.array_join(F.transform("p", lambda p: F.hex(p["ids"])), "")).alias("ids")
     rows = alone.union(pieces.select(*columns[:-1], joined))
     rows = rows.join(spark.read.parquet(f"{path}/parts").select("part", "before"), "part")
     return rows.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")

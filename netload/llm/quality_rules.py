@@ -191,7 +191,7 @@ def judged(docs: DataFrame) -> DataFrame:
 
     Null, empty and blank texts have no words and fail the base rule. Repeated
     rows are judged alike, each in its own row; a null doc_id stays null. An empty
-    table gives no rows. Other columns of ``docs`` are ignored. Runs one job that
+    table gives no rows. A text of any length is measured whole, in one task. Other columns of ``docs`` are ignored. Runs one job that
     measures all texts and writes the measures to the scratch folder.
     """
     found = only_text(docs).select("doc_id", properties(F.col("text")).alias("found"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from netload.llm import twins
 from netload.llm.byte_bpe import op7_byte_level_bpe
 from netload.llm.lattice_lm import op2_lattice_score
 from netload.llm.license_scan import op5_license_scan
@@ -23,4 +24,7 @@ _ALL = [
 ]
 
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES = {"op1_pivot_top_k": OP1_SQL}
+ORACLES = {
+    "op1_pivot_top_k": OP1_SQL, "op4_ngram_jaccard_join": twins.OP4_SQL, "op6_substring_dedup": twins.OP6_SQL,
+    "op12_prefix_trie": twins.OP12_SQL, "op13_merkle_manifest": twins.OP13_SQL,
+}

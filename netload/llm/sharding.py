@@ -5,36 +5,18 @@ stands at the fraction (r + 1/2) / n, so sorting everything by fraction spreads
 each source evenly over the whole order, and consecutive cuts of that order all
 hold the sources in proportion. Cuts differ by at most one row.
 
-Neither rank needs a group per source or one global sort. With N rows, those of a
-source fall into sqrt(N) buckets by their hash, and all rows into sqrt(N) buckets by
-their fraction. Buckets are counted (combined before the shuffle), a running total
-over them says at which rank each begins, and only rows of one bucket are sorted
-together: at most about sqrt(N), also for a source that holds a third of all rows.
+Neither rank needs a group per source or one global sort: rows are laid out in ranges
+of the order, and a row's rank is its place in its range and the sizes of the ranges before.
+A source, a fraction or a key that many rows share lies over several ranges like any other rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netload.llm.schema import documents, kept
-
-
-def _ranked(rows: DataFrame, by: list[str], share: Column, buckets: int, order: list[str]) -> DataFrame:
-    """``rows`` with ``rank`` from 0 within ``by`` in ``order``, and ``group_rows``; ``share`` (0 to 1) rises with ``order``."""
-    rows = rows.withColumn("bucket", F.least(F.floor(share * buckets), F.lit(buckets - 1)))
-    each = rows.groupBy(*by, "bucket").agg(F.count("*").alias("n"))
-    group = W.partitionBy(*by)
-    starts = each.select(
-        *[F.col(c).alias(f"of_{c}") for c in [*by, "bucket"]],
-        (F.sum("n").over(group.orderBy("bucket")) - F.col("n")).alias("before"),
-        F.sum("n").over(group).alias("group_rows"),
-    )
-    within = F.row_number().over(W.partitionBy(*by, "bucket").orderBy(*order)) - 1
-    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in by] + [F.col("bucket") == F.col("of_bucket")]
-    found = rows.withColumn("rank", within.cast("bigint")).join(starts, same)
-    return found.withColumn("rank", F.col("rank") + F.col("before")).drop("bucket", "before", *starts.columns[: len(by) + 1])
+from netload.operators.prefix import numbered
 
 
 def interleaved(docs: DataFrame, shards: int, source: str = "source", key: str = "doc_id", seed: int = 0) -> DataFrame:
@@ -44,21 +26,23 @@ def interleaved(docs: DataFrame, shards: int, source: str = "source", key: str =
     hash of the whole row (but for columns with maps), so rows that tie are alike.
     A null source is a source of its own; null or repeated keys are placed like any
     other. Shards hold N/shards rows, rounded down or up; with fewer rows than shards
-    some stay empty, an empty table gives no rows. Counts the rows, which runs a job.
+    some stay empty, an empty table gives no rows. A text of any length is one row. Runs jobs: rows are
+    counted, and written to the scratch folder in either order.
     """
     if shards < 1:
         raise ValueError("at least one shard")
     n = docs.count()
-    buckets = int(n**0.5) + 1
     whole = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
     rows = docs.select(
         F.struct("*").alias("source_row"), F.col(source).alias("source"),
         F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1).alias("hash"),
         F.xxhash64(F.lit(seed + 1), *whole).alias("tie"),
     )
-    rows = _ranked(rows, ["source"], F.col("hash") / F.lit(2.0**63), buckets, ["hash", "tie"])
-    rows = rows.withColumn("fraction", (F.col("rank") + 0.5) / F.col("group_rows")).drop("rank", "group_rows")
-    rows = _ranked(rows, [], F.col("fraction"), buckets, ["fraction", "hash", "tie", "source"])
+    rows = numbered(rows, "source", "hash", "tie").withColumnRenamed("pos", "at")
+    sources = rows.groupBy(F.col("source").alias("of")).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    rows = rows.join(sources, F.col("source").eqNullSafe(F.col("of")))
+    rows = rows.withColumn("fraction", (F.col("at") - F.col("first") + 0.5) / F.col("n")).drop("at", "of", "first", "n")
+    rows = numbered(rows, "fraction", "hash", "tie", "source").withColumnRenamed("pos", "rank")
     shard = F.expr(f"rank * {shards} div {max(n, 1)}")
     slot = F.expr(f"rank - (shard * {n} + {shards - 1}) div {shards}")
     return rows.withColumn("shard", shard).select("source_row", F.col("shard").cast("int").alias("shard"), slot.alias("slot"))

@@ -162,7 +162,7 @@ def without_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
     words and comes back empty; texts of fewer than ``size`` words lose nothing. A
     row given twice repeats itself, so all its windows go. A null doc_id is a value
     like any other. Other columns are carried in ``source_row``, whatever their
-    names. An empty table gives no rows.
+    names. An empty table gives no rows. A text of any length has all its windows.
     """
     row_id, text = F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(row_id.alias("row_id"), F.xxhash64(text).alias("row_hash"), text.alias("text"),
@@ -174,7 +174,11 @@ def without_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
 
 
 def cut_documents(docs: DataFrame, size: int = 35) -> DataFrame:
-    """The rows of ``docs`` with their columns, the text being what stays."""
+    """The rows of ``docs`` with their columns, the text being what stays and n_chars its length.
+
+    Nulls, ties, repeated rows, long texts and an empty table as in ``without_repeats``;
+    the other columns, null or not, stay as they are.
+    """
     new = {"text": F.col("cut.text"), "n_chars": F.length("cut.text").cast("bigint")}
     return without_repeats(docs, size).select(*[
         new.get(c, F.col("source_row").getField(c)).cast(kind).alias(c) for c, kind in docs.dtypes
