@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from netload import jobs
+from netload import jobs, scratch
 from netload.sources import synthetic
 
 
@@ -33,6 +33,7 @@ def main() -> None:
         for name, view in jobs.views(spark, args.folder, args.heure).items():
             print(name)
             view.show(30, truncate=False)
+    scratch.clear(spark)
     spark.stop()
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,12 +23,31 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{_SETTING} must name a folder all executors share")
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="netload-")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """What this application writes lies below one folder of its own."""
+    return f"{scratch_root(spark)}/netload-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path under the scratch root; never reused, so no run sees another's files."""
-    return f"{scratch_root(spark)}/netload-{uuid.uuid4().hex}/{name}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all that this application wrote to the scratch folder.
+
+    Lazy results still read it: call this when they have been written or collected.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def kept(rows: DataFrame, name: str) -> DataFrame:

@@ -228,6 +228,17 @@ def test_scratch_root(spark, setting):
     assert scratch.fresh_path(spark, "x") != scratch.fresh_path(spark, "x")
 
 
+def test_what_an_application_wrote_can_be_cleared(spark, setting, tmp_path):
+    setting(spark__checkpoint__dir=str(tmp_path))
+    other = tmp_path / "netload-another-application"
+    other.mkdir()
+    rows = scratch.kept(spark.range(5), "rows")
+    assert rows.count() == 5 and len(list(tmp_path.iterdir())) == 2
+    scratch.clear(spark)
+    assert list(tmp_path.iterdir()) == [other]
+    scratch.clear(spark)
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Conf:
         def get(self, key, default):
