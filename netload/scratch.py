@@ -53,5 +53,5 @@ def clear(spark: SparkSession) -> None:
 def kept(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written once to the shared scratch folder and read back. Runs a job."""
     path = fresh_path(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
