@@ -10,6 +10,9 @@ neighbouring windows share too. So one row carries a run of windows, and a run
 whose group occurs nowhere else is dropped before its windows are counted.
 Repeats within one text are settled where the text is read, which leaves at most
 one row per text for any window, however often a line is repeated.
+A word group of very many runs is no group of one task either: its runs stay where they
+are read, its windows are counted by an aggregate that combines before its shuffle, and
+the repeated ones are joined back.
 Equality is that of 112 hash bits (64 of the group, 48 of the window).
 """
 
@@ -25,7 +28,10 @@ from pyspark.sql import functions as F
 
 from netload.llm.schema import documents, kept
 from netload.llm.wordhash import gram_starts, range_hashes, slices, words
+from netload.operators.joins import bounded_broadcast
 
+#: Word groups of more runs than this are counted apart.
+HOT = 1 << 14
 _BYTES = 6
 _RUNS = "row_id bigint, row_hash bigint, anchor bigint, start int, codes binary, mask bigint"
 _U = np.uint64
@@ -99,7 +105,19 @@ def _runs(size: int, anchor: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, size: int, anchor: int = 8) -> DataFrame:
+def _windows(runs: DataFrame) -> DataFrame:
+    """A row for each window of the runs: its code, and its place ``i`` in the run."""
+    places = F.sequence(F.lit(0), (F.octet_length("codes") / _BYTES).cast("int") - 1)
+    shared = runs.select("anchor", "row_id", "row_hash", "start", "codes", F.explode(places).alias("i"))
+    return shared.withColumn("code", F.expr(f"substring(codes, {_BYTES} * i + 1, {_BYTES})")).drop("codes")
+
+
+def _masks(hits: DataFrame) -> DataFrame:
+    hits = hits.groupBy("anchor", "row_id", "row_hash", "start").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask"))
+    return hits.select("row_id", "row_hash", "start", "mask")
+
+
+def repeated_windows(docs: DataFrame, size: int, anchor: int = 8, hot: int = HOT) -> DataFrame:
     """``row_id, row_hash, marks``: for each text with repeated windows, where they start.
 
     ``docs`` has row_id, row_hash and text. A mark is (start, mask): bit i is set
@@ -110,18 +128,15 @@ def repeated_windows(docs: DataFrame, size: int, anchor: int = 8) -> DataFrame:
     runs = docs.mapInArrow(_runs(size, anchor), _RUNS)
     local = runs.filter("anchor is null").select("row_id", "row_hash", "start", "mask")
     runs = runs.filter("anchor is not null")
-    common = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    shared = runs.join(common, "anchor", "left_semi")
-    places = F.sequence(F.lit(0), (F.octet_length("codes") / _BYTES).cast("int") - 1)
-    shared = shared.select(
-        "anchor", "row_id", "row_hash", "start", "codes", F.explode(places).alias("i")
-    ).withColumn("code", F.expr(f"substring(codes, {_BYTES} * i + 1, {_BYTES})")).drop("codes")
+    common = kept(runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "groups")
+    shared = _windows(runs.join(common.filter(F.col("n") <= hot).select("anchor"), "anchor", "left_semi"))
     times = F.count("*").over(W.partitionBy("anchor", "code"))
-    hits = shared.withColumn("times", times).filter("times > 1")
-    hits = hits.groupBy("anchor", "row_id", "row_hash", "start").agg(
-        F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")
-    )
-    marks = hits.select("row_id", "row_hash", "start", "mask").union(local)
+    marks = _masks(shared.withColumn("times", times).filter("times > 1")).union(local)
+    often = common.filter(F.col("n") > hot).select("anchor")
+    if not often.isEmpty():
+        shared = _windows(kept(runs.join(bounded_broadcast(often), "anchor", "left_semi"), "hot-runs"))
+        repeated = shared.groupBy("anchor", "code").agg(F.count("*").alias("times")).filter("times > 1")
+        marks = marks.union(_masks(shared.join(repeated, ["anchor", "code"], "left_semi")))
     return marks.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
 
 
@@ -155,7 +170,7 @@ def _cut(size: int):
     return cut
 
 
-def without_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = 35, hot: int = HOT) -> DataFrame:
     """``source_row, cut``: each row of ``docs`` as a struct, and its ``n_words, n_removed, text``.
 
     The text holds the words that stay, joined by one space. A null text has no
@@ -167,7 +182,7 @@ def without_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
     row_id, text = F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(row_id.alias("row_id"), F.xxhash64(text).alias("row_hash"), text.alias("text"),
                         F.struct("*").alias("source_row"))
-    marks = repeated_windows(keyed.select("row_id", "row_hash", "text"), size)
+    marks = repeated_windows(keyed.select("row_id", "row_hash", "text"), size, hot=hot)
     marks = kept(marks.withColumnsRenamed({"row_id": "m_id", "row_hash": "m_hash"}), "repeats")
     same = F.col("row_id").eqNullSafe(F.col("m_id")) & (F.col("row_hash") == F.col("m_hash"))
     return keyed.join(marks, same, "left").select("source_row", _cut(size)("text", "marks").alias("cut"))

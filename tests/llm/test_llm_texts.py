@@ -142,8 +142,9 @@ def test_repeated_windows_equal_brute_force(spark, odd, none):
             if windows[tuple(own[i : i + size])] > 1:
                 gone |= set(range(i, i + size))
         want.append((doc_id, len(own), len(gone), " ".join(w for i, w in enumerate(own) if i not in gone)))
-    cut = substring_dedup.without_repeats(documents(spark, texts), size)
-    assert rows(cut, "source_row.doc_id", "cut.n_words", "cut.n_removed", "cut.text") == sorted(want, key=repr)
+    for hot in (substring_dedup.HOT, 2, 0):
+        cut = substring_dedup.without_repeats(documents(spark, texts), size, hot)
+        assert rows(cut, "source_row.doc_id", "cut.n_words", "cut.n_removed", "cut.text") == sorted(want, key=repr)
     assert substring_dedup.cut_documents(odd, size).dtypes == odd.dtypes
     assert substring_dedup.cut_documents(none).count() == 0
 
