@@ -7,9 +7,11 @@ score from above. Candidates are evaluated in the order of their bounds until th
 next bound lies below the k-th best score found, which makes the result exact.
 
 The stated queries meet all vectors in blocks: queries are dealt to blocks of about
-``QUERY_BLOCK``, candidates to groups of about ``GROUP``, and each pair is one run that
+``QUERY_BLOCK``, candidates to groups by their nearest pivot and a hash, and each pair is one run that
 holds its queries and streams its candidates. A run hands on k rows for a query, which
-keeps the number it was packed with in all runs.
+keeps the number it was packed with in all runs. A query starts with the k-th best score
+among the sampled vectors, which no result can lie below, and passes over a whole batch of candidates whose
+ranges of pivot distances bound them under its k-th score so far.
 """
 
 from __future__ import annotations
@@ -72,6 +74,8 @@ def _integers(vectors: pa.Array) -> np.ndarray:
 
 
 def _pack(pivots: dict[int, np.ndarray], query_blocks: int, groups: int):
+    slices = -(-groups // PIVOTS)  # of the candidates nearest to one pivot
+
     def rows(kind: str, key: np.ndarray, dim: int, numbers, ids, ints, table) -> Iterator[pa.RecordBatch]:
         for k in np.unique(key):
             at = np.flatnonzero(key == k)
@@ -87,7 +91,9 @@ def _pack(pivots: dict[int, np.ndarray], query_blocks: int, groups: int):
                 deal = part.column("deal").to_numpy()
                 ints = _integers(part.column("vector")) if dim else np.zeros((len(ids), 0), np.int64)
                 table = _distances(ints, pivots.get(int(dim), np.zeros((0, int(dim)))))
-                yield from rows("c", deal % groups, int(dim), numbers, ids, ints, table)
+                cell = table[:, 1:].argmin(1) if table.shape[1] > 1 else np.zeros(len(ids), np.int64)
+                key = cell * slices + deal % slices if groups > 1 else np.zeros(len(ids), np.int64)
+                yield from rows("c", key, int(dim), numbers, ids, ints, table)
                 own = np.flatnonzero(part.column("query").to_numpy(zero_copy_only=False))
                 yield from rows("q", deal[own] // groups % query_blocks, int(dim), numbers[own], ids[own], ints[own], table[own])
 
@@ -97,9 +103,11 @@ def _pack(pivots: dict[int, np.ndarray], query_blocks: int, groups: int):
 class _Search:
     """The queries of one run of one dimension and the best candidates so far."""
 
-    def __init__(self, k: int):
+    def __init__(self, k: int, sample: tuple[np.ndarray, np.ndarray] | None = None):
         self.k, self.numbers, self.ids, self.ints, self.table = k, [], [], [], []
         self.best: list[list[tuple[int, int]]] = []  # (-score, vec_id), ascending
+        self.least: list[float] = []  # what the k-th best score is known to reach
+        self.sample, self.evaluated = sample, 0
 
     def add(self, numbers, ids, ints, table) -> None:
         for i in range(len(ids)):
@@ -108,26 +116,45 @@ class _Search:
             self.ints.append(ints[i])
             self.table.append(table[i])
             self.best.append([])
+            self.least.append(self._floor(int(ids[i]), ints[i]))
+
+    def _floor(self, query_id: int, query: np.ndarray) -> float:
+        if self.sample is None:
+            return -np.inf
+        ids, ints = self.sample
+        scores = sorted((int(s) for s in _scores(ints[ids != query_id], query)), reverse=True)
+        return scores[self.k - 1] if len(scores) >= self.k else -np.inf
 
     def meet(self, ids, ints, table) -> None:
-        for i, (query_id, query, near) in enumerate(zip(self.ids, self.ints, self.table)):
+        if not len(ids):
+            return
+        near_all = np.array(self.table)
+        outside = np.maximum(table[:, 1:].min(0) - near_all[:, 1:], near_all[:, 1:] - table[:, 1:].max(0)).max(1, initial=0)
+        size = table[:, 0].max() + near_all[:, 0]
+        reach = (size - outside * outside) / 2 + size * 1e-9 + 1  # of the best of these candidates
+        for i in np.flatnonzero(reach >= np.array(self.least, float)).tolist():
+            query_id, query, near = self.ids[i], self.ints[i], self.table[i]
             apart = np.abs(table[:, 1:] - near[1:]).max(1, initial=0)
             size = table[:, 0] + near[0]
             # rounding of the distances is far below a part in 10^9 of the squares
             bound = (size - apart * apart) / 2 + size * 1e-9 + 1
             best = self.best[i]
             other = ids != query_id
-            alive = np.flatnonzero(other & (bound >= -best[-1][0]) if len(best) == self.k else other)
+            alive = np.flatnonzero(other & (bound >= self.least[i]))
             alive = alive[np.argsort(-bound[alive], kind="stable")]
             for at in range(0, len(alive), _CHUNK):
                 now = alive[at : at + _CHUNK]
-                if len(best) == self.k and bound[now[0]] < -best[-1][0]:
+                now = now[bound[now] >= self.least[i]]
+                if not len(now):
                     break
+                self.evaluated += len(now)
                 best = sorted(best + [(-int(s), int(v)) for s, v in zip(_scores(ints[now], query), ids[now])])[: self.k]
+                if len(best) == self.k:
+                    self.least[i] = max(self.least[i], -best[-1][0])
             self.best[i] = best
 
 
-def _search(k: int):
+def _search(k: int, samples: dict[int, tuple[np.ndarray, np.ndarray]]):
     def found(run: dict[int, _Search]) -> pa.RecordBatch:
         rows = []
         for search in run.values():
@@ -148,7 +175,7 @@ def _search(k: int):
                 ids, dim = np.frombuffer(row["ids"], np.int64), row["dim"]
                 packed = ids, np.frombuffer(row["ints"], np.int64).reshape(len(ids), dim), np.frombuffer(row["table"]).reshape(len(ids), -1)
                 if row["kind"] == "q":
-                    run.setdefault(dim, _Search(k)).add(np.frombuffer(row["numbers"], np.int64), *packed)
+                    run.setdefault(dim, _Search(k, samples.get(dim))).add(np.frombuffer(row["numbers"], np.int64), *packed)
                 elif dim in run:
                     run[dim].meet(*packed)
         if run:
@@ -175,20 +202,22 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 10) -> DataFrame:
     )
     n, n_queries = rows.agg(F.count("*"), F.count_if("query")).first()
     groups, blocks = -(-n // GROUP) or 1, -(-n_queries // QUERY_BLOCK) or 1
-    sample = rows.orderBy("deal", "vec_id").limit(SAMPLE).select("dim", "vector").collect()
-    pivots = {}
+    sample = rows.orderBy("deal", "vec_id").limit(SAMPLE).select("vec_id", "dim", "vector").collect()
+    pivots, samples = {}, {}
     for dim in {r["dim"] for r in sample}:
-        own = [r["vector"] for r in sample if r["dim"] == dim]
-        own = np.array(own, float).reshape(len(own), dim)
-        pivots[dim] = choose_pivots(np.floor(1024 * own))
+        own = [r for r in sample if r["dim"] == dim]
+        ints = np.floor(1024 * np.array([r["vector"] for r in own], float).reshape(len(own), dim))
+        pivots[dim] = choose_pivots(ints)
+        samples[dim] = np.array([r["vec_id"] for r in own], np.int64), ints.astype(np.int64)
     packed = kept(rows.mapInArrow(_pack(pivots, blocks, groups), _PACKED), "vectors")
     queries = packed.filter("kind = 'q'").withColumnRenamed("key", "block")
-    queries = queries.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    last = PIVOTS * -(-groups // PIVOTS) - 1 if groups > 1 else 0
+    queries = queries.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(last))))
     others = packed.filter("kind = 'c'").withColumnRenamed("key", "group")
     others = others.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     met = queries.unionByName(others).repartition("block", "group")
     met = met.sortWithinPartitions("block", "group", F.desc("kind"))
-    found = met.mapInArrow(_search(k), _FOUND)
+    found = met.mapInArrow(_search(k, samples), _FOUND)
     rank = F.row_number().over(W.partitionBy("query", "query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

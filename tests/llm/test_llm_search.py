@@ -1,6 +1,7 @@
 from collections import defaultdict
 from math import floor
 
+import numpy as np
 import pytest
 
 from netload.llm import pivot_search
@@ -33,17 +34,17 @@ def test_equals_brute_force_with_ties_and_signs(spark, monkeypatch):
 def test_queries_may_reach_each_group_in_another_order(spark, monkeypatch):
     search = pivot_search._search
 
-    def reordered(k):
+    def reordered(*given):
         def each(batches):
             batches = list(batches)
             rows = [row for batch in batches for row in batch.to_pylist()]
             runs = {}
             for row in rows:
                 runs.setdefault((row["block"], row["group"]), {"q": [], "c": []})[row["kind"]].append(row)
-            assert all(len(run["q"]) > 1 for run in runs.values())
+            assert all(len(run["q"]) > 1 for run in runs.values() if run["c"])
             for (_, group), run in runs.items():
                 own = run["q"][:: -1 if group % 2 else 1] + run["c"]
-                yield from search(k)(iter([type(batches[0]).from_pylist(own, batches[0].schema)]))
+                yield from search(*given)(iter([type(batches[0]).from_pylist(own, batches[0].schema)]))
 
         return each
 
@@ -55,6 +56,24 @@ def test_queries_may_reach_each_group_in_another_order(spark, monkeypatch):
     assert found(frame) == brute(rows, 10)
 
 
+def test_clustered_vectors_are_mostly_eliminated():
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(40, 32))
+    ints = np.floor(1024 * (centres[draw.integers(0, 40, 8000)] + 0.05 * draw.normal(size=(8000, 32)))).astype(np.int64)
+    ids, queries = np.arange(8000), np.arange(0, 8000, 100)
+    pivots = pivot_search.choose_pivots(ints[:2048])
+    table = pivot_search._distances(ints, pivots)
+    search = pivot_search._Search(10, (ids[:2048], ints[:2048]))
+    search.add(ids[queries], ids[queries], ints[queries], table[queries])
+    for cell in range(len(pivots)):
+        own = np.flatnonzero(table[:, 1:].argmin(1) == cell)
+        search.meet(ids[own], ints[own], table[own])
+    assert search.evaluated < 0.5 * len(queries) * 8000
+    for q, best in zip(queries, search.best):
+        scores = ints @ ints[q]
+        assert best == sorted((-int(s), int(j)) for j, s in enumerate(scores) if j != q)[:10]
+
+
 def test_odd_vectors_take_no_part(spark):
     good = [(0, [1.0, 2.0]), (1, [0.5, -1.0]), (100, [1.0, 2.0, 3.0]), (2, [3.0, 1.0]), (200, []), (3, [])]
     bad = [(4, None), (5, [1.0, None]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (None, [1.0, 1.0])]
@@ -74,8 +93,6 @@ def test_repeated_rows_and_empty_table(spark):
 
 @pytest.mark.parametrize("n", [1, 5])
 def test_pivots_are_spread(n):
-    import numpy as np
-
     assert len(pivot_search.choose_pivots(np.arange(n, dtype=float).reshape(n, 1))) == n
 
 
