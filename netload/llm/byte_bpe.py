@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from netload.llm.schema import documents, only_text
 from netload.llm.vocab import BYTE_LEVEL, ByteIds, gathered, slices_of
 
-#: Words whose pieces are folded ahead, some 100 bytes each in every task.
-FREQUENT = 1 << 13
+#: Words whose pieces are folded ahead, some 200 bytes each in every task.
+FREQUENT = 1 << 16
 #: Pieces of more bytes are folded one by one with a heap.
 LONG = 64
 _BUCKETS = 1 << 14
