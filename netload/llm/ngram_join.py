@@ -22,7 +22,9 @@ centre, sets that share a centre form a group, and a group is verified as a
 whole: a search that follows verified links, counts overlaps through postings and
 never compares two sets already known to be connected. Two sets that share a list
 share its centre, so no link is lost. Groups beyond ``GROUP_SETS`` sets or
-``GROUP_SHINGLES`` are cut into blocks and every pair of blocks is one task.
+``GROUP_SHINGLES`` are cut into blocks. Each block is verified with the group's centre in
+it; if that connects the whole group, as it does where all are near copies of one text, nothing is left to find.
+Else every pair of the group's blocks is one task.
 """
 
 from __future__ import annotations
@@ -287,15 +289,38 @@ def _centred(postings: DataFrame, hot: DataFrame | None, percent: int) -> DataFr
     return lists.join(able, "half").select("half", "n", "centre")
 
 
-def _tasks(groups: DataFrame) -> DataFrame:
-    """``task, half`` rows: a small group is one task, a large one a task for each two of its blocks."""
+def _dealt(groups: DataFrame) -> DataFrame:
+    """``half, centre, block, blocks``: the sets of each group dealt to its blocks."""
     sized = groups.groupBy("centre").agg(F.count("*").alias("sets"), F.sum("n").alias("mass"))
     blocks = F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.ceil(F.col("mass") / GROUP_SHINGLES)).cast("int")
-    dealt = groups.join(sized.select("centre", blocks.alias("blocks")), "centre")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("half"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pair = [f(F.col("block"), F.col("other")).cast("string") for f in (F.least, F.greatest)]
-    return dealt.select(F.concat_ws(":", F.col("centre").cast("string"), *pair).alias("task"), "half")
+    sized = kept(sized.select("centre", blocks.alias("blocks")), "groups")  # a table: adaptive execution can split the join
+    dealt = groups.join(sized, "centre").withColumn("block", F.pmod(F.xxhash64("half"), F.col("blocks")).cast("int"))
+    return dealt.select("half", "centre", "block", "blocks")
+
+
+def _task(*parts: str | Column) -> Column:
+    return F.concat_ws(":", *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]).alias("task")
+
+
+def _first_tasks(dealt: DataFrame) -> DataFrame:
+    """``task, half`` rows: each block is a task, with the group's centre in every one."""
+    hubs = dealt.filter("blocks > 1 AND half = centre").select("half", "centre", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    return dealt.select(_task("centre", "block"), "half").union(hubs.select(_task("centre", "block"), "half"))
+
+
+def _pair_tasks(dealt: DataFrame) -> DataFrame:
+    """``task, half`` rows: a task for each two blocks of a group."""
+    both = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return both.select(_task("centre", *[f(F.col("block"), F.col("other")) for f in (F.least, F.greatest)]), "half")
+
+
+def _left_open(dealt: DataFrame, roots: DataFrame, smallest: DataFrame) -> DataFrame:
+    """The sets of groups of several blocks that the links found so far leave in several components."""
+    large = dealt.filter("blocks > 1")
+    rooted = large.join(smallest.select("half", "node"), "half").join(roots, "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("centre").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("centre")
+    return large.join(several, "centre", "left_semi")
 
 
 def _row_code() -> Column:
@@ -319,13 +344,22 @@ def _sets_and_roots(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame
     )
     postings = [plain.mapInArrow(_prefixes(size, percent, frequent, hot, wanted), "sig bigint, half bigint, n int")
                 for wanted in ([False, True] if len(hot) else [False])]
-    tasks = _tasks(_centred(postings[0], postings[1] if len(hot) else None, percent))
+    dealt = kept(_dealt(kept(_centred(postings[0], postings[1] if len(hot) else None, percent), "members")), "blocks")
     smallest = sets.filter("node is not null").groupBy("node", "half").agg(F.min("doc_id").alias("doc_id"))
     chosen = smallest.select("half", F.coalesce("doc_id", F.lit(_NO_ID)).alias("chosen"))
     texts = plain.mapInArrow(_texts(size), "half bigint, chosen bigint, node binary, text string")
-    run = tasks.join(chosen, "half").join(texts, ["half", "chosen"])
-    run = run.select("task", "node", "text").repartition("task").sortWithinPartitions("task")
-    roots = components(run.mapInArrow(_verify(size, percent), "u binary, v binary"))
+
+    def links(tasks: DataFrame) -> DataFrame:
+        run = tasks.join(chosen, "half").join(texts, ["half", "chosen"])
+        run = run.select("task", "node", "text").repartition("task").sortWithinPartitions("task")
+        return run.mapInArrow(_verify(size, percent), "u binary, v binary")
+
+    found = kept(links(_first_tasks(dealt)), "links")
+    roots = components(found)
+    if not dealt.filter("blocks > 1").isEmpty():
+        left = kept(_left_open(dealt, roots, smallest), "open")
+        if not left.isEmpty():
+            roots = components(found.union(links(_pair_tasks(left))))
     return sets, smallest, roots
 
 
