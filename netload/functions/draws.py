@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netload.operators import prefix
@@ -49,9 +49,16 @@ def pick_weighted(u: Column, weights: Sequence[float]) -> Column:
     return F.lit(last) if choice is None else choice.otherwise(last)
 
 
-def cumulative_intervals(weights: DataFrame, order: str, weight: str) -> DataFrame:
-    """Adds the half-open interval ``[bas, haut)`` each category owns, for any number of categories. Runs a job."""
-    running = prefix.running_total(weights, weight, order).withColumnRenamed("running", "haut")
+def cumulative_intervals(weights: DataFrame, order: str, weight: str, at_once: int = BOUNDS) -> DataFrame:
+    """Adds the half-open interval ``[bas, haut)`` each category owns, for any number of categories.
+
+    Up to ``at_once`` categories are added up in one task, more range by range. Counting them runs a job.
+    """
+    if weights.count() <= at_once:
+        upper = F.sum(weight).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        running = weights.withColumn("haut", upper)
+    else:
+        running = prefix.running_total(weights, weight, order).withColumnRenamed("running", "haut")
     return running.withColumn("bas", F.col("haut") - F.col(weight))
 
 

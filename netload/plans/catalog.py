@@ -32,6 +32,8 @@ DRAW_CONSTANTS = {
     "month": (6607, 191), "year": (8837, 199), "lat": (2917, 211), "lon": (4001, 223),
 }
 PICK_FACTOR = 7919
+# Categories from which the customers' weights take the ways for many.
+MANY = 128
 
 
 def _telemetry(query: Callable[[DataFrame], DataFrame]) -> Query:
@@ -97,7 +99,7 @@ def _customer_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers with their orders as weight and the interval each one owns."""
-    return draws.cumulative_intervals(_customer_weights(spark, sf_dir), "c_custkey", "poids")
+    return draws.cumulative_intervals(_customer_weights(spark, sf_dir), "c_custkey", "poids", at_once=MANY)
 
 
 def customer_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +107,7 @@ def customer_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     intervals = kept(customer_intervals(spark, sf_dir), "intervalles")
     total = intervals.agg(F.max("haut")).scalar()
     ids = tables.table(spark, sf_dir, "events").select(F.pmod(F.col("event_id") * PICK_FACTOR, total).alias("x"))
-    drawn = draws.pick_from_intervals(ids, intervals, "c_custkey", "x", "c_custkey", at_once=64)
+    drawn = draws.pick_from_intervals(ids, intervals, "c_custkey", "x", "c_custkey", at_once=MANY)
     return aggregates.count_by(drawn, "c_custkey", name="tirages")
 
 

@@ -146,6 +146,7 @@ def test_both_weighted_choices_match_brute_force(spark):
     assert values(intervals, "i", "bas", "haut") == [(0, 0, 3), (1, 3, 3), (2, 3, 8), (3, 8, 9), (4, 9, 16)]
     looked_up = draws.pick_from_intervals(draw, intervals, "i", "x", "i")
     assert values(looked_up) == sorted(expected, key=repr)
+    assert values(draws.cumulative_intervals(table, "i", "w", at_once=2)) == values(intervals)
     for at_once in (1, 2, 3):  # too many bounds for one array
         in_runs = draws.pick_from_intervals(draw, intervals, "i", "x", "i", at_once)
         assert values(in_runs) == sorted(expected, key=repr)

@@ -9,7 +9,7 @@ from netload.plans.catalog import QUERIES
 WRITING = {
     "text_scan", "ndjson_declared", "ndjson_inferred", "ndjson_hours", "parquet_roundtrip", "json_roundtrip",
     "cells_published", "rejected_lines", "battery_from_kept_table", "two_uses_of_one_read", "median_from_sketches",
-    "median_bytes_by_cell", "layout_from_sketches", "hour_intervals", "weighted_draw", "customer_intervals", "customer_draw",
+    "median_bytes_by_cell", "layout_from_sketches", "customer_intervals", "customer_draw",
     "bucketed_dim_join", "footprint", "storage_ratio", "freshness", "streaming_saturation",
 }
 READING = sorted(set(QUERIES) - WRITING)
