@@ -18,6 +18,11 @@ def write_ndjson(records: DataFrame, path: str) -> None:
     publication.replace(records.sparkSession, path, records.write.json)
 
 
+def append_ndjson(records: DataFrame, path: str) -> None:
+    """Adds files to what stands at the path; a stream that follows it sees them."""
+    records.write.mode("append").json(publication.resolve(records.sparkSession, path))
+
+
 def write_telemetry(records: DataFrame, path: str, compact: bool = True, folders: tuple[str, ...] = ("niveau",)) -> None:
     """Parquet partitioned by ``niveau``; ``records`` already carry ts and heure.
 

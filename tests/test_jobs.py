@@ -3,7 +3,7 @@ import pytest
 from helpers import values
 from netload import jobs
 from netload.plans import load
-from netload.sources import readers, synthetic
+from netload.sources import readers, synthetic, writers
 
 
 def test_missing_inputs_name_the_stage_to_run(spark, tmp_path):
@@ -34,3 +34,11 @@ def test_stages_chain_through_files(spark, tmp_path):
 
     jobs.follow(spark, folder, once=True).awaitTermination()
     assert values(readers.read_result(spark, f"{folder}/{jobs.RESULT}")) == delivered
+
+    more = synthetic.telemetry(spark, 500, seed=7)  # files that arrive later
+    writers.append_ndjson(more, f"{folder}/{jobs.EVENTS}")
+    jobs.follow(spark, folder, once=True).awaitTermination()
+    both = readers.timed(readers.read_ndjson(spark, f"{folder}/{jobs.EVENTS}"))
+    assert both.count() == rows + 500
+    direct = load.load_table(both, readers.read_cells(spark, f"{folder}/{jobs.CELLS}"))
+    assert values(readers.read_result(spark, f"{folder}/{jobs.RESULT}")) == values(load.saturated(direct))
