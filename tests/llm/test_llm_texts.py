@@ -8,7 +8,6 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_cases import documents, low, odd_texts, sentence, words
-from pyspark.sql import functions as F
 
 from netload.llm import lattice_lm, license_scan, ngram_join, packing, quality_rules, sharding, substring_dedup
 
@@ -129,21 +128,6 @@ def test_one_of_each_whatever_the_ids(spark):
     assert set(got) <= set(texts) and [t for _, t in got if not words(t)].count(None) == 2 and (None, "") in got
 
 
-def test_a_large_group_is_dealt_without_all_pairs_of_its_blocks(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "GROUP_SETS", 32)
-    base = words(sentence(120))
-    texts = [(i, " ".join([*base[: i % 115], f"x{i}", *base[i % 115 + 1 :]])) for i in range(1500)]
-    dealt, first = [], ngram_join._first_tasks
-    opened, pairs = [], ngram_join._pair_tasks
-    monkeypatch.setattr(ngram_join, "_first_tasks", lambda d: dealt.append(d) or first(d))
-    monkeypatch.setattr(ngram_join, "_pair_tasks", lambda d: opened.append(d) or pairs(d))
-    found = ngram_join.near_copies(documents(spark, texts), 4, 85).collect()
-    assert {r.component_id for r in found} == {0} and not opened
-    tasks = first(dealt[0])
-    assert tasks.groupBy("task").count().agg(F.max("count")).first()[0] <= 80
-    assert tasks.count() <= 1.2 * dealt[0].count()
-
-
 # substring dedup
 
 def test_repeated_windows_equal_brute_force(spark, odd, none):
