@@ -66,6 +66,8 @@ TEMPLATES = (
 
 #: Words of a template that the index holds: those of the highest inverse document frequency.
 RAREST = 12
+#: ... and at least this share of the highest one's: a common word says nothing of a template, and stands everywhere.
+RARE = 0.25
 #: Share of a template's weight that must agree on one beginning.
 LEAST = 0.5
 
@@ -101,7 +103,8 @@ def _index(spark: SparkSession, templates: Sequence, weights: dict[str, float])
     rows = []
     for t, (_, sentence, _) in enumerate(templates):
         words = sentence.split()
-        rarest = set(sorted(set(words), key=lambda w: (-weights[w], w))[:RAREST])
+        rarest = sorted(set(words), key=lambda w: (-weights[w], w))[:RAREST]
+        rarest = {w for w in rarest if weights[w] >= RARE * weights[rarest[0]]}
         whole = sum(weights[w] for w in words if w in rarest)
         rows += [dict(word=w, template=t, place=i, weight=weights[w], whole=whole) for i, w in enumerate(words) if w in rarest]
     return _table(spark, rows, "word: string, template: int, place: int, weight: double, whole: double")
