@@ -82,15 +82,15 @@ def _has(body: Column, phrase: str) -> Column:
     return F.contains(body, F.lit(phrase)) & F.contains(F.concat(F.lit(" "), body, F.lit(" ")), F.lit(f" {phrase} "))
 
 
-def _places(words: Column, phrase: str) -> Column:
+def _places(body: Column, phrase: str) -> Column:
     """Where the phrase starts, words counted from 0."""
     parts = phrase.split()
 
-    def here(i: Column) -> Column:
-        return reduce(and_, (F.get(words, i + j) == p for j, p in enumerate(parts)))
+    def among(words: Column) -> Column:
+        here = lambda i: reduce(and_, (F.get(words, i + j) == p for j, p in enumerate(parts)))
+        return F.filter(F.sequence(F.lit(0), F.size(words) - 1), here)
 
-    starts = F.sequence(F.lit(0), F.size(words) - 1)
-    return F.filter(starts, here)
+    return F.get(F.transform(F.array(F.split(body, " ")), among), F.lit(0))  # the text is cut into words once
 
 
 def _table(spark: SparkSession, rows: list[dict], kind: str) -> DataFrame:
@@ -154,8 +154,7 @@ def scanned(docs: DataFrame, templates: Sequence = TEMPLATES) -> DataFrame:
     found = verified.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("label", "start", "share"))).alias("found"))
 
     spaces = F.length("body") - F.length(F.replace("body", F.lit(" "), F.lit("")))
-    words = F.split("body", " ")
-    places = [F.when(_has(F.col("body"), p), _places(words, p)).otherwise(F.array().cast("array<int>")) for p in BASE]
+    places = [F.when(_has(F.col("body"), p), _places(F.col("body"), p)).otherwise(F.array().cast("array<int>")) for p in BASE]
     based = [F.when(_has(F.col("body"), p), F.lit(label)) for p, label in BASE.items()]
     rows = bodies.select(
         "row", "doc_id", F.when(F.col("body") == "", 0).otherwise(spaces + 1).cast("bigint").alias("n_words"),
