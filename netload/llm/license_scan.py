@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netload.llm.schema import documents, kept, only_text
+from netload.operators.joins import bounded_broadcast
 
 #: Phrases and labels that always count.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -68,6 +69,8 @@ TEMPLATES = (
 RAREST = 12
 #: ... and at least this share of the highest one's: a common word says nothing of a template, and stands everywhere.
 RARE = 0.25
+#: Candidates up to this measured size go to the texts; more meet them in a shuffle.
+CANDIDATE_BYTES = 32 << 20
 #: Share of a template's weight that must agree on one beginning.
 LEAST = 0.5
 
@@ -149,7 +152,8 @@ def scanned(docs: DataFrame, templates: Sequence = TEMPLATES) -> DataFrame:
     index = _index(spark, templates, _weights(full, templates))
     keys = _table(spark, [dict(template=t, label=x[0], keys=x[2]) for t, x in enumerate(templates)], "template: int, label: string, keys: array<string>")
     marked = F.concat(F.lit(" "), F.col("body"), F.lit(" "))
-    verified = candidates(full, index).join(F.broadcast(keys), "template").join(full.select("row", "body"), "row")
+    held = kept(candidates(full, index), "candidates").join(F.broadcast(keys), "template")
+    verified = full.select("row", "body").join(bounded_broadcast(held, CANDIDATE_BYTES), "row")
     verified = verified.filter(F.forall("keys", lambda k: F.contains(marked, F.concat(F.lit(" "), k, F.lit(" ")))))
     found = verified.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("label", "start", "share"))).alias("found"))
 
