@@ -51,6 +51,12 @@ def count_of(sketch: Column | str, kind: str = "bigint") -> Column:
     return _AGG[kind][3](sketch)
 
 
+def _near(rank: float, size: int, total: str = "total") -> Column:
+    """Whether the ranks from ``below`` to ``to`` come as near ``rank`` as a sketch promises."""
+    error = 3 * ERROR * SIZE / size
+    return (F.col("below") <= (rank + error) * F.col(total)) & (F.col("to") >= (rank - error) * F.col(total))
+
+
 def rank_checked(
     records: DataFrame, estimates: DataFrame, key: str, measure: str, rank: float = 0.5, size: int = SIZE, weight: str | None = None
 ) -> DataFrame:
@@ -66,9 +72,37 @@ def rank_checked(
         F.sum(F.when(F.col("x") < F.col("estimate"), F.col("n")).otherwise(0)).alias("below"),
         F.sum(F.when(F.col("x") <= F.col("estimate"), F.col("n")).otherwise(0)).alias("to"),
     )
-    error = 3 * ERROR * SIZE / size
-    near = (F.col("below") <= (rank + error) * F.col("mesures")) & (F.col("to") >= (rank - error) * F.col("mesures"))
-    return found.select(key, "mesures", near.alias("proche"))
+    return found.select(key, "mesures", _near(rank, size, "mesures").alias("proche"))
+
+
+def settled(
+    records: DataFrame, estimates: DataFrame, key: str, measure: str, name: str, rank: float = 0.5, size: int = SIZE
+) -> DataFrame:
+    """Per key the smallest value that ``rank`` of all are up to (``name``), its rows (``mesures``), and whether
+    ``estimate`` stands as near ``rank`` as a sketch promises (``proche``).
+
+    Exact: an estimate whose rank is off gives way to the value that holds it. Records are folded to
+    one row per key and value; what is ordered per key is these, as in ``aggregates.median_by``.
+    Estimates come in as rows of their key that count nothing, so NULL keys meet too. NULL
+    measures are rows without a rank; a key that has no others has a NULL value.
+    """
+    folded = records.groupBy(key, F.col(measure).alias("x")).agg(F.count("*").alias("rows"), F.count(measure).alias("n"))
+    together = folded.unionByName(estimates.select(key, "estimate"), allowMissingColumns=True)
+    own = Window.partitionBy(key)
+    placed = together.select(
+        key, "x", "n", "rows",
+        F.sum("n").over(own.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)).alias("reached"),
+        F.sum("n").over(own).alias("total"),
+        F.max("estimate").over(own).alias("estimate"),
+    )
+    found = placed.groupBy(key).agg(
+        F.min(F.when(F.col("reached") >= rank * F.col("total"), F.col("x"))).alias(name),
+        F.sum("rows").alias("mesures"),
+        F.sum("n").alias("total"),
+        F.sum(F.when(F.col("x") < F.col("estimate"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("x") <= F.col("estimate"), F.col("n")).otherwise(0)).alias("to"),
+    )
+    return found.select(key, name, "mesures", _near(rank, size).alias("proche"))
 
 
 def median_by_windows(records: DataFrame, key: str, measure: str, name: str, size: int = SIZE) -> DataFrame:

@@ -128,9 +128,12 @@ def median_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def approx_median_checked(telemetry: DataFrame) -> DataFrame:
-    """Measures per cell, and whether the one-pass median stands within its rank error, whatever a cell's size."""
+    """Median per cell, the lower of two middle values: the one-pass estimate, put right where its rank is off.
+
+    With it the cell's rows, and whether the estimate stands within its rank error, whatever a cell's size.
+    """
     estimates = aggregates.approx_median_by(telemetry, "cell_id", "latence_ms", "estimate")
-    return quantiles.rank_checked(telemetry, estimates, "cell_id", "latence_ms")
+    return quantiles.settled(telemetry, estimates, "cell_id", "latence_ms", "latence_mediane")
 
 
 def layout_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -274,7 +274,8 @@ ORACLES: dict[str, str] = {
         "SELECT cell_id, quantile_cont(latence_ms, 0.5) AS latence_mediane FROM telemetrie GROUP BY cell_id"
     ),
     "approx_median_latency_by_cell": _sql(
-        "SELECT cell_id, COUNT(*) AS mesures, TRUE AS proche FROM telemetrie GROUP BY cell_id"
+        "SELECT cell_id, quantile_disc(latence_ms, 0.5) AS latence_mediane, COUNT(*) AS mesures, TRUE AS proche "
+        "FROM telemetrie GROUP BY cell_id"
     ),
     "median_from_sketches": _sql(
         "SELECT 'cellule' AS niveau, cell_id AS cle, COUNT(*) AS mesures, TRUE AS proche FROM telemetrie GROUP BY cell_id "

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan, values
 from netload.operators import aggregates, quantiles, caching, diagnostics, filters
-from netload.plans import incidents
+from netload.plans import catalog, incidents
 from netload.sources import tables
 
 
@@ -123,6 +123,25 @@ def test_approximate_median_is_close(spark):
     assert abs(aggregates.approx_median_by(rows, "k", "x", "m").first().m - 10_000) <= 4
 
 
+def test_settled_puts_estimates_right_and_loses_no_key(spark):
+    few = [("a", 1), ("a", 2), ("a", 2), ("a", 9), ("b", 7), ("b", None), ("c", None), (None, 4), (None, 5)]
+    rows = latencies(spark, few).unionAll(spark.range(50_001).select(F.lit("hot").alias("cell_id"), F.col("id").alias("latence_ms")))
+    estimates = aggregates.approx_median_by(rows, "cell_id", "latence_ms", "estimate", accuracy=20)
+    assert dict(values(estimates))["hot"] != 25_000  # over ``accuracy`` rows the sketch alone is off
+    found = {tuple(r)[:3]: r.proche for r in quantiles.settled(rows, estimates, "cell_id", "latence_ms", "m").collect()}
+    assert set(found) == {("a", 2, 4), ("b", 7, 2), ("c", None, 1), (None, 4, 2), ("hot", 25_000, 50_001)}
+    wrong = estimates.withColumn("estimate", F.lit(1) * 40_000)
+    far = {r.cell_id: (r.m, r.proche) for r in quantiles.settled(rows, wrong, "cell_id", "latence_ms", "m").collect()}
+    assert far["hot"] == (25_000, False) and far["a"] == (2, False) and far["c"] == (None, True)
+
+
+def test_approximate_median_query_returns_the_medians(spark):
+    few = [("a", 3), ("a", 5), ("a", 8), ("a", 100), (None, 6), ("z", None)]
+    rows = latencies(spark, few).unionAll(spark.range(30_000).select(F.lit("hot").alias("cell_id"), (F.col("id") * 3).alias("latence_ms")))
+    found = set(values(catalog.approx_median_checked(rows), "cell_id", "latence_mediane", "mesures", "proche"))
+    assert found == {("a", 5, 4, True), (None, 6, 1, True), ("z", None, 1, True), ("hot", 44_997, 30_000, True)}
+
+
 def test_stddev_of_one_value_is_null(spark):
     rows = latencies(spark, [("c", 1), ("d", 1), ("d", 3)])
     assert dict(values(aggregates.stddev_by(rows, "cell_id", "latence_ms", "s"))) == {"c": None, "d": 2**0.5}
