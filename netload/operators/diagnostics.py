@@ -95,15 +95,20 @@ def distinct_estimates(sketches: DataFrame, keys: list[str], candidates: list[st
     return sketches.select(*keys, "lignes", *[F.hll_sketch_estimate(f"{c}_esquisse").alias(c) for c in candidates])
 
 
-def layout_report(records: DataFrame, candidates: list[str], near_unique: float = 0.5, sketches: DataFrame | None = None) -> DataFrame:
+def layout_report(
+    records: DataFrame, candidates: list[str], near_unique: float = 0.5, sketches: DataFrame | None = None, screen: bool = True
+) -> DataFrame:
     """For each candidate partition column: folders it would make, mean and largest
-    rows per folder.
+    rows per folder, and whether it has a value for every other row or more (``near_unique``).
 
-    A column with about a value for every other row or more (``near_unique``) is no
-    partition column: sketches show it, from one pass that moves a sketch per task or from stored ones, and it is
-    listed without figures (``quasi_unique``). The rest is exact, in the columns' own
-    types, folded per value before any row moves. Runs a job for the sketches.
+    Exact, in the columns' own types, folded per value before any row moves. Such a column (``quasi_unique``) is no
+    partition column, and its fold moves most rows. With ``screen``, sketches tell it from one pass that
+    moves a sketch per task, or from stored ones, and it is listed without figures; this runs
+    a job. Without, every column has its figures, and ``quasi_unique`` follows from them.
     """
+    if not screen:
+        report = _folders(records, candidates)
+        return report.withColumn("quasi_unique", F.col("valeurs") >= near_unique * F.col("lignes")).drop("lignes")
     whole = distinct_sketches(records, [], candidates) if sketches is None else coarser_sketches(sketches, [], candidates)
     found = distinct_estimates(whole, [], candidates).first()
     apart = [c for c in candidates if found[c] and found[c] >= near_unique * found["lignes"]]
@@ -112,15 +117,21 @@ def layout_report(records: DataFrame, candidates: list[str], near_unique: float
     screened = records.sparkSession.createDataFrame([(c, None, None, None, True) for c in apart], columns)
     if not exact:
         return screened
-    per_value = records.groupingSets([[c] for c in exact], *exact).agg(
-        F.count("*").alias("lignes"), F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in exact]).alias("colonne")
+    report = _folders(records, exact).drop("lignes")
+    return report.withColumn("quasi_unique", F.lit(False)).unionByName(screened)
+
+
+def _folders(records: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column its values, mean and largest rows per value, and all rows (``lignes``); NULL is a value."""
+    per_value = records.groupingSets([[c] for c in columns], *columns).agg(
+        F.count("*").alias("lignes"), F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in columns]).alias("colonne")
     )
-    report = per_value.groupBy("colonne").agg(
+    return per_value.groupBy("colonne").agg(
         F.count("*").alias("valeurs"),
         F.try_divide(F.sum("lignes"), F.count("*")).alias("lignes_moyennes"),
         F.max("lignes").alias("lignes_max"),
+        F.sum("lignes").alias("lignes"),
     )
-    return report.withColumn("quasi_unique", F.lit(False)).unionByName(screened)
 
 
 def layout_estimate(records: DataFrame, candidates: list[str], error: float = 0.02) -> DataFrame:

@@ -487,7 +487,7 @@ QUERIES: dict[str, Query] = {
     "skewed_cells": _telemetry(skewed_cells),
     "hot_cells": _telemetry(lambda t: joins.hot_keys(t, "cell_id", 100)),
     "partition_sizes": _telemetry(partition_sizes),
-    "layout_report": _telemetry(lambda t: diagnostics.layout_report(t, LAYOUT_CANDIDATES)),
+    "layout_report": _telemetry(lambda t: diagnostics.layout_report(t, LAYOUT_CANDIDATES, screen=False)),
     "layout_estimate": _telemetry(layout_estimate),
     "layout_from_sketches": layout_from_sketches,
     "hour_intervals": _telemetry(hour_intervals),

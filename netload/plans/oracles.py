@@ -107,11 +107,9 @@ def _page(where: str) -> str:
 
 def _layout(column: str) -> str:
     return (
-        f"SELECT '{column}' AS colonne, CASE WHEN q THEN NULL ELSE valeurs END AS valeurs, "
-        "CASE WHEN q THEN NULL ELSE lignes_moyennes END AS lignes_moyennes, "
-        "CASE WHEN q THEN NULL ELSE lignes_max END AS lignes_max, q AS quasi_unique "
-        "FROM (SELECT COUNT(*) AS valeurs, AVG(n) AS lignes_moyennes, MAX(n) AS lignes_max, COUNT(*) >= 0.5 * SUM(n) AS q "
-        f"FROM (SELECT COUNT(*) AS n FROM telemetrie GROUP BY {column}))"
+        f"SELECT '{column}' AS colonne, COUNT(*) AS valeurs, AVG(n) AS lignes_moyennes, MAX(n) AS lignes_max, "
+        "COUNT(*) >= 0.5 * SUM(n) AS quasi_unique "
+        f"FROM (SELECT COUNT(*) AS n FROM telemetrie GROUP BY {column})"
     )
 
 

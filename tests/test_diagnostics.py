@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan, values
 from netload.operators import diagnostics, joins
+from netload.plans.catalog import QUERIES
 from netload.sources import tables
 
 
@@ -115,6 +116,24 @@ def test_partition_sizes(spark):
     assert values(diagnostics.partition_sizes(spark.range(0, 100, 1, 5)), "partition") == [(i,) for i in range(5)]
 
 
+def test_layout_report_without_screen_counts_every_column(spark):
+    rows = spark.range(1000).select(
+        F.when(F.col("id") < 900, F.col("id")).alias("ts"), (F.col("id") / 2).cast("int").alias("half"), F.lit("x").alias("niveau")
+    )
+    report = diagnostics.layout_report(rows, ["ts", "half", "niveau"], screen=False)
+    assert values(report) == [
+        ("half", 500, 2.0, 2, True), ("niveau", 1, 1000.0, 1000, False), ("ts", 901, 1000 / 901, 100, True),
+    ]
+    assert values(diagnostics.layout_report(rows, ["ts"], screen=False)) == [("ts", 901, 1000 / 901, 100, True)]
+
+
+def test_layout_report_query_gives_figures_for_near_unique_columns(spark, sf_dir):
+    report = {r.colonne: r for r in QUERIES["layout_report"](spark, sf_dir).collect()}
+    assert set(report) == {"niveau", "heure", "cell_id", "ts"}
+    assert not any(v is None for r in report.values() for v in r)
+    assert report["ts"].quasi_unique and report["ts"].valeurs == tables.telemetry(spark, sf_dir).select("ts").distinct().count()
+
+
 def test_layout_report_moves_no_near_unique_column(spark, sf_dir):
     report = diagnostics.layout_report(tables.telemetry(spark, sf_dir), ["niveau", "heure", "cell_id", "ts"])
     moved = [line for line in plan(report).splitlines() if "Exchange hashpartitioning" in line]
