@@ -177,7 +177,7 @@ def pooled(table: np.ndarray, codes: np.ndarray, first: np.ndarray) -> np.ndarra
         steps[: len(moves)] = moves * (text[low + 1 : low + 1 + len(moves)] == own[: len(moves)])[:, None]
         vectors = vectors[: len(own)]
         cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        for into, values in zip(sums, (vectors, vectors * vectors, steps)):
+        for into, values in zip(sums, (vectors, np.square(vectors, dtype=np.float64), steps)):
             into[own[cuts]] += np.add.reduceat(values, cuts, axis=0, dtype=np.float64)
     count = np.diff(first)[:, None]
     some = np.maximum(count, 1)
